@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from trackside.functions import skew
 from trackside.functions.timing import epoch_micros
 
-BINS_PER_SPAN = 256
+BIN_STEP = 4096
+SPANS_PER_BIN = 256
 
 
 def interval_join(
@@ -26,50 +27,54 @@ def interval_join(
     A span is half-open: ``start <= ts < end``. Spans are listed under the time
     bins they touch and points under the one bin they fall in, so the join is an
     equi-join on (keys, bin) that compares a point only with spans near it, and
-    a key with most of the rows is spread over its bins. The bin width defaults
-    to the mean span length. Spans of more than 256 bins are listed under wider
-    bins, each level 256 times as wide, so none is copied more often than that.
+    a key with most of the rows is spread over its bins.
+
+    Bins are as wide as the mean span is long (or `bin_seconds`). Longer spans
+    go under bins 4096, 4096^2, ... times as wide, so that none is listed more
+    than 65 times; shorter ones too go under narrower bins if one bin would hold
+    more than 256 spans. Points are copied once per width in use, mostly one.
 
     The keys may not be empty; other columns of the two sides need distinct
     names. Batch only.
     """
     if not keys:
         raise ValueError("interval_join needs at least one equality key")
-    micros = F.greatest(epoch_micros(end) - epoch_micros(start), F.lit(0))
-    spans = spans.where(F.col(start) < F.col(end)).withColumn("_length", micros)
-    mean, longest = spans.agg(F.avg("_length"), F.max("_length")).first()
-    if mean is None:
-        mean = longest = 1
-    width = max(1, int(bin_seconds * 1e6) if bin_seconds else int(mean))
-
-    widths = [width]
-    while longest > widths[-1] * BINS_PER_SPAN:
-        widths.append(widths[-1] * BINS_PER_SPAN)
-
-    def pick_width(length: Column) -> Column:
-        out = F.lit(widths[-1])
-        for w in reversed(widths[:-1]):
-            out = F.when(length <= w * BINS_PER_SPAN, F.lit(w)).otherwise(out)
-        return out.cast("bigint")
-
-    listed = (
-        spans.withColumn("_width", pick_width(F.col("_length")))
-        .withColumn("_bin", F.explode(F.sequence(_bin(start, 0), _bin(end, 1))))
-        .drop("_length")
-    )
-    if len(widths) == 1:
-        binned = points.withColumn("_width", F.lit(width).cast("bigint"))
+    spans = spans.where(F.col(start) < F.col(end))
+    length = epoch_micros(end) - epoch_micros(start)
+    if bin_seconds is None:
+        usual = int(spans.agg(F.avg(length)).first()[0] or 1)
     else:
-        levels = F.array(*(F.lit(w).cast("bigint") for w in widths))
-        binned = points.withColumn("_width", F.explode(levels))
-    binned = binned.withColumn("_bin", _bin(ts, 0))
-
+        usual = max(1, int(bin_seconds * 1_000_000))
     on = [*keys, "_width", "_bin"]
-    joined = binned.join(listed, on)
+
+    def listed(widths: Sequence[int]) -> tuple[DataFrame, dict[int, int]]:
+        out = spans.withColumn("_width", _width_of(length, widths)).withColumn(
+            "_bin", F.explode(F.sequence(_bin(start, 0), _bin(end, 1)))
+        )
+        held = out.groupBy(*on).count().groupBy("_width").agg(F.max("count"))
+        return out, dict(held.collect())
+
+    wider = [usual * BIN_STEP**n for n in range(6) if usual * BIN_STEP**n < 2**56]
+    by_bin, fullest = listed(wider or [usual])
+    if fullest.get(usual, 0) > SPANS_PER_BIN:
+        narrower = [usual // BIN_STEP**n for n in range(1, 6)]
+        by_bin, fullest = listed([w for w in reversed(narrower) if w] + wider)
+
+    widths = [F.lit(w).cast("bigint") for w in sorted(fullest)] or [F.lit(usual)]
+    width = widths[0] if len(widths) == 1 else F.explode(F.array(*widths))
+    binned = points.withColumn("_width", width).withColumn("_bin", _bin(ts, 0))
+    joined = binned.join(by_bin, on)
     held = joined.where((F.col(ts) >= F.col(start)) & (F.col(ts) < F.col(end)))
-    return held.select(
-        *points.columns, *(c for c in spans.columns if c not in (*keys, "_length"))
-    )
+    return held.select(*points.columns, *(c for c in spans.columns if c not in keys))
+
+
+def _width_of(length: Column, widths: Sequence[int]) -> Column:
+    """The least of the rising `widths` under which a span is listed at most 65
+    times."""
+    out = F.lit(widths[-1])
+    for w in reversed(widths[:-1]):
+        out = F.when(length <= w * 64, F.lit(w)).otherwise(out)
+    return out.cast("bigint")
 
 
 def _bin(ts: str, before: int) -> Column:

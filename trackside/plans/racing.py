@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from trackside import schemas
+from trackside.functions import skew
 from trackside.functions.measures import Measure, avg_of, max_of, min_of, mode_of
 from trackside.functions.parsing import json_parse, nested_parse
 from trackside.functions.timing import duration_seconds, with_event_time
@@ -25,7 +26,8 @@ from trackside.operators.rows import (
     typed_projection,
 )
 from trackside.operators.summary import group_summary, window_summary
-from trackside.sources.topics import append_sentinel, publish_topic
+from trackside.sources.tables import written
+from trackside.sources.topics import TOPICS, append_sentinel, publish_topic
 
 CAR_MEASURES = (
     avg_of("Throttle"),
@@ -175,14 +177,13 @@ def session_laps(
     ).drop("idx")
 
 
-def session_records(
-    laps: DataFrame, telemetry: DataFrame, samples: DataFrame, race: str
-) -> dict[str, DataFrame]:
-    """Car, lap and weather records of the laps, with session and driver in front.
+WHO = {"session": ("session", "string"), "_driver": ("Driver", "string")}
+LAP_KEY = ("session", "_driver", "LapNumber")
 
-    A point belongs to the lap whose half-open interval holds it. The weather of
-    a lap is the first sample inside it, or else the last one before.
-    """
+
+def car_rows(laps: DataFrame, telemetry: DataFrame) -> DataFrame:
+    """Car records of the laps: a point belongs to the lap whose half-open
+    interval holds it. Session and driver stay in front, here and below."""
     points = interval_join(
         telemetry,
         laps.select("session", "Driver", "LapNumber", "lap_start", "lap_end"),
@@ -191,11 +192,7 @@ def session_records(
         "lap_start",
         "lap_end",
     )
-    sky = asof_join(
-        laps, samples, ["session"], "lap_start", "ts", until="lap_end", name="sky"
-    )
-    who = {"session": ("session", "string"), "_driver": ("Driver", "string")}
-    car = {
+    columns = {
         "Timestamp": ("ts", "timestamp"),
         "LapNumber": ("LapNumber", "int"),
         "Speed": ("Speed", "float"),
@@ -205,8 +202,13 @@ def session_records(
         "RPM": ("RPM", "int"),
         "DRS": ("DRS", "int"),
     }
+    return typed_projection(points, {**WHO, **columns})
+
+
+def lap_rows(laps: DataFrame) -> DataFrame:
+    """Lap records, durations in seconds."""
     seconds = lambda name: (duration_seconds(name), "float")
-    lap = {
+    columns = {
         "Timestamp": ("lap_start", "timestamp"),
         "LapNumber": ("LapNumber", "int"),
         "Driver": ("Driver", "string"),
@@ -219,8 +221,23 @@ def session_records(
         "TyreLife": ("TyreLife", "int"),
         "Position": ("Position", "int"),
     }
-    reading = lambda name, kind="float": (F.col(f"sky.{name}"), kind)
-    weather = {
+    return typed_projection(laps, {**WHO, **columns})
+
+
+def weather_rows(laps: DataFrame, samples: DataFrame, race: str) -> DataFrame:
+    """Weather records, one per lap: the first sample inside the lap, or else the
+    last one before it."""
+    found = asof_join(
+        laps.select("session", "Driver", "LapNumber", "lap_start", "lap_end"),
+        samples,
+        ["session"],
+        "lap_start",
+        "ts",
+        until="lap_end",
+        name="sample",
+    )
+    reading = lambda name, kind="float": (F.col(f"sample.{name}"), kind)
+    columns = {
         "Timestamp": ("lap_start", "timestamp"),
         "LapNumber": ("LapNumber", "int"),
         "AirTemp": reading("AirTemp"),
@@ -232,32 +249,29 @@ def session_records(
         "WindDirection": reading("WindDirection"),
         "Race": (F.lit(race), "string"),
     }
-    return {
-        "car": typed_projection(points, {**who, **car}),
-        "lap": typed_projection(laps, {**who, **lap}),
-        "weather": typed_projection(sky, {**who, **weather}),
-    }
+    return typed_projection(found, {**WHO, **columns})
 
 
-def nested_session(records: dict[str, DataFrame]) -> DataFrame:
+def nested_rows(
+    lap: DataFrame, weather: DataFrame, car: DataFrame, hot_rows: int | None
+) -> DataFrame:
     """One record per lap: the lap, its weather and its car points in time order."""
-    keys = ["session", "_driver", "LapNumber"]
     lap, weather = (
-        records[name].select(
-            *keys, F.struct(*schemas.names(ddl)).alias(name)
+        df.select(*LAP_KEY, F.struct(*schemas.names(ddl)).alias(name))
+        for df, name, ddl in (
+            (lap, "lap", schemas.LAP),
+            (weather, "weather", schemas.WEATHER),
         )
-        for name, ddl in (("lap", schemas.LAP), ("weather", schemas.WEATHER))
     )
-    heads = lap.join(weather, keys, "left")
-    parents = heads.select(*keys, "lap", "weather")
     return nest_records(
-        parents,
-        records["car"],
-        keys,
+        lap.join(weather, list(LAP_KEY), "left"),
+        car,
+        LAP_KEY,
         schemas.names(schemas.CAR),
         "car",
         schemas.names(schemas.CAR),
         {"lap": ["lap.*"], "weather": ["weather.*"]},
+        hot_rows=hot_rows,
     )
 
 
@@ -269,18 +283,33 @@ def session_messages(
     threshold: float,
     driver: str | None = None,
     skip_first: int = 1,
+    topics: Sequence[str] = TOPICS,
 ) -> dict[str, DataFrame]:
-    """The messages of the four topics for a session, each with its sentinel."""
-    chosen = session_laps(laps, driver, threshold, skip_first)
-    records = session_records(chosen, telemetry, samples, race)
-    out = {
-        name: publish_topic(records[name], name, schemas.names(ddl))
-        for name, ddl in (
-            ("car", schemas.CAR),
-            ("lap", schemas.LAP),
-            ("weather", schemas.WEATHER),
+    """The messages of the topics for a session, each topic with its sentinel.
+
+    The chosen laps are written to the shared folder, since every topic is made
+    from them.
+    """
+    chosen = written(session_laps(laps, driver, threshold, skip_first), "laps")
+    out = {}
+    if "car" in topics:
+        car = car_rows(chosen, telemetry)
+        out["car"] = publish_topic(car, "car", schemas.names(schemas.CAR))
+    if "lap" in topics:
+        lap = lap_rows(chosen)
+        out["lap"] = publish_topic(lap, "lap", schemas.names(schemas.LAP))
+    if "weather" in topics:
+        weather = weather_rows(chosen, samples, race)
+        out["weather"] = publish_topic(weather, "weather", schemas.names(schemas.WEATHER))
+    if "dbstore" in topics:
+        # where no driver has too many points for a task, no lap has
+        hot = skew.hot_keys(telemetry, ["session", "Driver"], skew.HOT_ROWS)
+        nested = nested_rows(
+            lap_rows(chosen),
+            weather_rows(chosen, samples, race),
+            car_rows(chosen, telemetry),
+            skew.HOT_ROWS if hot else None,
         )
-    }
-    nested = nested_session(records)
-    out["dbstore"] = publish_topic(nested, "dbstore", ["part", "lap", "weather", "car"])
+        fields = ["part", "lap", "weather", "car"]
+        out["dbstore"] = publish_topic(nested, "dbstore", fields)
     return {name: append_sentinel(df, [name]) for name, df in out.items()}

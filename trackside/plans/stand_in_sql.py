@@ -257,4 +257,15 @@ WITH listed AS (
 SELECT race AS "Race", ws AS window_start, ws + INTERVAL '50 seconds' AS window_end,
        {_WEATHER_MEASURES}
 FROM listed GROUP BY race, ws""",
+    "late_rows": """
+WITH span AS (
+  SELECT date_trunc('day', min(ts) + (max(ts) - min(ts)) / 2) AS middle, max(ts) AS last
+  FROM events),
+hourly AS (
+  SELECT *, time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01') AS ws
+  FROM events, span)
+SELECT event_type, ws AS window_start, ws + INTERVAL '1 hour' AS window_end,
+       count(value) AS n, max(value) AS max_value
+FROM hourly WHERE ts >= middle OR ws + INTERVAL '1 hour' > last
+GROUP BY event_type, ws""",
 }

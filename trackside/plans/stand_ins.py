@@ -408,11 +408,14 @@ def _race(events: DataFrame) -> dict[str, DataFrame]:
     return {"laps": laps, "car_telemetry": telemetry, "weather_samples": samples}
 
 
-def _race_messages(spark, folder) -> dict[str, DataFrame]:
+def _race_messages(spark, folder, topic: str) -> DataFrame:
     race = _race(_read(spark, folder, "events"))
     return racing.session_messages(
-        *(race[t] for t in schemas.SESSION_TABLES), race="Grand Prix", threshold=100.0
-    )
+        *(race[t] for t in schemas.SESSION_TABLES),
+        race="Grand Prix",
+        threshold=100.0,
+        topics=[topic],
+    )[topic]
 
 
 CAR_EXACT = (
@@ -434,19 +437,19 @@ WEATHER_EXACT = tuple(
 
 def race_laps(spark, folder):
     """Lap messages of the race, parsed again and summed up per stint."""
-    lap = racing.lap_records(_race_messages(spark, folder)["lap"])
+    lap = racing.lap_records(_race_messages(spark, folder, "lap"))
     return racing.stint_summary(lap, LAP_EXACT)
 
 
 def race_weather(spark, folder):
     """Weather messages of the race, parsed again, per race."""
-    weather = racing.weather_records(_race_messages(spark, folder)["weather"])
+    weather = racing.weather_records(_race_messages(spark, folder, "weather"))
     return racing.weather_summary(weather, WEATHER_EXACT)
 
 
 def race_nested(spark, folder):
     """Nested messages of the race, parsed again: one row per lap message."""
-    parsed = nested_parse(_race_messages(spark, folder)["dbstore"])
+    parsed = nested_parse(_race_messages(spark, folder, "dbstore"))
     return rows.required_gate(parsed, "lap").select(
         "lap.Driver",
         "lap.LapNumber",
@@ -460,7 +463,7 @@ def race_store(spark, folder):
     """Nested messages written to files, streamed into the three tables; the car
     table summed up per lap."""
     base = tables.scratch_folder(spark, "store")
-    messages = _race_messages(spark, folder)["dbstore"]
+    messages = _race_messages(spark, folder, "dbstore")
     topics.write_topic(messages, folder=f"{base}/topics")
     live = topics.topic_source(spark, "dbstore", folder=f"{base}/topics")
     # a message in a file has no offset; its content stands for its identity
@@ -556,6 +559,35 @@ def live_weather(spark, folder):
     return _no_zone(run.latest_by_key(out, ["Race", *BOUNDS]))
 
 
+def late(spark, folder):
+    """The newer half of `events` is sent first, then the older half, which comes
+    too late for every window that has ended by then."""
+    base = tables.scratch_folder(spark, "late")
+    events = _read(spark, folder, "events")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    middle = (first + (last - first) / 2).replace(hour=0, minute=0, second=0, microsecond=0)
+    newer = F.col("ts") >= F.lit(middle).cast("timestamp_ntz")
+    measures = [count_of("value", "n"), max_of("value")]
+    for half in (events.where(newer), events.where(~newer)):
+        topics.write_topic(
+            topics.publish_topic(half, "events", time_format=MICROS), folder=base
+        )
+        sent = json_parse(topics.topic_source(spark, "events", folder=base), EVENTS)
+        hourly = summary.window_summary(
+            timing.with_event_time(sent, "ts"), ["event_type"], "ts", "1 hour", measures
+        )
+        run.run_stream(
+            hourly,
+            run.versions_writer(f"{base}/out"),
+            "update",
+            f"{base}/checkpoint",
+            {"availableNow": True},
+            timeout=WAIT,
+        )
+    versions = spark.read.parquet(f"{base}/out")
+    return _no_zone(run.latest_by_key(versions, ["event_type", *BOUNDS]))
+
+
 BOUNDS = ("window_start", "window_end")
 
 
@@ -603,4 +635,5 @@ QUERIES: dict[str, Query] = {
     "stream_car_summary": live_car,
     "stream_stint_window": live_stint,
     "stream_weather_window": live_weather,
+    "late_rows": late,
 }

@@ -50,3 +50,14 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a shared folder")
         shared = os.path.join(tempfile.gettempdir(), "trackside")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` to the shared folder and read it back.
+
+    For a frame that several steps use: it is computed once, and a lost executor
+    costs a read instead of the way there.
+    """
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
