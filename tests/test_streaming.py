@@ -1,0 +1,271 @@
+"""Streams on scripted message files: one file per micro-batch."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from trackside.functions.measures import count_of, max_of
+from trackside.operators.summary import group_summary, window_summary
+from trackside.functions.timing import with_event_time
+from trackside.plans import racing
+from trackside.sources import topics
+from trackside.streaming import run, store
+
+NOW = {"availableNow": True}
+MEASURES = [count_of("Speed", "n"), max_of("Speed", "top")]
+
+
+class Replay:
+    """A topic of message files that a query works off one file at a time."""
+
+    def __init__(self, spark, base):
+        self.spark, self.base = spark, str(base)
+
+    def send(self, topic, *values):
+        df = self.spark.createDataFrame([(topic, v) for v in values], "topic string, value string")
+        topics.write_topic(df.coalesce(1), folder=f"{self.base}/topics")
+
+    def car(self, *times, lap=1):
+        self.send("car", *(
+            f'{{"Timestamp": "2024-03-02 {t}", "LapNumber": {lap}, "Speed": {i}}}'
+            for i, t in enumerate(times, 1)
+        ))
+
+    def source(self, topic="car"):
+        return topics.topic_source(
+            self.spark, topic, folder=f"{self.base}/topics",
+            options={"maxFilesPerTrigger": "1"},
+        )
+
+    def run(self, df, mode, name="q"):
+        query = run.run_stream(
+            df, run.versions_writer(f"{self.base}/{name}"), mode,
+            f"{self.base}/{name}-checkpoint", NOW, timeout=300,
+        )
+        return query, run.read_versions(self.spark, f"{self.base}/{name}", df.schema)
+
+
+@pytest.fixture
+def replay(spark, tmp_path):
+    return Replay(spark, tmp_path)
+
+
+def windows(replay, size="65 seconds"):
+    car = with_event_time(racing.car_records(replay.source()), "Timestamp")
+    return window_summary(car, ["LapNumber"], "Timestamp", size, MEASURES)
+
+
+def by_lap(replay):
+    car = with_event_time(racing.car_records(replay.source()), "Timestamp")
+    return group_summary(car, ["LapNumber"], MEASURES)
+
+
+def counts(df):
+    return {str(r["window_start"].time()): r["n"] for r in df.collect()}
+
+
+LATE = (["15:00:03"], ["15:05:00"], ["15:05:01"], ["15:00:06"], ["15:10:00"])
+
+
+def test_late_row_dropped_in_update_mode(replay):
+    for times in LATE:
+        replay.car(*times)
+    query, out = replay.run(windows(replay), "update")
+    keys = ["LapNumber", "window_start", "window_end"]
+    assert counts(run.latest_by_key(out, keys)) == {
+        "14:59:40": 1, "15:04:00": 2, "15:09:25": 1,
+    }
+    assert sum(m["late_rows"] for m in run.stream_metrics(query)) == 1
+
+
+def test_late_row_dropped_in_append_mode(replay):
+    for times in LATE:
+        replay.car(*times)
+    query, out = replay.run(windows(replay), "append")
+    assert counts(out)["14:59:40"] == 1
+    assert sum(m["late_rows"] for m in run.stream_metrics(query)) == 1
+
+
+def test_late_row_counts_in_complete_mode(replay):
+    for times in LATE:
+        replay.car(*times)
+    query, out = replay.run(windows(replay), "complete")
+    assert counts(run.last_batch(out))["14:59:40"] == 2
+    assert sum(m["late_rows"] for m in run.stream_metrics(query)) == 0
+
+
+def test_late_row_in_the_next_batch_still_counts(replay):
+    for times in (["15:00:03", "15:00:04", "15:00:05"], ["15:05:00"], ["15:00:06", "15:05:01"]):
+        replay.car(*times)
+    _, out = replay.run(windows(replay), "update")
+    latest = run.latest_by_key(out, ["LapNumber", "window_start", "window_end"])
+    assert counts(latest)["14:59:40"] == 4
+
+
+@pytest.mark.parametrize("mode", ["update", "complete"])
+def test_key_without_time_takes_late_rows(replay, mode):
+    for times in LATE:
+        replay.car(*times)
+    _, out = replay.run(by_lap(replay), mode)
+    final = run.last_batch(out) if mode == "complete" else run.latest_by_key(out, ["LapNumber"])
+    assert [tuple(r) for r in final.collect()] == [(1, 5, 1.0)]
+
+
+def test_versions_and_restart(replay):
+    replay.car("15:00:03")
+    replay.car("15:00:07", "15:00:08")
+    _, out = replay.run(windows(replay), "update")
+    assert sorted(r["n"] for r in out.collect()) == [1, 3]
+    replay.car("15:00:09")
+    replay.send("car", topics.SENTINEL, "garbage")
+    replay.car("15:01:00", lap=2)
+    _, out = replay.run(windows(replay), "update")
+    keys = ["LapNumber", "window_start", "window_end"]
+    got = {(r["LapNumber"], r["n"]) for r in run.latest_by_key(out, keys).collect()}
+    assert got == {(1, 4), (2, 1)}
+
+
+def test_stream_equals_batch(replay):
+    for minute in range(6):
+        replay.car(*(f"15:{minute:02d}:{s:02d}" for s in range(0, 60, 7)), lap=minute // 2)
+    _, out = replay.run(windows(replay, "50 seconds"), "update")
+    live = run.latest_by_key(out, ["LapNumber", "window_start", "window_end"])
+    batch = topics.topic_source(
+        replay.spark, "car", folder=f"{replay.base}/topics", stream=False
+    )
+    stored = window_summary(
+        racing.car_records(batch), ["LapNumber"], "Timestamp", "50 seconds", MEASURES
+    )
+    assert sorted(map(tuple, live.collect())) == sorted(map(tuple, stored.collect()))
+
+
+def test_live_presets(replay):
+    replay.send(
+        "lap",
+        '{"Timestamp": "2024-03-02 15:00:03", "Driver": "A", "Stint": 1, '
+        '"Compound": "SOFT", "LapTime": 97.5, "LapNumber": 1}',
+        '{"Timestamp": "2024-03-02 15:00:04", "LapNumber": 2}',
+    )
+    lap = racing.lap_records(replay.source("lap"))
+    _, out = replay.run(racing.live_stint_windows(lap), "update", "stint")
+    assert out.count() in (6, 7) and {r["best_lap_time"] for r in out.collect()} == {97.5}
+    replay.send(
+        "weather",
+        '{"Timestamp": "2024-03-02 15:00:03", "LapNumber": 1, "AirTemp": 20}',
+    )
+    weather = racing.weather_records(replay.source("weather"))
+    _, out = replay.run(racing.live_weather_windows(weather), "update", "weather")
+    assert out.count() == 5 and out.first()["Race"] is None
+    replay.car("15:00:03", "15:00:04")
+    car = racing.car_records(replay.source())
+    _, out = replay.run(racing.live_car_summary(car), "complete", "car")
+    assert run.last_batch(out).first()["avg_speed"] == 1.5
+    _, out = replay.run(racing.live_car_windows(car), "append", "windows")
+    assert out.count() == 0  # the only window is still open
+
+
+def test_batch_run_again_replaces_itself(spark, tmp_path):
+    write = run.versions_writer(str(tmp_path / "v"))
+    df = spark.createDataFrame([(1, 2)], "k int, v int")
+    for batch_id in (0, 1, 1):
+        write(df, batch_id)
+    assert spark.read.parquet(str(tmp_path / "v")).count() == 2
+
+
+def test_durable_sink_needs_checkpoint(replay):
+    replay.car("15:00:03")
+    with pytest.raises(ValueError, match="checkpoint"):
+        run.run_stream(replay.source(), "parquet", "append")
+
+
+def test_console_and_memory_sinks(replay, spark, tmp_path):
+    replay.car("15:00:03")
+    car = racing.car_records(replay.source())
+    run.run_stream(car, "console", "append", str(tmp_path / "c1"), NOW, timeout=300)
+    run.run_stream(car, "memory", "append", str(tmp_path / "c2"), NOW, name="cars", timeout=300)
+    assert spark.table("cars").count() == 1
+
+
+def test_runs_until_sentinel(replay):
+    replay.car("15:00:03", "15:00:04")
+    replay.send("car", topics.SENTINEL)
+    seen = []
+    query = run.run_until_sentinel(
+        replay.source(),
+        lambda batch, n: seen.extend(r["value"] for r in batch.collect()),
+        f"{replay.base}/c", timeout=300,
+    )
+    assert not query.isActive
+    assert len(seen) == 2
+
+
+def test_no_sentinel_times_out(replay):
+    replay.car("15:00:03")
+    with pytest.raises(TimeoutError):
+        run.run_until_sentinel(
+            replay.source(), lambda batch, n: None, f"{replay.base}/c", timeout=3
+        )
+
+
+NESTED = (
+    '{"lap": {"LapNumber": %d, "Driver": "A"}, "weather": {"LapNumber": %d, "Race": "GP"},'
+    ' "car": [{"LapNumber": %d, "Speed": 1}, {"LapNumber": %d, "Speed": 1}]}'
+)
+
+
+def test_store_split(replay, spark):
+    replay.send("dbstore", NESTED % (1, 1, 1, 1), NESTED % (2, 2, 2, 2))
+    replay.send("dbstore", topics.SENTINEL)
+    live = replay.source("dbstore").withColumn("message", F.xxhash64("value"))
+    tables = f"{replay.base}/tables"
+    run.run_stream(
+        racing.nested_records(live, ["message"]),
+        store.store_split(store.parquet_tables(tables), ["message"]),
+        "append", f"{replay.base}/c", NOW, timeout=300,
+    )
+    read = lambda t: spark.read.parquet(f"{tables}/{t}")
+    assert (read("lap").count(), read("weather").count(), read("car").count()) == (2, 2, 4)
+    assert racing.car_summary(read("car")).count() == 2
+    assert racing.weather_summary(read("weather")).first()["Race"] == "GP"
+    # the first batch once more, as after a crash between the writes
+    batch = racing.nested_records(
+        spark.createDataFrame([(NESTED % (1, 1, 1, 1), 1), (NESTED % (2, 2, 2, 2), 2)],
+                              "value string, message long"), ["message"])
+    store.store_split(store.parquet_tables(tables), ["message"])(batch, 0)
+    assert read("car").count() == 4
+
+
+def test_jdbc_append_skips_what_is_stored(spark, monkeypatch):
+    """The rows a repeated batch appends, with the database replaced by a frame."""
+    written = {}
+    stored = spark.createDataFrame(
+        [(1, 0, 7), (1, 0, 6)], "message long, position int, batch_id long"
+    )
+    monkeypatch.setattr(store.jdbc, "jdbc_scan", lambda *a, **k: stored)
+    monkeypatch.setattr(
+        store, "_write", lambda rows, db, table, texts: written.update({table: (rows, texts)})
+    )
+    batch = racing.nested_records(
+        spark.createDataFrame([(NESTED % (1, 1, 1, 1), 1)], "value string, message long"),
+        ["message"],
+    )
+    car = store.split_nested(batch, ["message"])["car"]
+    store.jdbc_tables(None)(car, "car", 7, ["message", "position"])
+    rows, texts = written["car"]
+    assert [(r["message"], r["position"], r["batch_id"]) for r in rows.collect()] == [(1, 1, 7)]
+    store.jdbc_tables(None)(
+        store.split_nested(batch, ["message"])["lap"].withColumn("position", F.lit(3)),
+        "lap", 7, ["message", "position"],
+    )
+    assert written["lap"][1] == {"Driver": "VARCHAR(255)", "Compound": "VARCHAR(255)"}
+
+
+def test_failing_write_fails_the_batch(spark):
+    def broken(rows, table, batch_id, ids):
+        raise RuntimeError(table)
+
+    nested = racing.nested_records(
+        spark.createDataFrame([(NESTED % (1, 1, 1, 1), 1)], "value string, message long"),
+        ["message"],
+    )
+    with pytest.raises(RuntimeError, match="lap"):
+        store.store_split(broken, ["message"])(nested, 0)

@@ -534,7 +534,7 @@ def _live(df: DataFrame, mode: str, name: str) -> DataFrame:
         {"availableNow": True},
         timeout=WAIT,
     )
-    return spark.read.parquet(f"{base}/out")
+    return run.read_versions(spark, f"{base}/out", df.schema)
 
 
 def live_car(spark, folder):
@@ -584,7 +584,7 @@ def late(spark, folder):
             {"availableNow": True},
             timeout=WAIT,
         )
-    versions = spark.read.parquet(f"{base}/out")
+    versions = run.read_versions(spark, f"{base}/out", hourly.schema)
     return _no_zone(run.latest_by_key(versions, ["event_type", *BOUNDS]))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from trackside.functions.parsing import is_sentinel
@@ -76,6 +76,15 @@ def versions_writer(path: str) -> BatchWriter:
     return write
 
 
+def read_versions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What `versions_writer` has put under `path`; `schema` is that of the stream.
+
+    Works for a query that has had batches but no rows yet.
+    """
+    fields = [*schema.fields, T.StructField(BATCH, T.LongType())]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
 def latest_by_key(versions: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The last version of each key: the table that update mode describes."""
     values = [c for c in versions.columns if c not in (*keys, BATCH)]
