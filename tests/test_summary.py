@@ -72,16 +72,25 @@ def test_panes_equal_windows(spark, size, slide, kind):
     ] + [("a", None, 1.0)]
     df = spark.createDataFrame(data, f"k string, ts {kind}, v double")
     measures = [avg_of("v", scale=2), min_of("v"), max_of("v"), sum_of("v"), count_of("v")]
-    wide = summary.window_summary(
-        df, ["k"], "ts", f"{size} seconds", measures, f"{slide} seconds"
-    )
-    panes = summary.pane_summary(df, ["k"], "ts", size, slide, measures)
+    lengths = ("ts", f"{size} seconds", measures, f"{slide} seconds")
+    wide = summary.row_window_summary(df, ["k"], *lengths)
+    panes = summary.window_summary(df, ["k"], *lengths)
     assert panes.dtypes == wide.dtypes
     assert sorted(map(tuple, panes.collect()), key=repr) == sorted(
         map(tuple, wide.collect()), key=repr
     )
 
 
+def test_windows_without_panes(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1), 4)], "ts timestamp, gear int")
+    for measure, size, slide in (
+        (mode_of("gear", "x"), "50 seconds", "10 seconds"),
+        (max_of("gear", "x"), "1500 milliseconds", "500 milliseconds"),
+    ):
+        out = summary.window_summary(df, [], "ts", size, [measure], slide)
+        assert out.count() == out.where("x = 4").count() > 1
+
+
 def test_panes_refuse_gaps_and_modes(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1), 1)], "ts timestamp, v int")
     with pytest.raises(ValueError, match="gaps"):

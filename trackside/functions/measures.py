@@ -35,6 +35,11 @@ class Measure:
             out = getattr(F, self.fn)(F.col(self.column))
         return out.alias(self.name)
 
+    @property
+    def mergeable(self) -> bool:
+        """Whether `partials` and `merged` exist for it."""
+        return self.fn in ("avg", "sum", "min", "max", "count")
+
     def partials(self) -> list[Column]:
         """Aggregates over a slice of a group, to be finished by `merged`."""
         col = self._input()
@@ -43,7 +48,7 @@ class Measure:
             if self.fn == "avg":
                 parts.append(F.count(col).alias(f"{self.name}__n"))
             return parts
-        if self.fn in ("min", "max", "count"):
+        if self.mergeable:
             return [getattr(F, self.fn)(F.col(self.column)).alias(f"{self.name}__part")]
         raise ValueError(f"{self.fn} cannot be merged from slices of a group")
 

@@ -124,15 +124,8 @@ def ordered_blocks(
     cut = (
         df.withColumn("_at", position)
         .join(F.broadcast(splits), _same(keys, renamed), "left")
-        .withColumns(
-            {
-                HOT: F.col("_splits").isNotNull(),
-                BLOCK: F.when(F.col("_splits").isNull(), 0).otherwise(
-                    F.size(F.filter("_splits", lambda s: s <= F.col("_at")))
-                ),
-            }
-        )
-        .drop("_at", "_splits", *renamed)
+        .withColumns({HOT: F.col("_splits").isNotNull(), BLOCK: _block_of()})
+        .drop("_at", "_splits", "_coarse", "_step", *renamed)
     )
     table = splits.select(
         *(F.col(r).alias(k) for r, k in zip(renamed, keys)),
@@ -141,6 +134,17 @@ def ordered_blocks(
     return Blocks(cut, keys, table)
 
 
+def _block_of() -> Column:
+    """Number of split points up to the row: first among every `_step`-th of
+    them, then among those that follow the last one found."""
+    reached = lambda s: s <= F.col("_at")
+    coarse = F.greatest(F.size(F.filter("_coarse", reached)) - 1, F.lit(0))
+    start = coarse * F.col("_step")
+    near = F.slice("_splits", start + 1, F.col("_step"))
+    block = start + F.size(F.filter(near, reached))
+    return F.when(F.col("_splits").isNull(), 0).otherwise(block)
+
+
 def same_key(left: str, right: str, keys: Sequence[str]) -> Column:
     """Join condition for two aliased frames: equal keys, NULL equal to NULL."""
     return _all(F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys)
@@ -187,4 +191,6 @@ def _split_points(df, keys, order, found, hot_rows, max_blocks) -> DataFrame:
             ).alias("_splits"),
         )
     )
-    return local_copy(points)
+    step = F.ceil(F.sqrt(F.size("_splits"))).cast("int")
+    every = F.filter("_splits", lambda s, i: i % F.col("_step") == 0)
+    return local_copy(points.withColumn("_step", step).withColumn("_coarse", every))

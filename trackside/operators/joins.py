@@ -35,7 +35,8 @@ def interval_join(
     more than 256 spans. Points are copied once per width in use, mostly one.
 
     The keys may not be empty; other columns of the two sides need distinct
-    names. Batch only.
+    names. `spans` is read three times, so it should be a stored table. Batch
+    only.
     """
     if not keys:
         raise ValueError("interval_join needs at least one equality key")
@@ -49,7 +50,8 @@ def interval_join(
 
     def listed(widths: Sequence[int]) -> tuple[DataFrame, dict[int, int]]:
         out = spans.withColumn("_width", _width_of(length, widths)).withColumn(
-            "_bin", F.explode(F.sequence(_bin(start, 0), _bin(end, 1)))
+            "_bin",
+            F.explode(F.sequence(_bin(start, 0), _bin(end, 1), F.col("_width"))),
         )
         held = out.groupBy(*on).count().groupBy("_width").agg(F.max("count"))
         return out, dict(held.collect())
@@ -78,9 +80,9 @@ def _width_of(length: Column, widths: Sequence[int]) -> Column:
 
 
 def _bin(ts: str, before: int) -> Column:
-    """Number of the `_width` bin that holds the time `before` µs ahead of `ts`."""
+    """Start of the `_width` bin that holds the time `before` µs ahead of `ts`."""
     micros = epoch_micros(ts) - before
-    return ((micros - F.pmod(micros, "_width")) / F.col("_width")).cast("bigint")
+    return micros - F.pmod(micros, "_width")
 
 
 def asof_join(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -10,6 +11,8 @@ from pyspark.sql import DataFrame, functions as F
 from trackside.functions.measures import Measure
 from trackside.functions.timing import epoch_micros
 
+SECONDS_IN = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
 
 def group_summary(
     df: DataFrame, keys: Sequence[str], measures: Sequence[Measure]
@@ -48,7 +51,31 @@ def window_summary(
     Windows are ``[start, start + size)`` with starts at multiples of `slide`
     (of `size` without one) since 1970-01-01 UTC. Columns: the keys,
     `window_start`, `window_end`, the measures.
+
+    Sliding windows over a batch frame go through panes where the measures and
+    the lengths (whole seconds, as in ``"65 seconds"``) allow it.
     """
+    if slide and not df.isStreaming and all(m.mergeable for m in measures):
+        lengths = _seconds(size), _seconds(slide)
+        if all(lengths) and lengths[0] >= lengths[1]:
+            return pane_summary(df, keys, ts, *lengths, measures)
+    return row_window_summary(df, keys, ts, size, measures, slide)
+
+
+def _seconds(length: str) -> int | None:
+    match = re.fullmatch(r"(\d+) (second|minute|hour|day)s?", length.strip())
+    return match and int(match[1]) * SECONDS_IN[match[2]]
+
+
+def row_window_summary(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    size: str,
+    measures: Sequence[Measure],
+    slide: str | None = None,
+) -> DataFrame:
+    """`window_summary` in one aggregation: each row is copied to its windows."""
     window = F.window(ts, size, slide) if slide else F.window(ts, size)
     return (
         df.groupBy(*keys, window.alias("window"))
@@ -70,12 +97,11 @@ def pane_summary(
     slide: int,
     measures: Sequence[Measure],
 ) -> DataFrame:
-    """`window_summary` over sliding windows for dense batch data; seconds.
+    """`window_summary` by panes; lengths in seconds. Batch only.
 
     Each row is aggregated once, into the pane (greatest common divisor of size
-    and slide) that holds it; only the panes are copied to the windows they
-    belong to. `window_summary` copies every row ``size / slide`` times instead,
-    which is cheaper only when panes hold few rows.
+    and slide) that holds it, and only panes are copied to the windows they
+    belong to: ``size / slide`` times less work per row on dense data.
     """
     if size < slide:
         raise ValueError("windows with gaps between them: size < slide")

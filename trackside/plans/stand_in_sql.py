@@ -168,7 +168,18 @@ FROM (SELECT *, time_bucket(INTERVAL '65 seconds', ts, TIMESTAMP '1970-01-01') A
 GROUP BY event_type, ws""",
     "sliding_window": _sliding(50, 5),
     "stint_window": _sliding(65, 7),
-    "pane_window": _sliding(65, 7),
+    "stint_window_mode": """
+WITH listed AS (
+  SELECT event_type, (props->>'k')::INTEGER % 8 AS gear, ts,
+         time_bucket(INTERVAL '10 seconds', ts, TIMESTAMP '1970-01-01')
+           - to_seconds(10 * k) AS ws
+  FROM events, range(7) AS r(k)),
+counted AS (
+  SELECT event_type, ws, gear, count(*) AS c
+  FROM listed WHERE ts < ws + INTERVAL '65 seconds' GROUP BY event_type, ws, gear)
+SELECT event_type, ws AS window_start, ws + INTERVAL '65 seconds' AS window_end,
+       arg_max(gear, c * 100 - gear) AS mode_gear, sum(c)::BIGINT AS n
+FROM counted GROUP BY event_type, ws""",
     "interval_join": f"""
 WITH {_LAPS}
 SELECT lap_id, l.user_id, lap, count(*) AS points,

@@ -191,9 +191,18 @@ def sliding_65(spark, folder):
     return _windows(spark, folder, "65 seconds", "10 seconds")
 
 
-def panes_65(spark, folder):
+def modes_65(spark, folder):
+    """A mode cannot be merged from panes, so rows are copied to their windows."""
     events = _read(spark, folder, "events")
-    return summary.pane_summary(events, ["event_type"], "ts", 65, 10, VALUE_MEASURES)
+    k = F.get_json_object("props", "$.k").cast("int")
+    return summary.window_summary(
+        events.withColumn("gear", k % 8),
+        ["event_type"],
+        "ts",
+        "65 seconds",
+        [mode_of("gear"), count_of("gear", "n")],
+        "10 seconds",
+    )
 
 
 # -- joins -------------------------------------------------------------------
@@ -217,9 +226,8 @@ def _laps(events: DataFrame) -> DataFrame:
 def points_in_laps(spark, folder):
     events = _read(spark, folder, "events")
     points = events.select("event_id", "user_id", "ts", "value")
-    held = joins.interval_join(
-        points, _laps(events), ["user_id"], "ts", "lap_start", "lap_end"
-    )
+    laps = tables.written(_laps(events), "laps")
+    held = joins.interval_join(points, laps, ["user_id"], "ts", "lap_start", "lap_end")
     measures = [count_of("event_id", "points"), sum_of("value", scale=2)]
     return summary.group_summary(held, ["lap_id", "user_id", "lap"], measures)
 
@@ -363,12 +371,12 @@ def session(spark, folder):
 def _race(events: DataFrame) -> dict[str, DataFrame]:
     """Users as drivers of one session each: views start laps, clicks are car
     points, errors weather samples."""
-    who = [F.col("user_id").cast("string").alias("session")]
+    who = F.col("user_id").cast("string").alias("session")
     driver = F.col("user_id").cast("string").alias("Driver")
     time = lambda c: F.col(c).cast("timestamp")
     length = time("lap_end") - time("lap_start")
     laps = _laps(events).select(
-        *who,
+        who,
         driver,
         F.col("lap").cast("int").alias("LapNumber"),
         time("lap_start").alias("lap_start"),
@@ -384,7 +392,7 @@ def _race(events: DataFrame) -> dict[str, DataFrame]:
     )
     k = F.get_json_object("props", "$.k").cast("int")
     telemetry = rows.entity_filter(events, "event_type", "click").select(
-        *who,
+        who,
         driver,
         time("ts").alias("ts"),
         F.col("value").alias("Speed"),
@@ -395,7 +403,7 @@ def _race(events: DataFrame) -> dict[str, DataFrame]:
         F.lit(0).alias("DRS"),
     )
     samples = rows.entity_filter(events, "event_type", "error").select(
-        *who,
+        who,
         time("ts").alias("ts"),
         F.col("value").alias("AirTemp"),
         k.cast("double").alias("Humidity"),
@@ -405,7 +413,11 @@ def _race(events: DataFrame) -> dict[str, DataFrame]:
         k.cast("double").alias("WindSpeed"),
         F.lit(0.0).alias("WindDirection"),
     )
-    return {"laps": laps, "car_telemetry": telemetry, "weather_samples": samples}
+    return {
+        "laps": tables.written(laps, "race-laps"),
+        "car_telemetry": telemetry,
+        "weather_samples": samples,
+    }
 
 
 def _race_messages(spark, folder, topic: str) -> DataFrame:
@@ -616,7 +628,7 @@ QUERIES: dict[str, Query] = {
     "tumbling_window": tumbling,
     "sliding_window": sliding_50,
     "stint_window": sliding_65,
-    "pane_window": panes_65,
+    "stint_window_mode": modes_65,
     "interval_join": points_in_laps,
     "asof_join": last_view,
     "asof_join_first_inside": first_error_in_lap,
