@@ -26,7 +26,7 @@ def skewed_events(n, seed, times=600):
     return out
 
 
-@pytest.mark.parametrize("hot_rows", [None, 50, 100_000])
+@pytest.mark.parametrize("hot_rows", [None, 3, 50, 100_000])
 def test_row_index(spark, hot_rows):
     data = skewed_events(900, 1)
     df = spark.createDataFrame(

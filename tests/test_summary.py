@@ -16,12 +16,28 @@ def test_mode_ties_and_nulls(spark):
         "lap int, gear int",
     )
     want = {1: 3, 2: 2, 3: 7, 4: None}
-    agg = summary.group_summary(df, ["lap"], [mode_of("gear")])
+    built_in = df.groupBy("lap").agg(mode_of("gear").expr())
     count = summary.mode_by_count(df, ["lap"], "gear")
-    assert {r[0]: r[1] for r in agg.collect()} == want
+    assert {r[0]: r[1] for r in built_in.collect()} == want
     assert {r[0]: r[1] for r in count.collect()} == want
 
 
+def test_mode_next_to_other_measures(spark):
+    df = spark.createDataFrame(
+        [(None, 3, 1.5), (None, 4, None), (None, 4, 2.0), (1, None, None)],
+        "lap int, gear int, v double",
+    )
+    measures = [avg_of("v", scale=2), mode_of("gear"), max_of("gear"), count_of("v"), avg_of("gear")]
+    one_step = df.groupBy("lap").agg(*(m.expr() for m in measures))
+    two_steps = summary.group_summary(df, ["lap"], measures)
+    assert two_steps.dtypes == one_step.dtypes
+    assert sorted(map(tuple, two_steps.collect()), key=repr) == sorted(
+        map(tuple, one_step.collect()), key=repr
+    )
+    both = summary.group_summary(df, [], [mode_of("gear"), mode_of("v")])
+    assert tuple(both.first()) == (4, 1.5)
+
+
 def test_all_null_group_and_null_key(spark):
     df = spark.createDataFrame(
         [("A", None), ("A", None), (None, 1.0), (None, 2.0)], "race string, t float"

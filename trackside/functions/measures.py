@@ -101,8 +101,7 @@ def count_of(column: str, name: str | None = None) -> Measure:
 def mode_of(column: str, name: str | None = None) -> Measure:
     """Most frequent value, the smallest of several.
 
-    Keeps one counter per distinct value and group in memory, so it is for
-    columns with few values (gears, categories); `operators.summary.mode_by_count`
-    does the rest.
+    In a stream or a window it keeps one counter per distinct value and group, so
+    there it is for columns with few values (gears, categories).
     """
     return Measure("mode", column, name or f"mode_{column.lower()}")

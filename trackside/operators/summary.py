@@ -8,7 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from trackside.functions.measures import Measure
+from trackside.functions.measures import Measure, mode_of
 from trackside.functions.timing import epoch_micros
 
 SECONDS_IN = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
@@ -17,24 +17,46 @@ SECONDS_IN = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 def group_summary(
     df: DataFrame, keys: Sequence[str], measures: Sequence[Measure]
 ) -> DataFrame:
-    """Aggregate per key, batch or stream. Rows with a NULL key form one group."""
+    """Aggregate per key, batch or stream. Rows with a NULL key form one group.
+
+    On a batch frame a single mode next to mergeable measures is counted in a
+    step of its own, as in `mode_by_count`.
+    """
+    modes = [m for m in measures if m.fn == "mode"]
+    others = [m for m in measures if m.fn != "mode"]
+    if len(modes) == 1 and not df.isStreaming and all(m.mergeable for m in others):
+        return _counted_summary(df, keys, measures, modes[0])
     return df.groupBy(*keys).agg(*(m.expr() for m in measures))
 
 
 def mode_by_count(
     df: DataFrame, keys: Sequence[str], column: str, name: str | None = None
 ) -> DataFrame:
-    """Most frequent value per key for columns with many values. Batch only.
+    """Most frequent value per key, the smallest of several. Batch only.
 
-    Counts (key, value) pairs first and then picks the largest count, the
-    smallest value of several, so no task holds the values of a whole key. A
-    group of NULLs only gets NULL.
+    Counts (key, value) pairs and then picks the largest count, so that no task
+    holds all values of a key, as the built-in mode does, and both steps reduce
+    the rows before they are shuffled. A group of NULLs only gets NULL.
     """
-    counts = df.groupBy(*keys, column).agg(F.count(column).alias("_n"))
+    return group_summary(df, keys, [mode_of(column, name)])
+
+
+def _counted_summary(
+    df: DataFrame, keys: Sequence[str], measures: Sequence[Measure], mode: Measure
+) -> DataFrame:
+    slices = (
+        df.withColumn("_value", F.col(mode.column))
+        .groupBy(*keys, "_value")
+        .agg(
+            F.count(mode.column).alias("_n"),
+            *(p for m in measures if m is not mode for p in m.partials()),
+        )
+    )
     # the least (-n, value) is the highest count with the lowest value
-    best = F.when(F.col("_n") > 0, F.struct(-F.col("_n"), F.col(column).alias("v")))
-    return counts.groupBy(*keys).agg(
-        F.min(best).getField("v").alias(name or f"mode_{column.lower()}")
+    best = F.when(F.col("_n") > 0, F.struct((-F.col("_n")).alias("n"), "_value"))
+    mode_value = F.min(best).getField("_value").alias(mode.name)
+    return slices.groupBy(*keys).agg(
+        *(mode_value if m is mode else m.merged() for m in measures)
     )
 
 

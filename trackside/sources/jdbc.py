@@ -28,6 +28,7 @@ class Database:
     password: str = field(default="", repr=False)
     fetch_size: int = 10_000
     batch_size: int = 10_000
+    connections: int = 16
 
     @staticmethod
     def mysql(
@@ -110,7 +111,12 @@ def write_options(
     db: Database, table: str, column_types: Mapping[str, str] | None = None
 ) -> dict[str, str]:
     """Writer options to append to `table`, made with `column_types` if absent."""
-    options = {**db.options(), "dbtable": table, "batchsize": str(db.batch_size)}
+    options = {
+        **db.options(),
+        "dbtable": table,
+        "batchsize": str(db.batch_size),
+        "numPartitions": str(db.connections),
+    }
     if column_types:
         options["createTableColumnTypes"] = ", ".join(
             f"{name} {kind}" for name, kind in column_types.items()
