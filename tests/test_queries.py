@@ -19,9 +19,22 @@ def test_every_query_has_sql():
     assert set(entry.queries()) == set(entry.oracle_sql())
 
 
+TYPES = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "FLOAT": "float",
+    "VARCHAR": "string",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
 @pytest.mark.parametrize("name", entry.queries())
 def test_query(spark, con, name):
-    columns, rows = spark_rows(entry.queries()[name](spark, FOLDER))
+    df = entry.queries()[name](spark, FOLDER)
+    described = con.execute("DESCRIBE " + entry.oracle_sql()[name]).fetchall()
+    assert dict(df.dtypes) == {row[0]: TYPES.get(row[1], row[1]) for row in described}
+    columns, rows = spark_rows(df)
     want_columns, want = duck_rows(con, entry.oracle_sql()[name])
     assert columns == want_columns
     assert len(rows) == len(want)

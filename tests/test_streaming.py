@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from trackside.functions.measures import count_of, max_of
 from trackside.operators.summary import group_summary, window_summary
+from trackside.functions.parsing import json_parse
 from trackside.functions.timing import with_event_time
 from trackside.plans import racing
 from trackside.sources import topics
@@ -198,6 +199,24 @@ def test_runs_until_sentinel(replay):
     assert len(seen) == 2
 
 
+def test_nothing_after_the_sentinel_of_a_partition(replay):
+    replay.send("car", *(
+        f'{{"partition": {p}, "offset": {o}, "value": "{v}"}}'
+        for p, o, v in ((0, 0, "a"), (0, 2, "late"), (1, 0, "b"), (1, 1, "c"))
+    ))
+    sent = json_parse(replay.source(), "partition int, offset long, value string")
+    end = sent.withColumn(
+        "value", F.when(F.col("value") == "late", topics.SENTINEL).otherwise(F.col("value"))
+    )
+    after = end.withColumn("offset", F.when(F.col("value") == "a", 5).otherwise(F.col("offset")))
+    seen = []
+    run.run_until_sentinel(
+        after, lambda batch, n: seen.extend(r["value"] for r in batch.collect()),
+        f"{replay.base}/c", timeout=300,
+    )
+    assert sorted(seen) == ["b", "c"]
+
+
 def test_no_sentinel_times_out(replay):
     replay.car("15:00:03")
     with pytest.raises(TimeoutError):

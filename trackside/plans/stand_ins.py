@@ -32,7 +32,9 @@ EVENTS = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
     "value double, props string"
 )
-WAIT = 3 * 3600
+WAIT = 24 * 3600
+# The files of a table are in no order of time, so a replay lets no row be late.
+REPLAY_DELAY = "10000 days"
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -41,8 +43,9 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 def _replay(spark: SparkSession, folder: str) -> DataFrame:
     """`events` as a stream, from one file or a folder of files."""
+    reader = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1000)
     # as a glob, since a plain path would have to be a folder
-    return spark.readStream.schema(EVENTS).parquet(f"{folder}/{{events}}.parquet")
+    return reader.parquet(f"{folder}/{{events}}.parquet")
 
 
 # -- parsing and rows --------------------------------------------------------
@@ -551,22 +554,23 @@ def _live(df: DataFrame, mode: str, name: str) -> DataFrame:
 
 def live_car(spark, folder):
     car = racing.car_records(_car_messages(_replay(spark, folder)))
-    out = _live(racing.live_car_summary(car, measures=CAR_EXACT), "complete", "car")
-    return run.last_batch(out)
+    summed = racing.live_car_summary(car, REPLAY_DELAY, CAR_EXACT)
+    return run.last_batch(_live(summed, "complete", "car"))
 
 
 def live_stint(spark, folder):
     lap = racing.lap_records(_lap_messages(_replay(spark, folder)))
-    windows = racing.live_stint_windows(
-        lap, measures=(avg_of("LapTime", "average_lap_time", scale=6), *LAP_EXACT[1:])
-    )
+    measures = (avg_of("LapTime", "average_lap_time", scale=6), *LAP_EXACT[1:])
+    windows = racing.live_stint_windows(lap, delay=REPLAY_DELAY, measures=measures)
     out = _live(windows, "update", "stint")
     return _no_zone(run.latest_by_key(out, [*racing.STINT, *BOUNDS]))
 
 
 def live_weather(spark, folder):
     weather = racing.weather_records(_weather_messages(_replay(spark, folder)))
-    windows = racing.live_weather_windows(weather, measures=WEATHER_EXACT)
+    windows = racing.live_weather_windows(
+        weather, delay=REPLAY_DELAY, measures=WEATHER_EXACT
+    )
     out = _live(windows, "update", "weather")
     return _no_zone(run.latest_by_key(out, ["Race", *BOUNDS]))
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from trackside.functions.parsing import is_sentinel
+from trackside.operators.rows import sentinel_cut
 
 BATCH = "batch_id"
 TRANSIENT_SINKS = ("console", "memory", "noop")
@@ -111,13 +112,21 @@ def run_until_sentinel(
     """Feed micro-batches of messages to `write` until the sentinels have come.
 
     A topic with several partitions ends when each has sent its sentinel, so
-    `sentinels` is their number. Sentinels themselves are not passed on.
+    `sentinels` is their number. Sentinels are not passed on, nor, where the
+    messages have `partition` and `offset`, what follows one in its batch.
     """
     seen = {}
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        write(batch.where(~is_sentinel(value)), batch_id)
-        seen[batch_id] = batch.where(is_sentinel(value)).count()
+        batch.persist()
+        try:
+            if {"partition", "offset"} <= set(batch.columns):
+                write(sentinel_cut(batch, ["partition"], value=value), batch_id)
+            else:
+                write(batch.where(~is_sentinel(value)), batch_id)
+            seen[batch_id] = batch.where(is_sentinel(value)).count()
+        finally:
+            batch.unpersist()
 
     query = run_stream(messages, step, "append", checkpoint, trigger)
     give_up = time.monotonic() + timeout
