@@ -44,6 +44,11 @@ def test_nan_kept_on_request(spark):
     assert math.isnan(racing.car_records(df, keep_nan=True).first()["Speed"])
 
 
+def test_messages_are_parsed_once(spark, capsys):
+    racing.car_summary(racing.car_records(messages(spark, "{}").repartition(2))).explain()
+    assert capsys.readouterr().out.count("from_json") == 1
+
+
 def test_bytes_read_like_text(spark):
     df = messages(spark, '{"LapNumber": 1}').withColumn("value", F.encode("value", "utf-8"))
     assert racing.car_records(df).first()["LapNumber"] == 1

@@ -49,9 +49,10 @@ def json_parse(
     and a number out of range all read as NULL; field names are case-sensitive.
     Columns named in `keep` (topic, offset, the raw value) stay in front.
     """
-    parsed = messages.select(
-        *keep, F.from_json(F.col(value).cast("string"), schema).alias("_record")
-    ).select(*keep, "_record.*")
+    record = F.from_json(F.col(value).cast("string"), schema)
+    # a generator, since a filter on a parsed field would otherwise be moved in
+    # front of the projection and parse every message a second time
+    parsed = messages.select(*keep, F.inline(F.array(record)))
     if keep_nan:
         return parsed
     return parsed.select(

@@ -121,11 +121,23 @@ def ordered_blocks(
     splits = _split_points(df, keys, order, found, hot_rows, max_blocks)
     renamed = [f"_k{i}" for i in range(len(keys))]
     position = F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order)))
+    reached = lambda split: split <= F.col("_at")
     cut = (
         df.withColumn("_at", position)
         .join(F.broadcast(splits), _same(keys, renamed), "left")
-        .withColumns({HOT: F.col("_splits").isNotNull(), BLOCK: _block_of()})
-        .drop("_at", "_splits", "_coarse", "_step", *renamed)
+        # first among every `_step`-th split point, then among those that follow
+        .withColumn("_start", F.size(F.filter("_coarse", reached)) - 1)
+        .withColumn("_start", F.greatest(F.col("_start"), F.lit(0)) * F.col("_step"))
+        .withColumn("_near", F.slice("_splits", F.col("_start") + 1, F.col("_step")))
+        .withColumns(
+            {
+                HOT: F.col("_splits").isNotNull(),
+                BLOCK: F.when(F.col("_splits").isNull(), 0).otherwise(
+                    F.col("_start") + F.size(F.filter("_near", reached))
+                ),
+            }
+        )
+        .drop("_at", "_splits", "_coarse", "_step", "_start", "_near", *renamed)
     )
     table = splits.select(
         *(F.col(r).alias(k) for r, k in zip(renamed, keys)),
@@ -134,17 +146,6 @@ def ordered_blocks(
     return Blocks(cut, keys, table)
 
 
-def _block_of() -> Column:
-    """Number of split points up to the row: first among every `_step`-th of
-    them, then among those that follow the last one found."""
-    reached = lambda s: s <= F.col("_at")
-    coarse = F.greatest(F.size(F.filter("_coarse", reached)) - 1, F.lit(0))
-    start = coarse * F.col("_step")
-    near = F.slice("_splits", start + 1, F.col("_step"))
-    block = start + F.size(F.filter(near, reached))
-    return F.when(F.col("_splits").isNull(), 0).otherwise(block)
-
-
 def same_key(left: str, right: str, keys: Sequence[str]) -> Column:
     """Join condition for two aliased frames: equal keys, NULL equal to NULL."""
     return _all(F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys)
