@@ -43,6 +43,13 @@ def test_row_index(spark, hot_rows):
     assert out.columns == ["k", "ts", "id", "idx"]
 
 
+@pytest.mark.parametrize("hot_rows", [None, 50])
+def test_row_index_without_keys(spark, hot_rows):
+    df = spark.range(300).select((F.col("id") * 7919 % 300).alias("n"))
+    out = rows.row_index(df, [], ["n"], hot_rows=hot_rows)
+    assert all(r["n"] == r["idx"] for r in out.collect()) and out.count() == 300
+
+
 def test_hot_key_is_cut_evenly(spark):
     df = spark.createDataFrame(
         [("hot", 7, i) for i in range(4000)] + [("k", 7, i) for i in range(9)],
@@ -153,9 +160,9 @@ def test_interval_join_plan(spark, capsys):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-def asof_frames(spark, seed):
-    laps = skewed_events(500, seed)
-    samples = skewed_events(240, seed + 1)
+def asof_frames(spark, seed, times=600):
+    laps = skewed_events(500, seed, times)
+    samples = skewed_events(240, seed + 1, times)
     left = spark.createDataFrame(
         [(k, at(s), i, at(s + 20)) for k, s, i in laps],
         "k string, ts timestamp_ntz, id int, until timestamp_ntz",
@@ -167,10 +174,11 @@ def asof_frames(spark, seed):
     return laps, samples, left, right
 
 
-@pytest.mark.parametrize("hot_rows", [None, 40, 100_000])
+@pytest.mark.parametrize("times", [600, 3])
+@pytest.mark.parametrize("hot_rows", [None, 20, 100_000])
 @pytest.mark.parametrize("inside", [False, True])
-def test_asof_join(spark, hot_rows, inside):
-    laps, samples, left, right = asof_frames(spark, 3)
+def test_asof_join(spark, hot_rows, inside, times):
+    laps, samples, left, right = asof_frames(spark, 3, times)
     out = joins.asof_join(
         left, right, ["k"], "ts", "at", "seq", "until" if inside else None, "w", hot_rows
     )

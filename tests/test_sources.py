@@ -53,6 +53,44 @@ def test_topic_source_needs_one_place(spark):
         topics.write_topic(spark.createDataFrame([("a", "b")], "topic string, value string"))
 
 
+class Recorder:
+    """Stands for a reader or writer; notes what it is told."""
+
+    def __init__(self):
+        self.told = {}
+
+    def format(self, name):
+        self.told["format"] = name
+        return self
+
+    def option(self, key, value):
+        self.told[key] = value
+        return self
+
+    def options(self, **settings):
+        self.told.update(settings)
+        return self
+
+    def load(self):
+        return self.told
+
+
+def test_broker_options():
+    session = SimpleNamespace(readStream=Recorder(), read=Recorder())
+    told = topics.topic_source(
+        session, "lap", servers="b:9092", options={"maxOffsetsPerTrigger": "5000"}
+    )
+    assert told == {
+        "format": "kafka",
+        "kafka.bootstrap.servers": "b:9092",
+        "subscribe": "lap",
+        "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": "5000",
+    }
+    topics.topic_source(session, "lap", servers="b:9092", stream=False, starting="latest")
+    assert session.read.told["startingOffsets"] == "latest"
+
+
 def test_scratch_folder():
     def session(**settings):
         settings = {k.replace("_", "."): v for k, v in settings.items()}

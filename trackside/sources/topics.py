@@ -79,9 +79,10 @@ def append_sentinel(
     `extra` gives values for further columns of `messages` (an offset, say);
     columns it leaves out are NULL there.
     """
-    spark = messages.sparkSession
-    ends = spark.createDataFrame(
-        [(topic, SENTINEL) for topic in topics], "topic string, value string"
+    one = messages.sparkSession.range(1, numPartitions=1)
+    ends = one.select(
+        F.explode(F.array(*map(F.lit, topics))).alias("topic"),
+        F.lit(SENTINEL).alias("value"),
     ).withColumns(dict(extra or {}))
     return messages.unionByName(ends, allowMissingColumns=True)
 
