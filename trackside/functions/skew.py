@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 BROADCAST_ROWS = 10_000
 HOT_ROWS = 2_000_000
-MAX_HOT_KEYS = 1024
-MAX_BLOCKS = 4096
+MAX_HOT_KEYS = 16_384
+MAX_BLOCKS = 16_384
 SAMPLE_PER_BLOCK = 32
 
 BLOCK = "_block"
@@ -106,8 +106,8 @@ def ordered_blocks(
     over (keys, block) plus one carried value per block equals the scan over
     keys. Split points are quantiles of a sample of the hot keys' `order`
     values; they decide how even the blocks are, never what the result is. They
-    are fetched (`max_blocks` values at most) and used as literals, so that
-    every use and every retried task sees the same blocks.
+    are fetched (at most `max_blocks` and one per hot key) and used as literals,
+    so that every use and every retried task sees the same blocks.
 
     Counts the rows per key first; `hot_rows=None` skips that and leaves every
     key whole.

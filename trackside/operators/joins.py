@@ -27,7 +27,9 @@ def interval_join(
     A span is half-open: ``start <= ts < end``. Spans are listed under the time
     bins they touch and points under the one bin they fall in, so the join is an
     equi-join on (keys, bin) that compares a point only with spans near it, and
-    a key with most of the rows is spread over its bins.
+    a key with most of the rows is spread over its bins. Should most points fall
+    into one bin, adaptive execution splits it: no step follows the join that
+    needs its partitioning.
 
     Bins are as wide as the mean span is long (or `bin_seconds`). Longer spans
     go under bins 4096, 4096^2, ... times as wide, so that none is listed more
