@@ -6,6 +6,7 @@ from types import SimpleNamespace
 import pytest
 
 from trackside import schemas
+from trackside.functions import skew
 from trackside.plans import racing
 from trackside.sources import jdbc, tables, topics
 
@@ -155,7 +156,9 @@ def test_load_session_checks_columns(spark, tmp_path):
         tables.load_session(spark, str(tmp_path), tables={"laps": "session string"})
 
 
-def test_session_messages(spark):
+@pytest.mark.parametrize("hot_rows", [5, skew.HOT_ROWS])
+def test_session_messages(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr(skew, "HOT_ROWS", hot_rows)
     frames = race(spark)
     sent = racing.session_messages(
         frames["laps"], frames["car_telemetry"], frames["weather_samples"], "Grand Prix", 1.07

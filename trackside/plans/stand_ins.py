@@ -582,7 +582,7 @@ def late(spark, folder):
     events = _read(spark, folder, "events")
     first, last = events.agg(F.min("ts"), F.max("ts")).first()
     middle = (first + (last - first) / 2).replace(hour=0, minute=0, second=0, microsecond=0)
-    newer = F.col("ts") >= F.lit(middle).cast("timestamp_ntz")
+    newer = F.col("ts") >= F.lit(str(middle)).cast("timestamp_ntz")
     measures = [count_of("value", "n"), max_of("value")]
     for half in (events.where(newer), events.where(~newer)):
         topics.write_topic(
