@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trackside.llm import frames, language
+from trackside.llm import decision_list, frames, language, line_dedup, mixing
+from trackside.llm.sql import SQL  # noqa: F401
+from trackside.sources import tables
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -30,7 +32,47 @@ def language_id(spark, folder):
     )
 
 
+def line_dedup_query(spark, folder):
+    """Documents without the sentences that an earlier one holds."""
+    docs = _read(spark, folder, "documents")
+    out = line_dedup.deduplicated(docs)
+    text = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["start"], s["end"])), ","
+    )
+    return out.select(
+        "doc_id",
+        "text",
+        F.size("cut").cast("bigint").alias("n_cut"),
+        text(F.col("cut")).alias("cut"),
+        text(F.col("kept")).alias("kept"),
+    )
+
+
+def quality_rules(spark, folder):
+    """Counts of each document and the verdict of rules learnt from the labels."""
+    docs, labels = _read(spark, folder, "documents"), _read(spark, folder, "labels")
+    counted = tables.written(decision_list.statistics(docs), "rule-counts")
+    features = decision_list.with_features(counted)
+    labels = frames.picked(labels, doc_id="doc_id", label="quality")
+    labelled = tables.written(features.join(labels, "doc_id"), "rule-labelled")
+    rules = decision_list.learn(labelled)
+    out = decision_list.judged(features, rules)
+    return out.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "rule",
+    )
+
+
+def mix_sources(spark, folder):
+    """Each document as often as its source's share wants it, in random order."""
+    return mixing.mixed(_read(spark, folder, "documents")).withColumn(
+        "copy", F.col("copy").cast("bigint")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_line_dedup": line_dedup_query,
+    "op5_quality_rules": quality_rules,
+    "op9_mix_sources": mix_sources,
     "op10_language_id": language_id,
 }
-SQL: dict[str, str] = {}
