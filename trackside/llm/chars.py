@@ -9,6 +9,8 @@ import numpy as np
 
 TOP = 0x33000  # letters lie below
 SPACE = 32
+CONTEXT = 1  # in place of a third character
+BUCKETS = 1 << 17  # of trigrams
 CHUNK = 1 << 20
 
 
@@ -73,9 +75,10 @@ class Scan:
             np.diff(np.searchsorted(at, np.append(self.starts, len(self.codes)))),
         )
 
-    def trigrams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Places of the trigrams of all words, each word with a space on either
-        side; the trigrams' hashes; where each word's first one stands."""
+    def trigrams(self, contexts: bool = False) -> tuple[np.ndarray, ...]:
+        """The trigrams of all words, each word with a space on either side: their
+        hashes, and where each word's first one stands or, with `contexts`, the
+        hashes of the two characters before."""
         seen = np.where(self.letter, self.low, np.uint32(SPACE))
         one = np.empty_like(seen)
         one[0], one[1:] = SPACE, seen[:-1]
@@ -83,10 +86,11 @@ class Scan:
         two[:2], two[2:] = SPACE, seen[:-2]
         two[one == SPACE] = SPACE
         used = self.letter | (one != SPACE)
-        at = np.flatnonzero(used)
-        count = np.cumsum(used, dtype=np.int32)
-        first = count[self.word_start] - 1
-        return at, trigram_hash(two, one, seen)[at], first
+        hashed = trigram_hash(two, one, seen)[used]
+        if contexts:
+            return hashed, trigram_hash(two, one, np.full_like(seen, CONTEXT))[used]
+        first = np.cumsum(used, dtype=np.int32)[self.word_start] - 1
+        return hashed, first
 
 
 def trigram_hash(two, one, now):

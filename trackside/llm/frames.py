@@ -54,8 +54,17 @@ def held_out(doc_id: Column | str, of: int, rest: int) -> Column:
     return F.coalesce(remainder(doc_id, of) == rest, F.lit(False))
 
 
+def about(df: DataFrame, key: Column | str, most: int) -> DataFrame:
+    """About `most` rows of `df`, or all: those whose hashed `key` falls below the
+    share that is wanted. The same rows every time, without a sort."""
+    n = df.count()
+    if n <= most:
+        return df
+    return df.where(F.pmod(F.xxhash64(key), F.lit(2**31)) < int(most / n * 2**31))
+
+
 def labelled_sample(labels: DataFrame, label: str, train: Column, most: int) -> DataFrame:
-    """At most `most` rows (id, label) of `labels` for fitting, in hash order.
+    """About `most` rows (id, label) of `labels` for fitting, or all if fewer.
 
     Rows without id or label and those outside `train` (a condition on column
     `id`) don't count. Of several labels for one id the larger counts.
@@ -66,4 +75,11 @@ def labelled_sample(labels: DataFrame, label: str, train: Column, most: int) ->
         .groupBy("id")
         .agg(F.max("label").cast("int").alias("label"))
     )
-    return one.orderBy(F.xxhash64("id"), "id").limit(most)
+    return about(one, "id", most)
+
+
+def texts_of(docs: DataFrame, sample: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Columns `label` and `text` of the documents in `sample` (id, label), which
+    has a bounded number of narrow rows and is broadcast."""
+    rows = picked(docs, id=doc_id, text=text)
+    return rows.join(F.broadcast(sample), "id").select("label", "text")

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from trackside.llm import chars, frames
 
-BUCKETS = 1 << 17
+BUCKETS = chars.BUCKETS
 SWITCH = 12.0  # nats
 NONE = "und"
 OUT = "struct<lang:string,score:double,spans:array<struct<start:int,end:int,lang:string>>>"
@@ -88,7 +88,7 @@ def _count(batches):
             )
             for i, j in chars.chunks(own):
                 scan = chars.Scan(own[i:j])
-                _, hashed, _ = scan.trigrams()
+                hashed, _ = scan.trigrams()
                 total[:BUCKETS] += np.bincount(hashed, minlength=BUCKETS)
                 total[BUCKETS:-1] += np.bincount(
                     _scripts(scan.codes[scan.letter]), minlength=len(SCRIPT_NAMES)
@@ -173,7 +173,7 @@ def best_path(
 
 
 def _emissions(scan: chars.Scan, model: Model) -> np.ndarray:
-    _, hashed, first = scan.trigrams()
+    hashed, first = scan.trigrams()
     if not len(first):
         return np.zeros((0, len(model.langs)), dtype=np.float32)
     scores = np.add.reduceat(np.take(model.logp, hashed, axis=0), first, axis=0)

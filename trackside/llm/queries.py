@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trackside.llm import decision_list, frames, language, line_dedup, mixing
+from trackside.llm import (
+    decision_list,
+    embedding_dedup,
+    frames,
+    language,
+    line_dedup,
+    mixing,
+    personal,
+    quality,
+    simhash,
+    toxicity,
+)
 from trackside.llm.sql import SQL  # noqa: F401
 from trackside.sources import tables
 
@@ -32,6 +43,39 @@ def language_id(spark, folder):
     )
 
 
+def toxicity_score(spark, folder):
+    """Toxicity of each document's restored text, learnt from four fifths of the labels."""
+    docs, labels = _read(spark, folder, "documents"), _read(spark, folder, "labels")
+    model = toxicity.character_model(docs)
+    train = ~frames.held_out("id", 5, 0)
+    sample = frames.labelled_sample(labels, "toxic", train, toxicity.SAMPLE)
+    scorer = toxicity.fit(docs, sample, model)
+    found = toxicity.score(F.col("text"), model, scorer, with_text=False)
+    out = frames.picked(docs, doc_id="doc_id", text="text").withColumn("score", found["score"])
+    return out.select(
+        "doc_id",
+        frames.held_out("doc_id", 5, 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def simhash_dedup(spark, folder):
+    """Fingerprint and near-copy group of each document."""
+    found = simhash.groups(_read(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        simhash.hexadecimal(F.col("print")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
+def embedding_dedup_query(spark, folder):
+    """Links and group of each vector, within its label."""
+    found = embedding_dedup.linked(_read(spark, folder, "embeddings"))
+    return found.withColumnRenamed("component", "component_id")
+
+
 def line_dedup_query(spark, folder):
     """Documents without the sentences that an earlier one holds."""
     docs = _read(spark, folder, "documents")
@@ -63,6 +107,35 @@ def quality_rules(spark, folder):
     )
 
 
+def quality_classifier(spark, folder):
+    """Quality of each document, learnt from good ones and unlabelled ones."""
+    docs, labels = _read(spark, folder, "documents"), _read(spark, folder, "labels")
+    train = ~frames.held_out("id", 4, 2)
+    model = quality.fit(docs, quality.trusted(labels, train))
+    out = frames.picked(docs, doc_id="doc_id", text="text")
+    return out.select(
+        "doc_id",
+        frames.held_out("doc_id", 4, 2).alias("held_out"),
+        quality.score(F.col("text"), model).alias("score"),
+    ).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+def personal_data(spark, folder):
+    """Personal data in each document: counts, and places as text."""
+    docs = _read(spark, folder, "documents")
+    model = personal.fit(docs)
+    found = frames.picked(docs, doc_id="doc_id", text="text").withColumn(
+        "found", personal.find(F.col("text"), model, with_text=False)
+    )
+    of_kind = lambda kind: F.size(F.filter("found.base", lambda s: s["kind"] == kind))
+    return found.select(
+        "doc_id",
+        *(of_kind(kind).cast("bigint").alias(f"n_{kind}") for kind in personal.KINDS),
+        F.sha2(personal.listed(F.col("found.base")), 256).alias("base_sha256"),
+        personal.listed(F.col("found.spans")).alias("spans"),
+    )
+
+
 def mix_sources(spark, folder):
     """Each document as often as its source's share wants it, in random order."""
     return mixing.mixed(_read(spark, folder, "documents")).withColumn(
@@ -71,8 +144,13 @@ def mix_sources(spark, folder):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": toxicity_score,
+    "op2_simhash_dedup": simhash_dedup,
     "op3_line_dedup": line_dedup_query,
+    "op4_embedding_dedup": embedding_dedup_query,
     "op5_quality_rules": quality_rules,
+    "op6_quality_classifier": quality_classifier,
+    "op7_personal_data": personal_data,
     "op9_mix_sources": mix_sources,
     "op10_language_id": language_id,
 }

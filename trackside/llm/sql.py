@@ -67,7 +67,32 @@ SELECT doc_id, text, lang, source, n_chars, copy, md5('mix-1:' || key || ':' ||
 FROM (SELECT *, unnest(range(0, copies)) AS copy FROM counted)
 """
 
+EMBEDDING_DEDUP = """
+WITH RECURSIVE vectors AS (
+  SELECT row_number() OVER () AS row, vec_id, label, embedding::DOUBLE[] AS vector FROM embeddings
+), sound AS (
+  SELECT * FROM vectors WHERE label IS NOT NULL AND vector IS NOT NULL
+    AND len(list_filter(vector, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(vector, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.row AS a, b.row AS b FROM sound a JOIN sound b
+    ON a.label = b.label AND len(a.vector) = len(b.vector) AND a.row <> b.row
+  WHERE list_cosine_similarity(a.vector, b.vector) >= 0.98
+), reached AS (
+  SELECT row AS a, row AS b FROM vectors
+  UNION
+  SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+), least AS (
+  SELECT r.a AS row, min(v.vec_id) AS component_id
+  FROM reached r JOIN vectors v ON v.row = r.b GROUP BY r.a
+), counted AS (SELECT a AS row, count(*) AS n FROM links GROUP BY a)
+SELECT v.vec_id, coalesce(c.n, 0) AS n_links, l.component_id,
+  v.vec_id IS NOT DISTINCT FROM l.component_id AS kept
+FROM vectors v JOIN least l USING (row) LEFT JOIN counted c USING (row)
+"""
+
 SQL: dict[str, str] = {
+    "op4_embedding_dedup": EMBEDDING_DEDUP,
     "op3_line_dedup": LINE_DEDUP,
     "op9_mix_sources": MIX_SOURCES,
 }
