@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
+from corpus_pipeline import tokenizer
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trackside.llm import (
@@ -14,6 +16,7 @@ from trackside.llm import (
     line_dedup,
     mixing,
     personal,
+    pieces,
     quality,
     simhash,
     toxicity,
@@ -136,6 +139,19 @@ def personal_data(spark, folder):
     )
 
 
+def sentencepiece(spark, folder, path: str | None = None):
+    """Ids of each document, and whether they decode to the text again."""
+    words = pieces.vocabulary(path or tokenizer())
+    docs = frames.picked(_read(spark, folder, "documents"), doc_id="doc_id", text="text")
+    ids = docs.withColumn("ids", pieces.encoded(F.col("text"), words))
+    return ids.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_ids"),
+        "ids",
+        F.col("text").eqNullSafe(pieces.decoded(F.col("ids"), words)).alias("same_again"),
+    )
+
+
 def mix_sources(spark, folder):
     """Each document as often as its source's share wants it, in random order."""
     return mixing.mixed(_read(spark, folder, "documents")).withColumn(
@@ -151,6 +167,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": quality_rules,
     "op6_quality_classifier": quality_classifier,
     "op7_personal_data": personal_data,
+    "op8_sentencepiece": sentencepiece,
     "op9_mix_sources": mix_sources,
     "op10_language_id": language_id,
+    "pipeline": corpus_pipeline.run,
 }
