@@ -70,7 +70,7 @@ FROM (SELECT *, unnest(range(0, copies)) AS copy FROM counted)
 EMBEDDING_DEDUP = """
 WITH RECURSIVE vectors AS (
   SELECT row_number() OVER () AS row, vec_id, label, embedding::DOUBLE[] AS vector FROM embeddings
-), sound AS (
+), sound AS MATERIALIZED (
   SELECT * FROM vectors WHERE label IS NOT NULL AND vector IS NOT NULL
     AND len(list_filter(vector, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND len(list_filter(vector, lambda x: x <> 0)) > 0
