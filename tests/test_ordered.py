@@ -219,7 +219,7 @@ def test_nest_and_unpack(spark, hot_rows):
     for key in ("hot", "none", "empty", "k1"):
         own = sorted((r["part"], r) for r in records if r["k"] == key)
         assert [p for p, _ in own] == list(range(len(own)))
-        assert [r["head"] is not None for _, r in own] == [True] + [False] * (len(own) - 1)
+        assert [r["head"]["size"] for _, r in own] == [len(key)] * len(own)
         items = [(i["t"], i["id"]) for _, r in own for i in r["items"]]
         assert items == sorted((s, i) for k, s, i in data if k == key)
     assert {r["k"] for r in records} == {"hot", "none", "empty", "k1", "k2", "k3"}

@@ -5,8 +5,10 @@ from types import SimpleNamespace
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from trackside import schemas
-from trackside.functions import skew
+from trackside.functions import parsing, skew
 from trackside.plans import racing
 from trackside.sources import jdbc, tables, topics
 
@@ -192,3 +194,44 @@ def test_one_driver_without_skipping(spark):
     frames = race(spark)
     laps = racing.session_laps(frames["laps"], "B", 1.07, skip_first=0)
     assert sorted(r["LapNumber"] for r in laps.collect()) == [1, 2, 4]
+
+
+def test_race_by_session(spark):
+    frames = race(spark)
+    two = {n: df.union(df.withColumn("session", F.lit("gp2"))) for n, df in frames.items()}
+    ways = [
+        {"gp": "First", "gp2": "Second"},
+        F.when(F.col("session") == "gp", "First").otherwise("Second"),
+    ]
+    for names in ways:
+        sent = racing.session_messages(*two.values(), names, 1.07, topics=["weather"])
+        summed = racing.weather_summary(racing.weather_records(sent["weather"]))
+        assert {r["Race"] for r in summed.collect()} == {"First", "Second"}
+
+
+def test_messages_carry_key_and_time(spark, tmp_path):
+    sent = racing.session_messages(*race(spark).values(), "Grand Prix", 1.07)
+    for messages in sent.values():
+        assert messages.columns == ["key", "sent_at", "topic", "value"]
+        assert {r["key"] for r in messages.collect()} == {"gp:A", "gp:B"}
+        assert messages.where(parsing.is_sentinel()).count() == 0
+    racing.send_messages(sent, folder=str(tmp_path))
+    for topic in sent:
+        back = topics.topic_source(spark, topic, folder=str(tmp_path), stream=False)
+        assert back.count() == sent[topic].count() + 1
+        assert back.where(parsing.is_sentinel()).count() == 1
+
+
+def test_lap_with_many_points(spark):
+    """6,000 points of one lap fill two messages and all come back."""
+    frames = race(spark)
+    many = frames["car_telemetry"].limit(0).union(
+        spark.range(6000).selectExpr(
+            "'gp'", "'A'", "timestamp '2024-03-02 15:01:40' + make_dt_interval(0, 0, 0, id / 100.0)",
+            "1.0D", "2.0D", "true", "3", "4", "0",
+        )
+    )
+    sent = racing.session_messages(frames["laps"], many, frames["weather_samples"], "GP", 1.07, "A", topics=["dbstore"])
+    records = racing.nested_records(sent["dbstore"])
+    own = records.where("lap.LapNumber = 2").select("part", "lap.Driver", F.size("car").alias("n"))
+    assert sorted(map(tuple, own.collect())) == [(0, "A", 5000), (1, "A", 1000)]

@@ -193,7 +193,7 @@ def test_runs_until_sentinel(replay):
     query = run.run_until_sentinel(
         replay.source(),
         lambda batch, n: seen.extend(r["value"] for r in batch.collect()),
-        f"{replay.base}/c", timeout=300,
+        f"{replay.base}/c", idle=300,
     )
     assert not query.isActive
     assert len(seen) == 2
@@ -212,16 +212,108 @@ def test_nothing_after_the_sentinel_of_a_partition(replay):
     seen = []
     run.run_until_sentinel(
         after, lambda batch, n: seen.extend(r["value"] for r in batch.collect()),
-        f"{replay.base}/c", timeout=300,
+        f"{replay.base}/c", idle=300,
     )
     assert sorted(seen) == ["b", "c"]
 
 
+def placed(replay, *rows):
+    """One file of messages with a partition and an offset of their own."""
+    replay.send("car", *(f'{{"partition": {p}, "offset": {o}, "v": "{v}"}}' for p, o, v in rows))
+
+
+def placed_source(replay):
+    sent = json_parse(replay.source(), "partition int, offset long, v string")
+    end = F.when(F.col("v") == "end", topics.SENTINEL).otherwise(F.col("v"))
+    return sent.select("partition", "offset", end.alias("value"))
+
+
+def test_each_partition_ends_at_its_own_sentinel(replay):
+    """The sentinels come in different batches; two in one partition count once,
+    and what follows one is cut in later batches too."""
+    placed(replay, (0, 0, "a"), (0, 1, "end"), (0, 2, "end"), (1, 0, "b"))
+    placed(replay, (0, 3, "late"), (1, 1, "c"))
+    placed(replay, (1, 2, "d"), (1, 3, "end"), (1, 4, "late"), (0, 4, "late"))
+    seen = []
+    run.run_until_sentinel(
+        placed_source(replay), lambda batch, n: seen.extend(r["value"] for r in batch.collect()),
+        f"{replay.base}/c", sentinels=2, idle=300,
+    )
+    assert sorted(seen) == ["a", "b", "c", "d"]
+
+
+def test_restart_knows_which_partitions_have_ended(replay):
+    seen = []
+
+    def go():
+        return run.run_until_sentinel(
+            placed_source(replay), lambda batch, n: seen.extend(r["value"] for r in batch.collect()),
+            f"{replay.base}/c", sentinels=2, idle=4,
+        )
+
+    placed(replay, (0, 0, "a"), (0, 1, "end"), (1, 0, "b"))
+    with pytest.raises(TimeoutError):
+        go()
+    placed(replay, (0, 2, "late"), (1, 1, "c"), (1, 2, "end"))
+    go()
+    assert sorted(seen) == ["a", "b", "c"]
+    placed(replay, (1, 3, "late"))
+    assert go() is None and sorted(seen) == ["a", "b", "c"]
+
+
+def test_sentinel_follows_the_data(replay, spark):
+    """Messages of many tasks all arrive before the sentinel that is sent after."""
+    df = spark.range(2000).selectExpr("'car' AS topic", "to_json(struct(id)) AS value")
+    topics.write_topic(df.repartition(40), folder=f"{replay.base}/topics")
+    topics.end_topics(spark, {"car": 1}, folder=f"{replay.base}/topics")
+    seen = []
+    source = topics.topic_source(
+        spark, "car", folder=f"{replay.base}/topics", options={"maxFilesPerTrigger": "4"}
+    )
+    run.run_until_sentinel(
+        source, lambda batch, n: seen.append(batch.count()), f"{replay.base}/c", idle=300
+    )
+    assert sum(seen) == 2000 and len(seen) >= 10
+
+
+def test_time_slices_let_no_row_be_late(replay, spark):
+    """Sent by time slices, windows with no delay drop nothing, and their state is
+    given up as time goes on."""
+    df = spark.range(3000).selectExpr(
+        "timestamp_seconds(1709391600 + id * 7 % 3000 * 10) AS Timestamp",
+        "CAST(id % 3 AS int) AS LapNumber", "CAST(id AS float) AS Speed",
+    )
+    messages = topics.publish_topic(df, "car", key="LapNumber", time="Timestamp")
+    slices = topics.time_slices(messages, 5)
+    assert len(slices) == 5 and sum(x.count() for x in slices) == 3000
+    for one in slices:
+        topics.write_topic(one.select("topic", "value").coalesce(1), folder=f"{replay.base}/topics")
+    query, out = replay.run(windows(replay), "update")
+    metrics = run.stream_metrics(query)
+    assert sum(m["late_rows"] for m in metrics) == 0
+    latest = run.latest_by_key(out, ["LapNumber", "window_start", "window_end"])
+    assert latest.agg(F.sum("n")).first()[0] == 3000
+    assert max(m["state_rows"] for m in metrics) < latest.count() / 2
+
+
+def test_batch_without_rows_clears_its_first_run(spark, tmp_path):
+    write = run.versions_writer(str(tmp_path / "v"))
+    df = spark.createDataFrame([(1, 2)], "k int, v int")
+    write(df, 0)
+    write(df, 1)
+    write(df.limit(0), 1)
+    assert spark.read.parquet(str(tmp_path / "v")).count() == 1
+    table = run.table_writer(str(tmp_path / "t"))
+    table(df.union(df), 0)
+    table(df, 1)
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1
+
+
 def test_no_sentinel_times_out(replay):
     replay.car("15:00:03")
     with pytest.raises(TimeoutError):
         run.run_until_sentinel(
-            replay.source(), lambda batch, n: None, f"{replay.base}/c", timeout=3
+            replay.source(), lambda batch, n: None, f"{replay.base}/c", idle=3
         )
 
 
@@ -243,6 +335,13 @@ def test_store_split(replay, spark):
     )
     read = lambda t: spark.read.parquet(f"{tables}/{t}")
     assert (read("lap").count(), read("weather").count(), read("car").count()) == (2, 2, 4)
+    # a lap whose points fill two messages is stored once, its points all
+    again = [m.replace('{"lap"', f'{{"part": {p}, "lap"', 1) for p, m in enumerate([NESTED % (3, 3, 3, 3)] * 2)]
+    parts = racing.nested_records(
+        spark.createDataFrame([(m, i) for i, m in enumerate(again)], "value string, message long"), ["message"]
+    )
+    split = store.split_nested(parts, ["message"])
+    assert {t: df.count() for t, df in split.items()} == {"lap": 1, "weather": 1, "car": 4}
     assert racing.car_summary(read("car")).count() == 2
     assert racing.weather_summary(read("weather")).first()["Race"] == "GP"
     # the first batch once more, as after a crash between the writes

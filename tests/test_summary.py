@@ -80,14 +80,17 @@ def test_window_alignment(spark):
 
 @pytest.mark.parametrize("size,slide", [(65, 10), (50, 10), (60, 60), (7, 3)])
 @pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
-def test_panes_equal_windows(spark, size, slide, kind):
+@pytest.mark.parametrize("with_mode", [False, True])
+def test_panes_equal_windows(spark, size, slide, kind, with_mode):
     start = dt.datetime(1969, 12, 31, 23, 59, 0)
     data = [
         ("ab"[i % 2], start + dt.timedelta(milliseconds=517 * i), i * 0.25 if i % 7 else None)
         for i in range(400)
     ] + [("a", None, 1.0)]
     df = spark.createDataFrame(data, f"k string, ts {kind}, v double")
+    df = df.withColumn("gear", F.when(F.col("v") > 9, F.floor("v") % 3))
     measures = [avg_of("v", scale=2), min_of("v"), max_of("v"), sum_of("v"), count_of("v")]
+    measures += [mode_of("gear")] * with_mode
     lengths = ("ts", f"{size} seconds", measures, f"{slide} seconds")
     wide = summary.row_window_summary(df, ["k"], *lengths)
     panes = summary.window_summary(df, ["k"], *lengths)
@@ -112,4 +115,4 @@ def test_panes_refuse_gaps_and_modes(spark):
     with pytest.raises(ValueError, match="gaps"):
         summary.pane_summary(df, [], "ts", 10, 20, [max_of("v")])
     with pytest.raises(ValueError, match="mode"):
-        summary.pane_summary(df, [], "ts", 20, 10, [mode_of("v")])
+        summary.pane_summary(df, [], "ts", 20, 10, [mode_of("v"), mode_of("v", "w")])

@@ -52,6 +52,15 @@ class Measure:
             return [getattr(F, self.fn)(F.col(self.column)).alias(f"{self.name}__part")]
         raise ValueError(f"{self.fn} cannot be merged from slices of a group")
 
+    def combined(self) -> list[Column]:
+        """The columns of `partials` for several slices together."""
+        if self.fn in ("avg", "sum"):
+            names = [f"{self.name}__sum"] + [f"{self.name}__n"] * (self.fn == "avg")
+            return [F.sum(n).alias(n) for n in names]
+        part = f"{self.name}__part"
+        fn = "sum" if self.fn == "count" else self.fn
+        return [getattr(F, fn)(part).alias(part)]
+
     def merged(self) -> Column:
         """The aggregate from the columns of `partials`."""
         if self.fn == "avg":
@@ -101,7 +110,7 @@ def count_of(column: str, name: str | None = None) -> Measure:
 def mode_of(column: str, name: str | None = None) -> Measure:
     """Most frequent value, the smallest of several.
 
-    In a stream or a window it keeps one counter per distinct value and group, so
-    there it is for columns with few values (gears, categories).
+    In a stream it keeps one counter per distinct value and group, so there it is
+    for columns with few values (gears, categories).
     """
     return Measure("mode", column, name or f"mode_{column.lower()}")

@@ -31,8 +31,9 @@ def nest_records(
     children gets an empty array; children without a parent are left out.
 
     A record holds at most `max_items` children, which bounds its size whatever
-    the key. Further children follow in records with part 1, 2, ...; there the
-    parent structs are NULL, so unpacking returns each parent once. Batch only.
+    the key. Further children follow in records with part 1, 2, ..., and every
+    part has the parent structs, so that no child is without its parent.
+    `unpack_parents` takes part 0 alone and returns each parent once. Batch only.
     """
     keys = list(keys)
     if hot_rows is not None and not skew.hot_keys(children, keys, hot_rows):
@@ -60,7 +61,7 @@ def nest_records(
     return joined.select(
         *keys,
         part.alias("part"),
-        *(F.when(part == 0, F.col(n)).alias(n) for n in parent_structs),
+        *parent_structs,
         F.coalesce(F.col(items), empty).alias(items),
     )
 
@@ -95,7 +96,14 @@ def explode_records(
 
 
 def unpack_parents(
-    nested: DataFrame, name: str, keep: Sequence[str] = ()
+    nested: DataFrame, name: str, keep: Sequence[str] = (), part: str = "part"
 ) -> DataFrame:
-    """The parent struct `name` as columns, one row per parent."""
-    return nested.where(F.col(name).isNotNull()).select(*keep, f"{name}.*")
+    """The parent struct `name` as columns, one row per parent.
+
+    Where the records have a column `part`, a parent is taken from part 0 (or
+    none, as in messages that were never split).
+    """
+    own = nested.where(F.col(name).isNotNull())
+    if part in nested.columns:
+        own = own.where(F.coalesce(F.col(part), F.lit(0)) == 0)
+    return own.select(*keep, f"{name}.*")

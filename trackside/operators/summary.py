@@ -22,10 +22,9 @@ def group_summary(
     On a batch frame a single mode next to mergeable measures is counted in a
     step of its own, as in `mode_by_count`.
     """
-    modes = [m for m in measures if m.fn == "mode"]
-    others = [m for m in measures if m.fn != "mode"]
-    if len(modes) == 1 and not df.isStreaming and all(m.mergeable for m in others):
-        return _counted_summary(df, keys, measures, modes[0])
+    mode = _single_mode(measures)
+    if mode and not df.isStreaming:
+        return _from_slices(_slices(df, keys, measures, mode), keys, measures, mode)
     return df.groupBy(*keys).agg(*(m.expr() for m in measures))
 
 
@@ -41,10 +40,17 @@ def mode_by_count(
     return group_summary(df, keys, [mode_of(column, name)])
 
 
-def _counted_summary(
-    df: DataFrame, keys: Sequence[str], measures: Sequence[Measure], mode: Measure
-) -> DataFrame:
-    slices = (
+def _single_mode(measures: Sequence[Measure]) -> Measure | None:
+    """The only mode among measures that can otherwise be merged."""
+    modes = [m for m in measures if m.fn == "mode"]
+    rest = all(m.mergeable for m in measures if m.fn != "mode")
+    return modes[0] if len(modes) == 1 and rest else None
+
+
+def _slices(df: DataFrame, keys: Sequence[str], measures, mode: Measure) -> DataFrame:
+    """Rows per key and value of the mode's column: their number `_n`, and what the
+    other measures need."""
+    return (
         df.withColumn("_value", F.col(mode.column))
         .groupBy(*keys, "_value")
         .agg(
@@ -52,6 +58,9 @@ def _counted_summary(
             *(p for m in measures if m is not mode for p in m.partials()),
         )
     )
+
+
+def _from_slices(slices: DataFrame, keys: Sequence[str], measures, mode: Measure):
     # the least (-n, value) is the highest count with the lowest value
     best = F.when(F.col("_n") > 0, F.struct((-F.col("_n")).alias("n"), "_value"))
     mode_value = F.min(best).getField("_value").alias(mode.name)
@@ -77,7 +86,8 @@ def window_summary(
     Sliding windows over a batch frame go through panes where the measures and
     the lengths (whole seconds, as in ``"65 seconds"``) allow it.
     """
-    if slide and not df.isStreaming and all(m.mergeable for m in measures):
+    merge = all(m.mergeable for m in measures) or _single_mode(measures)
+    if slide and not df.isStreaming and merge:
         lengths = _seconds(size), _seconds(slide)
         if all(lengths) and lengths[0] >= lengths[1]:
             return pane_summary(df, keys, ts, *lengths, measures)
@@ -123,7 +133,8 @@ def pane_summary(
 
     Each row is aggregated once, into the pane (greatest common divisor of size
     and slide) that holds it, and only panes are copied to the windows they
-    belong to: ``size / slide`` times less work per row on dense data.
+    belong to: ``size / slide`` times less work per row on dense data. A single
+    mode is counted per pane and value first, and the counts are summed up.
     """
     if size < slide:
         raise ValueError("windows with gaps between them: size < slide")
@@ -133,24 +144,32 @@ def pane_summary(
     )
     kind = dict(df.dtypes)[ts]
     micros = epoch_micros(ts)
-    panes = (
-        df.where(F.col(ts).isNotNull())
-        .withColumn("_pane", micros - F.pmod(micros, F.lit(pane)))
-        .groupBy(*keys, "_pane")
-        .agg(*(p for m in measures for p in m.partials()))
+    paned = df.where(F.col(ts).isNotNull()).withColumn(
+        "_pane", micros - F.pmod(micros, F.lit(pane))
     )
+    mode = _single_mode(measures)
+    if mode:
+        panes = _slices(paned, [*keys, "_pane"], measures, mode)
+    else:
+        panes = paned.groupBy(*keys, "_pane").agg(
+            *(p for m in measures for p in m.partials())
+        )
     # window starts w with w <= pane start and pane end <= w + width
     last = F.col("_pane") - F.pmod(F.col("_pane"), F.lit(step))
     lowest = F.col("_pane") + F.lit(pane - width)
     first = lowest + F.pmod(-lowest, F.lit(step))
-    return (
-        panes.withColumn("_start", F.explode(F.sequence(first, last, F.lit(step))))
-        .groupBy(*keys, "_start")
-        .agg(*(m.merged() for m in measures))
-        .select(
-            *keys,
-            F.timestamp_micros("_start").cast(kind).alias("window_start"),
-            F.timestamp_micros(F.col("_start") + width).cast(kind).alias("window_end"),
-            *(m.name for m in measures),
+    windows = panes.withColumn("_start", F.explode(F.sequence(first, last, F.lit(step))))
+    if mode:
+        slices = windows.groupBy(*keys, "_start", "_value").agg(
+            F.sum("_n").alias("_n"),
+            *(c for m in measures if m is not mode for c in m.combined()),
         )
+        summed = _from_slices(slices, [*keys, "_start"], measures, mode)
+    else:
+        summed = windows.groupBy(*keys, "_start").agg(*(m.merged() for m in measures))
+    return summed.select(
+        *keys,
+        F.timestamp_micros("_start").cast(kind).alias("window_start"),
+        F.timestamp_micros(F.col("_start") + width).cast(kind).alias("window_end"),
+        *(m.name for m in measures),
     )

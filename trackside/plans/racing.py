@@ -6,9 +6,9 @@ over stored tables and by the live job over a topic.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from trackside import schemas
 from trackside.functions import skew
@@ -27,25 +27,26 @@ from trackside.operators.rows import (
 )
 from trackside.operators.summary import group_summary, window_summary
 from trackside.sources.tables import written
-from trackside.sources.topics import TOPICS, append_sentinel, publish_topic
+from trackside.sources.topics import TOPICS, end_topics, publish_topic, write_topic
 
+# Averages add decimals: the same in every run, for stored tables and live.
 CAR_MEASURES = (
-    avg_of("Throttle"),
-    avg_of("Speed"),
-    avg_of("RPM"),
+    avg_of("Throttle", scale=6),
+    avg_of("Speed", scale=6),
+    avg_of("RPM", scale=0),
     mode_of("Gear"),
     max_of("Speed"),
 )
 LAP_MEASURES = (
-    avg_of("LapTime", "average_lap_time"),
+    avg_of("LapTime", "average_lap_time", scale=6),
     min_of("LapTime", "best_lap_time"),
     max_of("LapTime", "max_lap_time"),
 )
 WEATHER_MEASURES = (
-    avg_of("AirTemp"),
-    avg_of("Humidity"),
-    avg_of("TrackTemp"),
-    avg_of("WindSpeed"),
+    avg_of("AirTemp", scale=6),
+    avg_of("Humidity", scale=6),
+    avg_of("TrackTemp", scale=6),
+    avg_of("WindSpeed", scale=6),
 )
 STINT = ("Driver", "Stint", "Compound")
 LAP_TITLES = {
@@ -224,9 +225,20 @@ def lap_rows(laps: DataFrame) -> DataFrame:
     return typed_projection(laps, {**WHO, **columns})
 
 
-def weather_rows(laps: DataFrame, samples: DataFrame, race: str) -> DataFrame:
+def race_name(race: str | Column | Mapping[str, str]) -> Column:
+    """The race of a session as a column: one for all, an expression over column
+    `session`, or one from a mapping (NULL for a session it lacks)."""
+    if isinstance(race, Mapping):
+        pairs = [F.lit(x) for pair in race.items() for x in pair]
+        return F.try_element_at(F.create_map(*pairs), F.col("session"))
+    return race if isinstance(race, Column) else F.lit(race)
+
+
+def weather_rows(
+    laps: DataFrame, samples: DataFrame, race: str | Column | Mapping[str, str]
+) -> DataFrame:
     """Weather records, one per lap: the first sample inside the lap, or else the
-    last one before it."""
+    last one before it. `race` as in `race_name`."""
     found = asof_join(
         laps.select("session", "Driver", "LapNumber", "lap_start", "lap_end"),
         samples,
@@ -247,7 +259,7 @@ def weather_rows(laps: DataFrame, samples: DataFrame, race: str) -> DataFrame:
         "TrackTemp": reading("TrackTemp"),
         "WindSpeed": reading("WindSpeed"),
         "WindDirection": reading("WindDirection"),
-        "Race": (F.lit(race), "string"),
+        "Race": (race_name(race), "string"),
     }
     return typed_projection(found, {**WHO, **columns})
 
@@ -279,28 +291,32 @@ def session_messages(
     laps: DataFrame,
     telemetry: DataFrame,
     samples: DataFrame,
-    race: str,
+    race: str | Column | Mapping[str, str],
     threshold: float,
     driver: str | None = None,
     skip_first: int = 1,
     topics: Sequence[str] = TOPICS,
 ) -> dict[str, DataFrame]:
-    """The messages of the topics for a session, each topic with its sentinel.
+    """The messages of the topics for a session, without their sentinels.
 
-    The chosen laps are written to the shared folder, since every topic is made
-    from them.
+    Each message has the session and driver as its key, and its time, so that
+    `send_messages` sends a driver's messages in order. The chosen laps are
+    written to the shared folder, since every topic is made from them.
     """
     chosen = written(session_laps(laps, driver, threshold, skip_first), "laps")
+    who = F.concat_ws(":", "session", "_driver")
+
+    def messages(rows: DataFrame, topic: str, fields: Sequence[str]) -> DataFrame:
+        return publish_topic(rows, topic, fields, key=who, time="Timestamp")
+
     out = {}
     if "car" in topics:
-        car = car_rows(chosen, telemetry)
-        out["car"] = publish_topic(car, "car", schemas.names(schemas.CAR))
+        out["car"] = messages(car_rows(chosen, telemetry), "car", schemas.names(schemas.CAR))
     if "lap" in topics:
-        lap = lap_rows(chosen)
-        out["lap"] = publish_topic(lap, "lap", schemas.names(schemas.LAP))
+        out["lap"] = messages(lap_rows(chosen), "lap", schemas.names(schemas.LAP))
     if "weather" in topics:
         weather = weather_rows(chosen, samples, race)
-        out["weather"] = publish_topic(weather, "weather", schemas.names(schemas.WEATHER))
+        out["weather"] = messages(weather, "weather", schemas.names(schemas.WEATHER))
     if "dbstore" in topics:
         # where no driver has too many points for a task, no lap has
         hot = skew.hot_keys(telemetry, ["session", "Driver"], skew.HOT_ROWS)
@@ -311,5 +327,24 @@ def session_messages(
             skew.HOT_ROWS if hot else None,
         )
         fields = ["part", "lap", "weather", "car"]
-        out["dbstore"] = publish_topic(nested, "dbstore", fields)
-    return {name: append_sentinel(df, [name]) for name, df in out.items()}
+        timed = nested.withColumn("Timestamp", F.col("lap.Timestamp"))
+        out["dbstore"] = messages(timed, "dbstore", fields)
+    return out
+
+
+def send_messages(
+    sent: Mapping[str, DataFrame],
+    servers: str | None = None,
+    folder: str | None = None,
+    partitions: Mapping[str, int] | int = 1,
+) -> None:
+    """Send what `session_messages` made, then each topic's sentinels.
+
+    `partitions` is the number of partitions of every topic, or of each.
+    """
+    for messages in sent.values():
+        write_topic(messages, servers, folder)
+    count = dict.fromkeys(sent, partitions) if isinstance(partitions, int) else partitions
+    some = next(iter(sent.values()), None)
+    if some is not None:
+        end_topics(some.sparkSession, {t: count[t] for t in sent}, servers, folder)

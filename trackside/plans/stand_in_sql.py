@@ -94,7 +94,7 @@ parts AS (
          sum(l_quantity) AS quantity, arg_min(l_partkey, idx) AS first_part
   FROM numbered GROUP BY l_orderkey, idx // {max_items})
 SELECT o_orderkey AS orderkey, coalesce(part, 0) AS part,
-       CASE WHEN coalesce(part, 0) = 0 THEN o_custkey END AS o_custkey,
+       o_custkey,
        coalesce(n, 0) AS n, coalesce(quantity, 0.0) AS quantity, first_part
 FROM orders LEFT JOIN parts ON l_orderkey = o_orderkey"""
 
@@ -226,20 +226,26 @@ SELECT event_id, ts, user_id, value FROM events WHERE event_type = 'error'""",
     + """
 SELECT user_id::VARCHAR AS "Driver", (lap // 5)::INTEGER AS "Stint",
        CASE WHEN lap % 2 = 0 THEN 'SOFT' ELSE 'HARD' END AS "Compound",
-       sum(lap_time::DECIMAL(18,3))::DOUBLE / count(lap_time) AS average_lap_time,
+       sum(lap_time::DECIMAL(18,6))::DOUBLE / count(lap_time) AS average_lap_time,
        min(lap_time) AS best_lap_time, max(lap_time) AS max_lap_time
 FROM chosen GROUP BY 1, 2, 3""",
     "race_weather_messages": _RACE
     + f"""
-SELECT 'Grand Prix' AS "Race", {_WEATHER_MEASURES}
-FROM sky""",
+SELECT 'Race ' || user_id AS "Race", {_WEATHER_MEASURES}
+FROM sky GROUP BY user_id""",
     "nested_parse": _RACE
     + """
 SELECT s.user_id::VARCHAR AS "Driver", s.lap::INTEGER AS "LapNumber", any_value(air) AS air,
        count(p.ts) AS points, arg_min(p.speed, p.ts) AS first_speed
 FROM sky s LEFT JOIN points p ON p.user_id = s.user_id AND p.lap = s.lap
 GROUP BY s.user_id, s.lap""",
+    "race_car_messages": _RACE + "," + _car_summary("points"),
     "store_split": _RACE + "," + _car_summary("points"),
+    "store_split_laps": _RACE
+    + """
+SELECT user_id::VARCHAR AS "Driver", lap::INTEGER AS "LapNumber", lap_time AS "LapTime",
+       air AS "AirTemp", wet AS "Humidity", 'Race ' || user_id AS "Race" FROM sky""",
+    "until_sentinel": "SELECT * FROM events",
     "stream_car_summary": """
 WITH points AS (
   SELECT user_id AS lap, value::REAL AS speed, (props->>'k')::INTEGER AS k

@@ -33,21 +33,15 @@ EVENTS = (
     "value double, props string"
 )
 WAIT = 24 * 3600
-# The files of a table are in no order of time, so a replay lets no row be late.
-REPLAY_DELAY = "10000 days"
+# Messages of a replayed table, at most, in one file and so in one micro-batch.
+SLICE_ROWS = 1_000_000
+SLICES = 6
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def _replay(spark: SparkSession, folder: str) -> DataFrame:
-    """`events` as a stream, from one file or a folder of files."""
-    reader = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1000)
-    # as a glob, since a plain path would have to be a folder
-    return reader.parquet(f"{folder}/{{events}}.parquet")
-
-
 # -- parsing and rows --------------------------------------------------------
 
 
@@ -195,7 +189,7 @@ def sliding_65(spark, folder):
 
 
 def modes_65(spark, folder):
-    """A mode cannot be merged from panes, so rows are copied to their windows."""
+    """A mode in sliding windows: counted per pane and value, then summed up."""
     events = _read(spark, folder, "events")
     k = F.get_json_object("props", "$.k").cast("int")
     return summary.window_summary(
@@ -427,60 +421,54 @@ def _race_messages(spark, folder, topic: str) -> DataFrame:
     race = _race(_read(spark, folder, "events"))
     return racing.session_messages(
         *(race[t] for t in schemas.SESSION_TABLES),
-        race="Grand Prix",
+        race=F.concat(F.lit("Race "), F.col("session")),
         threshold=100.0,
         topics=[topic],
     )[topic]
 
 
-CAR_EXACT = (
-    avg_of("Throttle", scale=2),
-    avg_of("Speed", scale=6),
-    avg_of("RPM", scale=0),
-    mode_of("Gear"),
-    max_of("Speed"),
-)
-LAP_EXACT = (
-    avg_of("LapTime", "average_lap_time", scale=3),
-    min_of("LapTime", "best_lap_time"),
-    max_of("LapTime", "max_lap_time"),
-)
-WEATHER_EXACT = tuple(
-    avg_of(c, scale=6) for c in ("AirTemp", "Humidity", "TrackTemp", "WindSpeed")
-)
-
-
 def race_laps(spark, folder):
     """Lap messages of the race, parsed again and summed up per stint."""
     lap = racing.lap_records(_race_messages(spark, folder, "lap"))
-    return racing.stint_summary(lap, LAP_EXACT)
+    return racing.stint_summary(lap)
 
 
 def race_weather(spark, folder):
     """Weather messages of the race, parsed again, per race."""
     weather = racing.weather_records(_race_messages(spark, folder, "weather"))
-    return racing.weather_summary(weather, WEATHER_EXACT)
+    return racing.weather_summary(weather)
 
 
 def race_nested(spark, folder):
-    """Nested messages of the race, parsed again: one row per lap message."""
+    """Nested messages of the race, parsed again: one row per lap, whose points may
+    fill several messages."""
     parsed = nested_parse(_race_messages(spark, folder, "dbstore"))
-    return rows.required_gate(parsed, "lap").select(
-        "lap.Driver",
-        "lap.LapNumber",
-        F.col("weather.AirTemp").alias("air"),
-        F.size("car").cast("bigint").alias("points"),
-        F.try_element_at("car", F.lit(1))["Speed"].alias("first_speed"),
+    first = F.try_element_at("car", F.lit(1))["Speed"]
+    return (
+        rows.required_gate(parsed, "lap")
+        .groupBy("lap.Driver", "lap.LapNumber")
+        .agg(
+            F.max("weather.AirTemp").alias("air"),
+            F.sum(F.size("car")).alias("points"),
+            F.min_by(first, "part").alias("first_speed"),
+        )
     )
 
 
-def race_store(spark, folder):
-    """Nested messages written to files, streamed into the three tables; the car
-    table summed up per lap."""
+def race_car(spark, folder):
+    """Car messages of the race, parsed again and summed up per lap."""
+    return racing.car_summary(racing.car_records(_race_messages(spark, folder, "car")))
+
+
+def _stored(spark, folder) -> str:
+    """The folder of the three tables that nested messages in files were streamed
+    into, a few files to a batch."""
     base = tables.scratch_folder(spark, "store")
-    messages = _race_messages(spark, folder, "dbstore")
-    topics.write_topic(messages, folder=f"{base}/topics")
-    live = topics.topic_source(spark, "dbstore", folder=f"{base}/topics")
+    sent = {"dbstore": _race_messages(spark, folder, "dbstore")}
+    racing.send_messages(sent, folder=f"{base}/topics")
+    live = topics.topic_source(
+        spark, "dbstore", folder=f"{base}/topics", options={"maxFilesPerTrigger": "4"}
+    )
     # a message in a file has no offset; its content stands for its identity
     live = live.withColumn("message", F.xxhash64("value"))
     run.run_stream(
@@ -491,8 +479,22 @@ def race_store(spark, folder):
         {"availableNow": True},
         timeout=WAIT,
     )
-    car = spark.read.parquet(f"{base}/tables/car")
-    return racing.car_summary(car, CAR_EXACT)
+    return f"{base}/tables"
+
+
+def race_store(spark, folder):
+    """The stored car table, summed up per lap."""
+    return racing.car_summary(spark.read.parquet(f"{_stored(spark, folder)}/car"))
+
+
+def race_store_laps(spark, folder):
+    """The stored lap table with the weather table beside it."""
+    stored = _stored(spark, folder)
+    lap, weather = (spark.read.parquet(f"{stored}/{t}") for t in ("lap", "weather"))
+    sky = weather.select("batch_id", "message", "AirTemp", "Humidity", "Race")
+    return lap.join(sky, ["batch_id", "message"]).select(
+        "Driver", "LapNumber", "LapTime", "AirTemp", "Humidity", "Race"
+    )
 
 
 # -- live --------------------------------------------------------------------
@@ -508,7 +510,7 @@ def _car_messages(events: DataFrame) -> DataFrame:
         (k % 8).alias("Gear"),
         (k * 100).alias("RPM"),
     )
-    return topics.publish_topic(points, "car")
+    return topics.publish_topic(points, "car", time="Timestamp")
 
 
 def _lap_messages(events: DataFrame) -> DataFrame:
@@ -520,7 +522,7 @@ def _lap_messages(events: DataFrame) -> DataFrame:
         F.lit(1).alias("Stint"),
         F.when(F.col("value") > 20, "SOFT").otherwise("HARD").alias("Compound"),
     )
-    return topics.publish_topic(laps, "lap")
+    return topics.publish_topic(laps, "lap", time="Timestamp")
 
 
 def _weather_messages(events: DataFrame) -> DataFrame:
@@ -534,45 +536,92 @@ def _weather_messages(events: DataFrame) -> DataFrame:
         k.alias("WindSpeed"),
         F.nullif(F.col("event_type"), F.lit("signup")).alias("Race"),
     )
-    return topics.publish_topic(samples, "weather")
-
-
-def _live(df: DataFrame, mode: str, name: str) -> DataFrame:
-    """Run a stream to its end; every version it put out, with batch numbers."""
-    spark = df.sparkSession
-    base = tables.scratch_folder(spark, name)
-    run.run_stream(
-        df,
-        run.versions_writer(f"{base}/out"),
-        mode,
-        f"{base}/checkpoint",
-        {"availableNow": True},
-        timeout=WAIT,
-    )
-    return run.read_versions(spark, f"{base}/out", df.schema)
+    return topics.publish_topic(samples, "weather", time="Timestamp")
+
+
+def _live(
+    messages: DataFrame,
+    topic: str,
+    analysis: Callable[[DataFrame], DataFrame],
+    mode: str,
+    writer: Callable[[str], run.BatchWriter],
+) -> tuple[str, DataFrame]:
+    """Send messages in order of time, a file to a micro-batch, and run `analysis`
+    over them to the end, with a restart half-way. Where `writer` has put the
+    result, and the stream's frame."""
+    spark = messages.sparkSession
+    base = tables.scratch_folder(spark, topic)
+    n = max(SLICES, -(-messages.count() // SLICE_ROWS))
+    slices = topics.time_slices(messages, n)
+    half = len(slices) // 2
+    for part in (slices[:half], slices[half:]):
+        for one in part:
+            sent = one.select("topic", "value").coalesce(1)
+            topics.write_topic(sent, folder=f"{base}/topics")
+        if not part:
+            continue
+        source = topics.topic_source(
+            spark, topic, folder=f"{base}/topics", options={"maxFilesPerTrigger": "1"}
+        )
+        live = analysis(source)
+        run.run_stream(
+            live, writer(f"{base}/out"), mode, f"{base}/checkpoint",
+            {"availableNow": True}, timeout=WAIT,
+        )
+    return f"{base}/out", live
 
 
 def live_car(spark, folder):
-    car = racing.car_records(_car_messages(_replay(spark, folder)))
-    summed = racing.live_car_summary(car, REPLAY_DELAY, CAR_EXACT)
-    return run.last_batch(_live(summed, "complete", "car"))
+    path, live = _live(
+        _car_messages(_read(spark, folder, "events")),
+        "car",
+        lambda sent: racing.live_car_summary(racing.car_records(sent)),
+        "complete",
+        run.table_writer,
+    )
+    return spark.read.schema(live.schema).parquet(path)
 
 
 def live_stint(spark, folder):
-    lap = racing.lap_records(_lap_messages(_replay(spark, folder)))
-    measures = (avg_of("LapTime", "average_lap_time", scale=6), *LAP_EXACT[1:])
-    windows = racing.live_stint_windows(lap, delay=REPLAY_DELAY, measures=measures)
-    out = _live(windows, "update", "stint")
-    return _no_zone(run.latest_by_key(out, [*racing.STINT, *BOUNDS]))
+    path, live = _live(
+        _lap_messages(_read(spark, folder, "events")),
+        "lap",
+        lambda sent: racing.live_stint_windows(racing.lap_records(sent)),
+        "update",
+        run.versions_writer,
+    )
+    versions = run.read_versions(spark, path, live.schema)
+    return _no_zone(run.latest_by_key(versions, [*racing.STINT, *BOUNDS]))
 
 
 def live_weather(spark, folder):
-    weather = racing.weather_records(_weather_messages(_replay(spark, folder)))
-    windows = racing.live_weather_windows(
-        weather, delay=REPLAY_DELAY, measures=WEATHER_EXACT
+    path, live = _live(
+        _weather_messages(_read(spark, folder, "events")),
+        "weather",
+        lambda sent: racing.live_weather_windows(racing.weather_records(sent)),
+        "update",
+        run.versions_writer,
     )
-    out = _live(windows, "update", "weather")
-    return _no_zone(run.latest_by_key(out, ["Race", *BOUNDS]))
+    versions = run.read_versions(spark, path, live.schema)
+    return _no_zone(run.latest_by_key(versions, ["Race", *BOUNDS]))
+
+
+def until_sentinel(spark, folder):
+    """`events` as messages in many files, read in many batches up to the sentinel."""
+    base = tables.scratch_folder(spark, "until")
+    events = _read(spark, folder, "events")
+    messages = topics.publish_topic(events, "events", time_format=MICROS)
+    topics.write_topic(messages.repartition(24), folder=base)
+    topics.end_topics(spark, {"events": 1}, folder=base)
+    source = topics.topic_source(
+        spark, "events", folder=base, options={"maxFilesPerTrigger": "5"}
+    )
+
+    def store_batch(batch: DataFrame, batch_id: int) -> None:
+        json_parse(batch, EVENTS).write.mode("overwrite").parquet(f"{base}/out/batch_id={batch_id}")
+
+    run.run_until_sentinel(source, store_batch, f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out").drop("batch_id")
 
 
 def late(spark, folder):
@@ -646,8 +695,11 @@ QUERIES: dict[str, Query] = {
     "load_session": session,
     "race_lap_messages": race_laps,
     "race_weather_messages": race_weather,
+    "race_car_messages": race_car,
     "nested_parse": race_nested,
     "store_split": race_store,
+    "store_split_laps": race_store_laps,
+    "until_sentinel": until_sentinel,
     "stream_car_summary": live_car,
     "stream_stint_window": live_stint,
     "stream_weather_window": live_weather,

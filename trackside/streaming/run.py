@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from trackside.functions.parsing import is_sentinel
-from trackside.operators.rows import sentinel_cut
 
 BATCH = "batch_id"
 TRANSIENT_SINKS = ("console", "memory", "noop")
@@ -66,13 +65,18 @@ def versions_writer(path: str) -> BatchWriter:
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (
-            batch.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BATCH)
-            .parquet(path)
-        )
+        # a path of its own, so that a rerun without rows clears what was there
+        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+
+    return write
+
+
+def table_writer(path: str) -> BatchWriter:
+    """Write each micro-batch in place of the one before: for complete mode, whose
+    batches hold the whole table."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
 
     return write
 
@@ -99,44 +103,75 @@ def last_batch(versions: DataFrame) -> DataFrame:
     return versions.where(F.col(BATCH) == newest).drop(BATCH)
 
 
+ENDS = "partition string, end bigint"
+
+
 def run_until_sentinel(
     messages: DataFrame,
     write: BatchWriter,
     checkpoint: str,
     sentinels: int = 1,
     poll: float = 0.5,
-    timeout: float = 3600,
+    idle: float | None = None,
     value: str = "value",
     trigger: Mapping[str, object] | None = None,
-) -> StreamingQuery:
+) -> StreamingQuery | None:
     """Feed micro-batches of messages to `write` until the sentinels have come.
 
     A topic with several partitions ends when each has sent its sentinel, so
-    `sentinels` is their number. Sentinels are not passed on, nor, where the
-    messages have `partition` and `offset`, what follows one in its batch.
+    `sentinels` is their number. Where the messages have `partition` and
+    `offset`, what follows a partition's first sentinel is not passed on, in its
+    batch or any later one; without them, in later batches. Sentinels never are.
+
+    The end of each partition is kept beside the checkpoint (a row per
+    partition), so a restart knows which have ended; None is returned if all had
+    before. There is no limit on time but `idle`: so many seconds without a
+    message raise TimeoutError.
     """
-    seen = {}
+    spark = messages.sparkSession
+    store = f"{checkpoint.rstrip('/')}-ends"
+    placed = {"partition", "offset"} <= set(messages.columns)
+    spark.createDataFrame([], ENDS).write.mode("append").parquet(store)
+    known = spark.read.schema(ENDS).parquet(store).groupBy("partition").agg(F.min("end"))
+    ends: dict[str, int] = dict(known.collect())
+    if len(ends) >= sentinels:
+        return None
+
+    def found(batch: DataFrame, batch_id: int) -> list[tuple[str, int]]:
+        of = batch.where(is_sentinel(value))
+        if placed:
+            first = of.groupBy(F.col("partition").cast("string")).agg(F.min("offset"))
+            return [tuple(r) for r in first.collect()]
+        return [("", batch_id)] if of.take(1) else []
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            if {"partition", "offset"} <= set(batch.columns):
-                write(sentinel_cut(batch, ["partition"], value=value), batch_id)
-            else:
-                write(batch.where(~is_sentinel(value)), batch_id)
-            seen[batch_id] = batch.where(is_sentinel(value)).count()
-        finally:
-            batch.unpersist()
+        new = [(p, e) for p, e in found(batch, batch_id) if e < ends.get(p, 2**63 - 1)]
+        now = {**ends, **dict(new)}
+        kept = batch.where(~is_sentinel(value))
+        if placed and now:
+            pairs = F.create_map(*(F.lit(x) for pair in now.items() for x in pair))
+            end = F.try_element_at(pairs, F.col("partition").cast("string"))
+            kept = kept.where(end.isNull() | (F.col("offset") < end))
+        elif now:
+            kept = kept.where(F.lit(batch_id <= now[""]))
+        write(kept, batch_id)
+        # only now, since the query is stopped as soon as all ends are known
+        if new:
+            spark.createDataFrame(new, ENDS).coalesce(1).write.mode("append").parquet(store)
+            ends.update(new)
 
     query = run_stream(messages, step, "append", checkpoint, trigger)
-    give_up = time.monotonic() + timeout
+    last, since = None, time.monotonic()
     while not query.awaitTermination(poll):
-        if sum(seen.values()) >= sentinels:
+        if len(ends) >= sentinels:
             query.stop()
             break
-        if time.monotonic() > give_up:
+        progress = query.lastProgress
+        if progress and progress.numInputRows and progress.batchId != last:
+            last, since = progress.batchId, time.monotonic()
+        if idle is not None and time.monotonic() - since > idle:
             query.stop()
-            raise TimeoutError(f"no sentinel within {timeout} s")
+            raise TimeoutError(f"no message for {idle} s")
     return query
 
 

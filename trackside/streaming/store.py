@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from trackside import schemas
 from trackside.operators.nesting import explode_records, unpack_parents
 from trackside.sources import jdbc
+from trackside.sources.tables import written
 
 TABLES = {"lap": schemas.LAP, "weather": schemas.WEATHER, "car": schemas.CAR}
 POSITION = "position"
@@ -34,19 +35,18 @@ def store_split(
 ) -> Callable[[DataFrame, int], None]:
     """A micro-batch writer that stores nested records through `append`.
 
-    The batch is parsed once and kept for the three writes. Three tables are not
-    one transaction: if a write fails the batch fails, and running it again
-    leaves every row stored once.
+    The batch is parsed once, into a table in the shared folder that the three
+    writes read; the source's options say how much a batch holds
+    (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``). Three tables are not one
+    transaction: if a write fails the batch fails, and running it again leaves
+    every row stored once.
     """
 
     def write(nested: DataFrame, batch_id: int) -> None:
-        nested.persist()
-        try:
-            for table, rows in split_nested(nested, id_columns).items():
-                ids = [*id_columns, POSITION] if table == "car" else list(id_columns)
-                append(rows, table, batch_id, ids)
-        finally:
-            nested.unpersist()
+        parsed = written(nested, "store-batch")
+        for table, rows in split_nested(parsed, id_columns).items():
+            ids = [*id_columns, POSITION] if table == "car" else list(id_columns)
+            append(rows, table, batch_id, ids)
 
     return write
 
@@ -58,13 +58,7 @@ def parquet_tables(folder: str) -> Append:
     """
 
     def append(rows: DataFrame, table: str, batch_id: int, ids: Sequence[str]) -> None:
-        (
-            rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(f"{folder}/{table}")
-        )
+        rows.write.mode("overwrite").parquet(f"{folder}/{table}/batch_id={batch_id}")
 
     return append
 
