@@ -187,13 +187,13 @@ def test_language_odd(spark):
 
 def test_prior_and_risk():
     rng = np.random.default_rng(1)
-    good, bad = rng.normal(1.5, 1, (3000, 3)), rng.normal(-1.5, 1, (2000, 3))
-    unlabelled = np.concatenate((good[:1400], bad[:600]))
+    good, bad = rng.normal(1.5, 1, (30000, 3)), rng.normal(-1.5, 1, (10000, 3))
+    unlabelled = np.concatenate((good[:14000], bad[:6000]))
     rng.shuffle(unlabelled)
-    model = quality.fit_rows(good[1400:], unlabelled)
-    assert abs(model.prior - 0.7) < 0.08
-    assert (model.logits(good[1400:]) > 0).mean() > 0.95
-    assert (model.logits(bad[600:]) < 0).mean() > 0.9
+    model = quality.fit_rows(good[14000:], unlabelled)
+    assert abs(model.prior - 0.7) < 0.05
+    assert (model.logits(good[14000:]) > 0).mean() > 0.95
+    assert (model.logits(bad[6000:]) < 0).mean() > 0.9
 
 
 def test_features_are_per_text():
@@ -275,7 +275,7 @@ def test_rules_are_learnt(spark):
         bad = i % 5 == 0
         share = random.uniform(0.5, 0.9) if bad and i % 10 else random.uniform(0, 0.2)
         length = random.uniform(9, 14) if bad and not i % 10 else random.uniform(3, 7)
-        rows.append((i, 100, int(100 * length), int(100 * share), 0, 0, 10, 0, 10, 90, int(not bad)))
+        rows.append((i, 100, int(100 * length), int(100 * share), 0, 0, 10, 0, 0, 90, int(not bad)))
     counts = "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, n_lines bigint, n_marks bigint, n_capitals bigint, n_distinct_words bigint, label int"
     df = decision_list.with_features(spark.createDataFrame(rows, counts)).cache()
     rules = decision_list.learn(df)

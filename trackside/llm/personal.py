@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -354,11 +355,12 @@ def examples(text: str) -> list[tuple[str, list[tuple[str, int, int]]]]:
         out.append((head + text[s:e] + tail, [(k, a + off, b + off) for k, a, b in own]))
         if len(own) == 1:
             kind, a, b = own[0]
-            for other in _other_ways(kind, text[a:b], a):
+            turn = crc32(text[a:b].encode())
+            for other in _other_ways(kind, text[a:b], turn):
                 lead = head + text[s:a]
                 out.append((lead + other + text[b:e] + tail, [(kind, len(lead), len(lead) + len(other))]))
             if kind in ("card", "phone"):
-                out.append((head + _decoys(text[a:b])[a % 6] + tail, []))
+                out.append((head + _decoys(text[a:b])[turn % 6] + tail, []))
     return out
 
 
