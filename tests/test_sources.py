@@ -16,7 +16,7 @@ from trackside.sources import jdbc, tables, topics
 def test_mysql_options():
     db = jdbc.Database.mysql("db.example", "race", "u", "secret", autoReconnect="true")
     assert db.url == (
-        "jdbc:mysql://db.example:3306/race?useSSL=false&useCursorFetch=true"
+        "jdbc:mysql://db.example:3306/race?useSSL=true&useCursorFetch=true"
         "&rewriteBatchedStatements=true&autoReconnect=true"
     )
     assert "secret" not in repr(db) and db.options()["password"] == "secret"
@@ -34,6 +34,17 @@ def test_parallel_scan_options():
     )
 
 
+def test_range_scan_options():
+    db = jdbc.Database("jdbc:x:y", "d")
+    options = jdbc.scan_options(
+        db, "car", ["LapNumber"], 8, "Timestamp", ("2024-03-02 15:00:00", "2024-03-02 17:00:00")
+    )
+    assert options["dbtable"] == "(SELECT LapNumber FROM car) car"
+    assert (options["partitionColumn"], options["lowerBound"], options["numPartitions"]) == (
+        "Timestamp", "2024-03-02 15:00:00", "8",
+    )
+
+
 def test_scanned_table_is_checked(spark):
     df = spark.createDataFrame([(1, 2.0, 3)], "LapNumber int, Speed float, scan_slice int")
     assert jdbc.check(df, None).columns == ["LapNumber", "Speed"]
@@ -102,8 +113,9 @@ def test_scratch_folder():
     shared = tables.scratch_folder(session(spark_checkpoint_dir="/shared/x/"), "out")
     assert shared.startswith("/shared/x/out-")
     assert "out-" in tables.scratch_folder(session(spark_master="local[2]"), "out")
-    with pytest.raises(ValueError, match="shared folder"):
-        tables.scratch_folder(session(spark_master="yarn"), "out")
+    for master in ("yarn", "local-cluster[3,2,3000]"):
+        with pytest.raises(ValueError, match="shared folder"):
+            tables.scratch_folder(session(spark_master=master), "out")
 
 
 T0 = dt.datetime(2024, 3, 2, 15)

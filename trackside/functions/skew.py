@@ -72,8 +72,7 @@ def hot_keys(
     rows and is no larger than an ordinary task.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    top = counts.orderBy(F.desc("_rows")).limit(max_hot)
-    return [row for row in top.collect() if row["_rows"] > hot_rows]
+    return counts.where(F.col("_rows") > hot_rows).orderBy(F.desc("_rows")).limit(max_hot).collect()
 
 
 @dataclass

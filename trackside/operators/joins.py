@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from trackside.functions import skew
 from trackside.functions.timing import epoch_micros
+from trackside.sources.tables import written
 
 BIN_STEP = 4096
 SPANS_PER_BIN = 256
@@ -212,9 +213,10 @@ class _AsOf:
             F.last("_last", ignorenulls=True).over(earlier).alias("_before"),
             F.last("_first", ignorenulls=True).over(later).alias("_after"),
         )
-        # one row per block of a hot key: bounded by ordered_blocks
+        # one row per block of a hot key, but as wide as the right side's rows: once
+        # it is written, Spark broadcasts it if its bytes allow
         filled = rows.alias("r").join(
-            F.broadcast(carried).alias("c"),
+            written(carried, "carried").alias("c"),
             skew.same_key("r", "c", blocks.group),
             "left",
         )

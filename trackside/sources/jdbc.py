@@ -12,7 +12,7 @@ from trackside import schemas
 # Without a cursor the MySQL driver keeps a whole result in memory, and without
 # rewriting it sends one statement per row.
 MYSQL_URL_OPTIONS = {
-    "useSSL": "false",
+    "useSSL": "true",
     "useCursorFetch": "true",
     "rewriteBatchedStatements": "true",
 }
@@ -60,18 +60,33 @@ def scan_options(
     columns: Sequence[str] = (),
     slices: int = 1,
     slice_by: str | None = None,
+    bounds: tuple[object, object] | None = None,
 ) -> dict[str, str]:
     """Reader options of `jdbc_scan`.
 
-    With `slice_by`, an integer SQL expression of the database, the table is
-    read by `slices` parallel queries, one per remainder of the expression. A
-    remainder spreads rows evenly where a range of values may not.
+    With `bounds`, the table is read by `slices` parallel queries, one per range
+    of the column `slice_by` (a number, date or timestamp) from the lower bound to
+    the upper; values beyond are in the first and last range, so nothing is left
+    out. With an index on the column each query reads its own rows only.
+
+    Without bounds `slice_by` is an integer SQL expression of the database, with a
+    query per remainder. That spreads rows evenly where ranges may not, but no
+    index serves it: each query scans the whole table.
     """
     listed = ", ".join(columns) or f"{table}.*"
     options = {**db.options(), "fetchsize": str(db.fetch_size)}
     if slice_by is None:
         options["dbtable"] = f"(SELECT {listed} FROM {table}) {table}"
         return options
+    if bounds is not None:
+        options["dbtable"] = f"(SELECT {listed} FROM {table}) {table}"
+        options.update(
+            partitionColumn=slice_by,
+            lowerBound=str(bounds[0]),
+            upperBound=str(bounds[1]),
+            numPartitions=str(slices),
+        )
+        return options
     options["dbtable"] = (
         f"(SELECT {listed}, MOD({slice_by}, {slices}) AS scan_slice FROM {table}) {table}"
     )
@@ -91,13 +106,15 @@ def jdbc_scan(
     schema: str | None = None,
     slices: int = 1,
     slice_by: str | None = None,
+    bounds: tuple[object, object] | None = None,
 ) -> DataFrame:
     """Read a table. With `schema` (DDL) the columns found are checked against it.
+    `slices`, `slice_by` and `bounds` as in `scan_options`.
 
     Filters and the choice of columns made on the result reach the database.
     """
     columns = schemas.names(schema) if schema else ()
-    options = scan_options(db, table, columns, slices, slice_by)
+    options = scan_options(db, table, columns, slices, slice_by, bounds)
     df = spark.read.format("jdbc").options(**options).load()
     return check(df, schema)
 

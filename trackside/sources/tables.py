@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -46,7 +47,7 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
             raise ValueError("spark.checkpoint.dir must name a shared folder")
         shared = os.path.join(tempfile.gettempdir(), "trackside")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
