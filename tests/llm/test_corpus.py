@@ -197,4 +197,5 @@ def test_stages_odd(spark, tmp_path):
         for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, docs, str(tmp_path))
             assert out.columns[: len(docs.columns)] == docs.columns
-            assert out.count() <= 3 * docs.count()
+            # a mix repeats small sources as often as their weight wants it
+            assert name == "mix_sources" or out.count() <= docs.count()
