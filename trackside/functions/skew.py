@@ -120,23 +120,40 @@ def ordered_blocks(
     splits = _split_points(df, keys, order, found, hot_rows, max_blocks)
     renamed = [f"_k{i}" for i in range(len(keys))]
     position = F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order)))
-    reached = lambda split: split <= F.col("_at")
+    # first among every `_step`-th split point, then among those that follow it:
+    # a row meets two short arrays, however many blocks its key has
+    step = F.col("_step")
+    coarse = splits.select(
+        *renamed, "_step", F.filter("_splits", lambda s, i: i % step == 0).alias("_coarse")
+    )
+    near = splits.select(
+        *renamed,
+        F.posexplode(
+            F.transform(
+                F.sequence(F.lit(0), F.floor((F.size("_splits") - 1) / step).cast("int")),
+                lambda c: F.slice("_splits", c * step + 1, step),
+            )
+        ).alias("_part", "_near"),
+    )
+    n = max_blocks_of(splits)
+    levels = math.isqrt(n - 1).bit_length() + 1 if n > 1 else 1
+    at = F.col("_at")
+    in_part = F.col("_start") == F.col("_part")
     cut = (
         df.withColumn("_at", position)
-        .join(F.broadcast(splits), _same(keys, renamed), "left")
-        # first among every `_step`-th split point, then among those that follow
-        .withColumn("_start", F.size(F.filter("_coarse", reached)) - 1)
-        .withColumn("_start", F.greatest(F.col("_start"), F.lit(0)) * F.col("_step"))
-        .withColumn("_near", F.slice("_splits", F.col("_start") + 1, F.col("_step")))
+        .join(F.broadcast(local_copy(coarse)), _same(keys, renamed), "left")
+        .withColumn("_start", F.greatest(_reached("_coarse", at, levels) - 1, F.lit(0)))
+        .drop("_coarse", *renamed)
+        .join(F.broadcast(local_copy(near)), _same(keys, renamed) & in_part, "left")
         .withColumns(
             {
-                HOT: F.col("_splits").isNotNull(),
-                BLOCK: F.when(F.col("_splits").isNull(), 0).otherwise(
-                    F.col("_start") + F.size(F.filter("_near", reached))
+                HOT: F.col("_near").isNotNull(),
+                BLOCK: F.coalesce(
+                    F.col("_start") * step + _reached("_near", at, levels), F.lit(0)
                 ),
             }
         )
-        .drop("_at", "_splits", "_coarse", "_step", "_start", "_near", *renamed)
+        .drop("_at", "_step", "_start", "_part", "_near", *renamed)
     )
     table = splits.select(
         *(F.col(r).alias(k) for r, k in zip(renamed, keys)),
@@ -192,5 +209,18 @@ def _split_points(df, keys, order, found, hot_rows, max_blocks) -> DataFrame:
         )
     )
     step = F.ceil(F.sqrt(F.size("_splits"))).cast("int")
-    every = F.filter("_splits", lambda s, i: i % F.col("_step") == 0)
-    return local_copy(points.withColumn("_step", step).withColumn("_coarse", every))
+    return local_copy(points.withColumn("_step", step))
+
+
+def max_blocks_of(splits: DataFrame) -> int:
+    """The largest number of split points of a key."""
+    return splits.agg(F.max(F.size("_splits"))).first()[0] or 1
+
+
+def _reached(array: str, at: Column, levels: int) -> Column:
+    """How many values of the ordered `array`, which has fewer than 2 ** `levels`,
+    are not above `at`: a binary search. NULL for a NULL array."""
+    values, found = F.col(array), F.lit(0)
+    steps = F.array(*(F.lit(1 << k) for k in range(levels - 1, -1, -1)))
+    further = lambda n, k: F.when(F.get(values, n + k - 1) <= at, n + k).otherwise(n)
+    return F.when(values.isNotNull(), F.aggregate(steps, found, further))
