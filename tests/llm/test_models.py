@@ -206,13 +206,22 @@ def test_features_are_per_text():
     assert row["symbols"] == 4 / 6 and row["top_token"] == 0.5 and row["lines"] == 3
 
 
-def test_quality_stage_odd(spark):
-    docs = tables.odd(spark, extra=tables.EXTRA)
+@pytest.mark.parametrize("extra", [(), tables.EXTRA])
+def test_quality_stage_odd(spark, extra):
+    docs = tables.odd(spark, extra=extra)
     few = tables.labels(spark, [(1, 1, 0), (2, 0, 0), (None, 1, 1), (6, None, 0), (1, 0, 1)])
     for known in (few, few.limit(0)):
-        out = quality.kept(docs, known, F.lit(True), least=0.5)
+        out = quality.kept(docs, known, F.lit(True))
         assert out.columns == docs.columns and out.count() == len(tables.ROWS)
-        assert quality.kept(docs, known, F.lit(True)).count() == 0  # 0.5 is all there is
+    # enough to learn from, with copies and NULLs among them
+    rows = [*tables.ROWS, *((100 + i, f"plain text number {i} with words. " * 5, "en", "a", 1) for i in range(40))]
+    rows += [(200 + i, "### $$$ " * 30, "en", "a", 1) for i in range(10)]
+    good = tables.labels(spark, [(100 + i, 1, 0) for i in range(40)] + [(None, 1, 0), (100, None, 0)])
+    docs = tables.odd(spark, rows, extra)
+    out = quality.kept(docs, good, F.lit(True))
+    assert out.columns == docs.columns
+    ids = {r["doc_id"] for r in frames.picked(out, doc_id="doc_id").collect()}
+    assert set(range(100, 140)) <= ids and not ids & set(range(200, 210))
     none = tables.odd(spark, [])
     assert quality.kept(none, few, F.lit(True)).count() == 0
 

@@ -252,7 +252,7 @@ def fit(
     text: str = "text",
 ) -> Model | None:
     """The model for `positives` (id; bounded) against about `most` of all `docs`
-    taken without their labels. None without positives or texts, with which every
+    taken without their labels. None with fewer than ten of either, when every
     text is as likely good as not."""
     pos = _rows(frames.texts_of(docs, positives.select("id", F.lit(1).alias("label")), doc_id, text))
     rows = frames.picked(docs, id=doc_id, text=text)
@@ -283,9 +283,11 @@ def kept(
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """The rows of `docs` that score `least` or more, as they are. `train`: which
-    ids may lend their label."""
+    """The rows of `docs` that score `least` or more, as they are; all rows if there
+    are too few good ones to learn from. `train`: which ids may lend their label."""
     model = fit(docs, trusted(labels, train), doc_id=doc_id, text=text)
+    if model is None:
+        return docs
     rows = frames.packed(docs, text=text).withColumn("score", score(F.col("text"), model))
     return frames.unpacked(rows.where(F.col("score") >= least), docs.columns)
 
