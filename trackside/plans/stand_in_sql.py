@@ -112,11 +112,11 @@ SQL: dict[str, str] = {
     "entity_filter": """
 SELECT event_id, user_id, value FROM events WHERE event_type = 'error'""",
     "quick_filter": """
-SELECT event_id, user_id, value FROM events WHERE value > 0
+SELECT event_id, user_id, value FROM events
 QUALIFY value <= 1.07::DOUBLE * min(value) OVER (PARTITION BY user_id)""",
     "quick_filter_overall": """
 SELECT event_id, user_id, value FROM events
-WHERE value > 0 AND value <= 20 * (SELECT min(value) FROM events WHERE value > 0)""",
+WHERE value <= 20 * (SELECT min(value) FROM events)""",
     "row_index": """
 SELECT event_id, user_id, idx FROM (
   SELECT event_id, user_id,

@@ -77,12 +77,12 @@ def one_entity(spark, folder):
 
 def quick_per_user(spark, folder):
     events = _read(spark, folder, "events").select("event_id", "user_id", "value")
-    return rows.quick_filter(events.where("value > 0"), "value", 1.07, ["user_id"])
+    return rows.quick_filter(events, "value", 1.07, ["user_id"])
 
 
 def quick_overall(spark, folder):
     events = _read(spark, folder, "events").select("event_id", "user_id", "value")
-    return rows.quick_filter(events.where("value > 0"), "value", 20.0)
+    return rows.quick_filter(events, "value", 20.0)
 
 
 def numbered(spark, folder):
