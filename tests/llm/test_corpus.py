@@ -67,17 +67,13 @@ def test_merges_like_the_library(spark, words):
 
 def as_unigram(model):
     """The same pieces with the scores read as log probabilities."""
-    at, out = 0, bytearray(model)
-    # the trainer's settings are field 2; the kind of model is field 3 within
-    index = model.index(next(v for n, v in pieces._fields(model) if n == 2))
-    inner = next(v for n, v in pieces._fields(model) if n == 2)
-    for at in range(len(inner) - 1):
-        if inner[at] == 0x18 and dict(pieces._fields(inner[:at])) is not None:
-            candidate = bytearray(out)
-            candidate[index + at + 1] = pieces.UNIGRAM
-            fields = dict(pieces._fields(bytes(candidate[index : index + len(inner)])))
-            if fields.get(3) == pieces.UNIGRAM:
-                return bytes(candidate)
+    # the trainer's settings are field 2, the kind of model field 3 within them
+    settings = next(v for n, v in pieces._fields(model) if n == 2)
+    old = bytes([3 << 3, pieces.BPE])
+    for at in range(len(settings)):
+        changed = settings[:at] + bytes([3 << 3, pieces.UNIGRAM]) + settings[at + 2 :]
+        if settings[at : at + 2] == old and dict(pieces._fields(changed)).get(3) == pieces.UNIGRAM:
+            return model.replace(settings, changed)
     raise AssertionError("no kind of model found")
 
 
