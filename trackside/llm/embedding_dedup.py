@@ -89,13 +89,14 @@ def _tile(threshold: float):
         else:
             near = near_pairs(vectors, vectors, threshold)
             np.fill_diagonal(near, False)
-        links = (near @ copies.astype(np.float32)).astype(np.int64) if near.any() else copies * 0
         used = np.flatnonzero(near.any(1))
+        # a block at a time, since a product makes the booleans eight times as wide
+        links = [near[used[i : i + 256]] @ copies for i in range(0, len(used), 256)]
         root = _roots(near[np.ix_(used, used)])
         return pa.table(
             {
                 "key": pa.array(keys[used], pa.string()),
-                "links": pa.array(links[used].astype(np.int64)),
+                "links": pa.array(np.concatenate([[], *links]).astype(np.int64)),
                 "root": pa.array(keys[used[root]] if len(used) else keys[:0], pa.string()),
             }
         )
