@@ -51,14 +51,12 @@ def repetition_rates(
         for name, weight in weights.items():
             wanted = F.when(F.col("source").eqNullSafe(F.lit(name)), weight).otherwise(wanted)
     shared = mass.withColumn("wanted", wanted)
-    # totals of a table with one row per source: two numbers
-    total = shared.agg(F.sum("mass").alias("all_mass"), F.sum("wanted").alias("all_wanted"))
-    return shared.join(F.broadcast(total)).select(
+    all_mass, all_wanted = (shared.agg(F.sum(c)).scalar() for c in ("mass", "wanted"))
+    return shared.select(
         "source",
         "mass",
         F.when(
-            F.col("all_wanted") > 0,
-            F.col("wanted") / F.col("all_wanted") * F.col("all_mass") * epochs / F.col("mass"),
+            all_wanted > 0, F.col("wanted") / all_wanted * all_mass * epochs / F.col("mass")
         )
         .otherwise(0.0)
         .alias("rate"),
