@@ -22,12 +22,14 @@ def picked(df: DataFrame, **columns: str) -> DataFrame:
     )
 
 
-def packed(df: DataFrame, **columns: str) -> DataFrame:
-    """As `picked`, with the whole row beside them in the struct `_row`."""
+def packed(df: DataFrame, without: str | None = None, **columns: str) -> DataFrame:
+    """As `picked`, with the whole row beside them in the struct `_row`, but for the
+    column `without`, which a long text that is changed anyway need not be in."""
     flat = df.toDF(*(f"_c{i}" for i in range(len(df.columns))))
+    left_out = f"_c{position(df, without)}" if without else None
     return flat.select(
         *(flat[f"_c{position(df, old)}"].alias(new) for new, old in columns.items()),
-        F.struct(*flat.columns).alias("_row"),
+        F.struct(*(c for c in flat.columns if c != left_out), F.lit(0)).alias("_row"),
     )
 
 

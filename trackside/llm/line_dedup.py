@@ -105,7 +105,7 @@ def deduplicated(
     third of all documents is reduced before the shuffle; it comes back to its
     places by a join that adaptive execution splits.
     """
-    rows = frames.packed(docs, doc_id=doc_id, text=text).withColumn(
+    rows = frames.packed(docs, text, doc_id=doc_id, text=text).withColumn(
         "key",
         F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text"))),
     )

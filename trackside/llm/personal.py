@@ -497,7 +497,7 @@ def listed(spans: Column) -> Column:
 def masked_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """`docs` with every span in column `text` masked; all rows and columns stay."""
     model = fit(docs, doc_id=doc_id, text=text)
-    rows = frames.packed(docs, text=text)
+    rows = frames.packed(docs, text, text=text)
     name = docs.columns[frames.position(docs, text)]
     return frames.unpacked(
         rows.withColumn("found", find(F.col("text"), model)),
