@@ -178,13 +178,28 @@ def test_passage_inside_documents(spark):
     word = lambda: "".join(random.choices("abcdefghijkl", k=6))
     sentence = lambda: " ".join(word() for _ in range(12)) + ". "
     passage = "".join(sentence() for _ in range(6))
-    rows = [(i, sentence() * 1 + passage + sentence(), "en", "a", 1) for i in range(5)]
+    rows = [(i, sentence() + passage + sentence(), "en", "a", 1) for i in range(5)]
     out = {r["doc_id"]: r["text"] for r in line_dedup.deduplicated(tables.odd(spark, rows)).collect()}
     assert out[0] == rows[0][1]
     for i in range(1, 5):
         assert passage[:40] not in out[i] and len(out[i]) == len(rows[i][1]) - len(passage)
 
 
+def test_passage_within_a_sentence(spark):
+    """One long sentence inside another: its inner clauses go, offsets stay true."""
+    random.seed(8)
+    clause = lambda n: " ".join("".join(random.choices("abcdefgh", k=5)) for _ in range(n))
+    passage = ", ".join(clause(9) for _ in range(7))
+    rows = [(i, f"{clause(6)} {passage} {clause(6)}.", "en", "a", 1) for i in range(3)]
+    out = line_dedup.deduplicated(tables.odd(spark, rows)).collect()
+    for r in out:
+        original = rows[r["doc_id"]][1]
+        assert "".join(original[s["start"] : s["end"]] for s in r["kept"]) == r["text"]
+        assert (r["text"] == original) == (r["doc_id"] == 0)
+        if r["doc_id"]:
+            assert len(original.split()) - len(r["text"].split()) == 45
+
+
 NAN, INF = float("nan"), float("inf")
 VECTORS = [
     (1, [1.0, 0.0, 0.0], 1), (2, [2.0, 0.0, 0.0], 1), (3, [1.0, 0.1, 0.0], 1), (4, [1.0, 0.3, 0.0], 1),

@@ -1,4 +1,4 @@
-"""Units of text, lines or sentences, that stood elsewhere before, removed.
+"""Units of text, lines down to clauses, that stood elsewhere before, removed.
 
 A unit is normalised and hashed; over all documents the occurrence that ranks
 first is kept and the others are cut out of their texts. The parts that stay come
@@ -20,6 +20,7 @@ from trackside.sources import tables
 ENDS = {
     "line": r"\n",
     "sentence": r"\n|[.!?][ \t]",
+    "clause": r"\n|[.!?,;:][ \t]",
     "paragraph": r"\n[ \t\r]*\n",
 }
 MIN_WORDS = 5
@@ -37,7 +38,7 @@ def _units(text: str | None, end: re.Pattern, min_words: int):
         start = stop
 
 
-def units(text: Column, unit: str = "sentence", min_words: int = MIN_WORDS) -> Column:
+def units(text: Column, unit: str = "clause", min_words: int = MIN_WORDS) -> Column:
     """The units of a text with at least `min_words` words: start and end in code
     points and the 128-bit digest of their words in lower case."""
     end = re.compile(ENDS[unit])
@@ -87,7 +88,7 @@ def _kept(texts: pa.Array, cuts: pa.Array) -> pa.Array:
 
 def deduplicated(
     docs: DataFrame,
-    unit: str = "sentence",
+    unit: str = "clause",
     min_words: int = MIN_WORDS,
     doc_id: str = "doc_id",
     text: str = "text",

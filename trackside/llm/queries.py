@@ -80,7 +80,7 @@ def embedding_dedup_query(spark, folder):
 
 
 def line_dedup_query(spark, folder):
-    """Documents without the sentences that an earlier one holds."""
+    """Documents without the clauses that an earlier one holds."""
     docs = _read(spark, folder, "documents")
     out = line_dedup.deduplicated(docs)
     text = lambda spans: F.array_join(

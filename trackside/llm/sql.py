@@ -9,7 +9,7 @@ WITH docs AS (
   FROM documents
 ), pieces AS (
   SELECT row, doc_id, key, body,
-    string_split(regexp_replace(body, '(\n|[.!?][ \t])', '\1' || chr(1), 'g'), chr(1)) AS units
+    string_split(regexp_replace(body, '(\n|[.!?,;:][ \t])', '\1' || chr(1), 'g'), chr(1)) AS units
   FROM docs
 ), placed AS (
   SELECT row, doc_id, key, unit,
