@@ -11,10 +11,10 @@ infinity if not; one path then has a score, and it is what the merges make.
 
 from __future__ import annotations
 
-import re
 from array import array
 from dataclasses import dataclass, field
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,6 @@ WORDS_KEPT = 600_000  # encoded words that a worker remembers
 PAIRS_KEPT = 2_000_000
 UNIGRAM, BPE = 1, 2
 NOTHING = -(1 << 22)  # before the first piece
-_WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
 def _fields(data: bytes):
@@ -113,17 +112,18 @@ class Encoder:
         self.normalise = SentencePieceProcessor(model_proto=words.model).normalize
         self.root: list = [{}, None]  # walks on by character, piece that ends here
         self.score: dict[str, float] = {}
-        crossing = re.compile(f"[^{SPACE}]{SPACE}")
-        self.cut = True
+        after: dict[str, set[str]] = {}
         for i, piece in enumerate(words.pieces):
             if i in words.special or not piece:
                 continue
             self.score[piece] = words.scores[i]
-            self.cut &= not crossing.search(piece)
+            for a, b in zip(piece, piece[1:]):
+                after.setdefault(b, set()).add(a)
             node = self.root
             for c in piece:
                 node = node[0].setdefault(c, [{}, None])
             node[1] = i
+        self.classes = _classes(after)
         self.worst = min(self.score.values(), default=0.0) - 10.0
         self.pairs: dict[int, bool] = {}
         self.forget()
@@ -133,9 +133,21 @@ class Encoder:
         self.flat = array("i")
         self.ends = array("q", [0])
 
-    def words(self, text: str) -> list[str]:
-        """The marked words of a normalised text."""
-        return _WORDS.findall(text) if self.cut else [text] if text else []
+    def words(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        """The marked words of normalised texts, one text after the other, and how
+        many each has."""
+        joined = "".join(texts)
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        kind = self.classes[np.minimum(codes, chars.TOP - 1)]
+        cut = np.ones(len(codes) + 1, dtype=bool)
+        before, now = kind[:-1], kind[1:]
+        cut[1:-1] = (now == _MARK) & (before != _MARK) | (now == _SIGN) & (before == _LETTER)
+        ends = np.cumsum([0, *map(len, texts)])
+        cut[ends] = True
+        at = np.flatnonzero(cut)
+        places = at.tolist()
+        words = [joined[a:b] for a, b in zip(places, places[1:])]
+        return words, np.diff(np.searchsorted(at, ends))
 
     def _text(self, piece: int) -> str:
         return self.own.pieces[piece] if piece >= 0 else chr(-1 - piece)
@@ -208,11 +220,8 @@ class Encoder:
         walks.append(going)
 
     def learn(self, words: set[str]) -> None:
-        """Encode the words that aren't known yet."""
-        new = sorted(w for w in words if w not in self.index)
-        if len(self.index) + len(new) > WORDS_KEPT:
-            self.forget()
-            new = sorted(words)
+        """Encode `words`, none of which is known yet."""
+        new = sorted(words)
         for word, pieces in zip(new, self.encode_sorted(new)):
             for piece in pieces:
                 if piece >= 0:
@@ -231,14 +240,15 @@ class Encoder:
         """Ids of all texts in a row, and the number of each text's ids."""
         ids, sizes = [np.zeros(0, dtype=np.int32)], []
         for i, j in chars.chunks(texts):
-            split = [self.words(self.normalise(t)) if t else [] for t in texts[i:j]]
-            self.learn({w for words in split for w in words})
+            words, n_words = self.words([self.normalise(t) if t else "" for t in texts[i:j]])
+            if len(self.index) > WORDS_KEPT:
+                self.forget()
+            known = list(map(self.index.get, words))
+            if None in known:
+                self.learn({w for w, k in zip(words, known) if k is None})
+                known = list(map(self.index.get, words))
+            at = np.array(known, dtype=np.int64)
             ends, flat = np.array(self.ends, copy=True), np.frombuffer(self.flat, dtype=np.int32).copy()
-            find = self.index.__getitem__
-            n_words = np.array([len(words) for words in split])
-            at = np.fromiter(
-                (k for words in split for k in map(find, words)), dtype=np.int64, count=n_words.sum()
-            )
             size = ends[at + 1] - ends[at]
             first = np.cumsum(size) - size
             place = np.arange(size.sum()) + np.repeat(ends[at] - first, size)
@@ -248,6 +258,25 @@ class Encoder:
         return np.concatenate(ids), np.concatenate([np.zeros(0, dtype=np.int64), *sizes])
 
 
+_LETTER, _SIGN, _MARK = 1, 2, 3
+
+
+def _classes(after: dict[str, set[str]]) -> np.ndarray:
+    """Classes of code points that tell where no piece crosses: before a space sign
+    that follows anything else, and between a letter or digit and a sign that no
+    piece has after one. `after`: by character what stands before it in pieces."""
+    table = np.zeros(chars.TOP, dtype=np.uint8)
+    table[:-1][chars.letter_table()[:-1]] = _LETTER
+    table[ord("0") : ord("9") + 1] = _LETTER
+    letter = lambda c: ord(c) < chars.TOP - 1 and table[ord(c)] == _LETTER
+    for c in {*after, *chain.from_iterable(after.values()), *"\n\t\r.,;:!?"} - {SPACE}:
+        if ord(c) < chars.TOP - 1 and not letter(c) and not any(map(letter, after.get(c, ()))):
+            table[ord(c)] = _SIGN
+    if not after.get(SPACE, set()) - {SPACE}:
+        table[ord(SPACE)] = _MARK
+    return table
+
+
 def merged(text: str, score: dict[str, float]) -> list[str]:
     """The merges of a BPE model: of the neighbours that make a piece those with
     the best score first, the leftmost of equals."""
