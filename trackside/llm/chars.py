@@ -11,7 +11,7 @@ TOP = 0x33000  # letters lie below
 SPACE = 32
 CONTEXT = 1  # in place of a third character
 BUCKETS = 1 << 17  # of trigrams
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 
 @cache

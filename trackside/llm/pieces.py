@@ -23,8 +23,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from trackside.llm import chars, frames
 
 SPACE = "▁"
-WORDS_KEPT = 600_000  # encoded words that a worker remembers
-PAIRS_KEPT = 2_000_000
+WORDS_KEPT = 400_000  # encoded words that a worker remembers
+PAIRS_KEPT = 500_000
 UNIGRAM, BPE = 1, 2
 NOTHING = -(1 << 22)  # before the first piece
 
