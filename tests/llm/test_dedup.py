@@ -200,6 +200,37 @@ def test_passage_within_a_sentence(spark):
             assert len(original.split()) - len(r["text"].split()) == 45
 
 
+def test_short_lines_and_paragraphs(spark):
+    """Repeated lines and paragraphs go whole, also those of less than five words;
+    clauses do in what is left. Offsets stay true, and copies lose all their words."""
+    again = "this one comes back in the middle of a sentence"
+    copied = "Short, very short. Yes.\nNo; maybe.\n\nLast one here"
+    rows = [
+        (1, f"own text of one.\nAll rights reserved\nfoo, {again}, bar\n日本語の文章です。一つだけ", "en", "a", 1),
+        (2, f"own text of two.\nALL rights reserved.\n \nbaz, {again}, qux\n日本語の文章です。二つ目も", "en", "a", 1),
+        (3, copied, "en", "a", 1),
+        (4, copied, "en", "a", 1),
+        (5, "  \nonly line\n\n", "en", "a", 1),
+        (None, "tiny", "en", "a", 1),
+        (None, "tiny", "en", "a", 1),
+        (6, None, "en", "a", 1),
+        (7, "one two\none two\n", "en", "a", 1),
+    ]
+    out = line_dedup.deduplicated(tables.odd(spark, rows), unit="whole").collect()
+    got = {r["doc_id"]: r["text"] for r in out}
+    assert got[1] == rows[0][1]
+    assert got[2] == "own text of two.\n \nbaz, qux\n二つ目も"
+    assert got[3] == copied and got[4] == "" and got[5] == rows[4][1]
+    assert sorted(r["text"] for r in out if r["doc_id"] is None) == ["", "tiny"]
+    assert got[6] is None and got[7] == "one two\n"
+    original = dict((r[0], r[1]) for r in rows)
+    for r in out:
+        text = original[r["doc_id"]] or ""
+        assert "".join(text[s["start"] : s["end"]] for s in r["kept"]) == (r["text"] or "")
+        spans = sorted((s["start"], s["end"]) for s in [*r["kept"], *r["cut"]])
+        assert [a for a, _ in spans] == [0, *(b for _, b in spans)][: len(spans)]
+
+
 NAN, INF = float("nan"), float("inf")
 VECTORS = [
     (1, [1.0, 0.0, 0.0], 1), (2, [2.0, 0.0, 0.0], 1), (3, [1.0, 0.1, 0.0], 1), (4, [1.0, 0.3, 0.0], 1),

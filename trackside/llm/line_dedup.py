@@ -25,23 +25,51 @@ ENDS = {
 }
 MIN_WORDS = 5
 _WORD = re.compile(r"[^\W_]+")
+#: Unit "whole": each of these within those before it.
+LEVELS = [re.compile(x) for x in (ENDS["paragraph"], ENDS["line"], ENDS["clause"] + "|[。！？，；：、]")]
+#: Scripts without blanks between words (Thai to Khmer, kana, Han).
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 _SPANS = "array<struct<start:int,end:int>>"
 
 
+def _digest(words: list[str]) -> bytes:
+    return hashlib.md5(" ".join(words).encode()).digest()
+
+
 def _units(text: str | None, end: re.Pattern, min_words: int):
     """Start, end and digest of each unit with enough words."""
     start = 0
     for stop in [*(m.end() for m in end.finditer(text or "")), len(text or "")]:
         words = _WORD.findall(text[start:stop].lower()) if stop > start else ()
         if words and len(words) >= min_words:
-            yield start, stop, hashlib.md5(" ".join(words).encode()).digest()
+            yield start, stop, _digest(words)
+        start = stop
+
+
+def _nested(text: str | None, min_words: int, level: int = 0, start: int = 0, end: int | None = None, around=None):
+    """Start, end and digest of paragraphs and lines with a word and of clauses with
+    enough. One with the same words as the unit `around` it is not listed again."""
+    text = text or ""
+    end = len(text) if end is None else end
+    for stop in [*(m.end() for m in LEVELS[level].finditer(text, start, end)), end]:
+        words = _WORD.findall(text[start:stop].lower())
+        if words and words != around:
+            size = len(words)
+            if level == 2 and size < min_words:
+                # a character of an unspaced script counts as a word
+                size = sum(len(_UNSPACED.findall(w)) or 1 for w in words)
+            if level < 2 or size >= min_words:
+                yield start, stop, _digest(words)
+        if words and level < 2:
+            yield from _nested(text, min_words, level + 1, start, stop, words)
         start = stop
 
 
 def units(text: Column, unit: str = "clause", min_words: int = MIN_WORDS) -> Column:
     """The units of a text with at least `min_words` words: start and end in code
-    points and the 128-bit digest of their words in lower case."""
-    end = re.compile(ENDS[unit])
+    points and the 128-bit digest of their words in lower case. Those of "whole"
+    lie in each other: paragraphs and lines of any length, and clauses."""
+    end = None if unit == "whole" else re.compile(ENDS[unit])
     kind = pa.list_(
         pa.struct([("start", pa.int32()), ("end", pa.int32()), ("digest", pa.binary())])
     )
@@ -50,7 +78,8 @@ def units(text: Column, unit: str = "clause", min_words: int = MIN_WORDS) -> Col
     def split(texts: pa.Array) -> pa.Array:
         sizes, starts, stops, digests = [0], [], [], []
         for text in texts:
-            for s, e, d in _units(text.as_py(), end, min_words):
+            text = text.as_py()
+            for s, e, d in _units(text, end, min_words) if end else _nested(text, min_words):
                 starts.append(s)
                 stops.append(e)
                 digests.append(d)
@@ -67,23 +96,26 @@ def units(text: Column, unit: str = "clause", min_words: int = MIN_WORDS) -> Col
 
 
 def _kept(texts: pa.Array, cuts: pa.Array) -> pa.Array:
-    """Each text without its cuts, and the stretches that stay."""
+    """Each text without its cuts, the stretches that stay, and the outermost cuts."""
     out = []
     for text, cut in zip(texts.to_pylist(), cuts.to_pylist()):
         if text is None:
-            out.append({"text": None, "kept": []})
+            out.append({"text": None, "kept": [], "cut": cut})
             continue
-        stretches, at = [], 0
-        for span in sorted(cut or (), key=lambda x: x["start"]):
+        stretches, outer, at = [], [], 0
+        for span in sorted(cut or (), key=lambda x: (x["start"], -x["end"])):
+            if span["end"] <= at:
+                continue
             if span["start"] > at:
                 stretches.append({"start": at, "end": span["start"]})
+            outer.append(span)
             at = span["end"]
         if at < len(text):
             stretches.append({"start": at, "end": len(text)})
         kept = "".join(text[x["start"] : x["end"]] for x in stretches) if cut else text
-        out.append({"text": kept, "kept": stretches})
-    span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
-    return pa.array(out, pa.struct([("text", pa.string()), ("kept", pa.list_(span))]))
+        out.append({"text": kept, "kept": stretches, "cut": outer})
+    spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    return pa.array(out, pa.struct([("text", pa.string()), ("kept", spans), ("cut", spans)]))
 
 
 def deduplicated(
@@ -96,7 +128,9 @@ def deduplicated(
     """`docs` with repeated units cut from column `text`; `kept` and `cut` follow.
 
     Both hold spans (start, end) of the original in code points, in order. Units
-    with fewer than `min_words` words always stay. Of equal units the first by
+    with fewer than `min_words` words always stay, but with the unit "whole" any
+    paragraph or line that stood before goes entire, and what is left of the text
+    loses its repeated clauses. Of equal units the first by
     id (NULL last), then by hash of id and text, then by offset stays; of rows
     that repeat as a whole one keeps what ranks first and the others lose all
     such units. A NULL text stays NULL, an empty one empty; an empty table gives
@@ -136,7 +170,7 @@ def deduplicated(
     chosen = F.when(F.col("again"), F.col("all_units")).otherwise(
         F.coalesce("cut", F.array().cast(_SPANS))
     )
-    cleaned = F.arrow_udf(_kept, f"struct<text:string,kept:{_SPANS}>")
+    cleaned = F.arrow_udf(_kept, f"struct<text:string,kept:{_SPANS},cut:{_SPANS}>")
     out = (
         joined.withColumn("all_units", all_units)
         .withColumn("chosen", chosen)
@@ -146,5 +180,5 @@ def deduplicated(
     return frames.unpacked(
         out,
         docs.columns,
-        **{name: F.col("clean.text"), "kept": F.col("clean.kept"), "cut": F.col("chosen")},
+        **{name: F.col("clean.text"), "kept": F.col("clean.kept"), "cut": F.col("clean.cut")},
     )
