@@ -101,6 +101,21 @@ def test_clean_text_is_left_alone(char_model):
     assert out[1] == texts[1]
 
 
+def test_mixed_disguises(spark):
+    """Signs, spacing, doubling and cutting together, next to words that stay."""
+    rows = [(i, PLAIN + " ass, what a clean letter we all will see", "en", "a", 1) for i in range(30)]
+    model = toxicity.character_model(tables.odd(spark, rows))
+    for disguised, plain in [
+        ("m 0 r 0 n", "moron"), ("$ t u p 1 d", "stupid"), ("iidiot", "idiot"), ("mooron", "moron"),
+        ("a$$", "ass"), ("id-iot", "idiot"), ("i  d  i  o  t", "idiot"), ("m. 0. r. 0. n", "moron"),
+        ("mo-0-ron", "moron"), ("st_uupid", "stupid"),
+    ]:
+        text = f"All {disguised} we will see"
+        assert toxicity.restore_batch([text], model, toxicity._reader(model)) == [f"All {plain} we will see"]
+    clean = ["All clean letters! A letter, you see: 1 2 3, who-was", "Moron! Idiot!!"]
+    assert toxicity.restore_batch(clean, model, toxicity._reader(model)) == clean
+
+
 @pytest.mark.parametrize("extra", [(), tables.EXTRA])
 def test_toxicity_odd(spark, char_model, extra):
     docs = tables.odd(spark, extra=extra)

@@ -33,6 +33,8 @@ SIGNS = {
 }
 BETWEEN = " .-_*,"
 SIGN_COST, DROP_COST, DOUBLE_COST, RUN_COST, JOIN_COST, BREAK_COST = 1.0, 10.0, 3.0, 0.5, 0.5, 2.0
+KEEP_COST = {"!": 2.0}  # of a sign that ends a word and is no letter; others:
+KEEP_OTHER = 5.0
 
 
 # -- the character model ------------------------------------------------------
@@ -102,9 +104,10 @@ def _readings(sign: str, n: int) -> list[tuple[str, float]]:
     return [(" ", 0.0)]
 
 
-def restored(token: str, model: CharModel) -> str:
-    """The likeliest reading of `token`: Viterbi over its lattice, the state being
-    the last two characters. Of equal readings the first in order of the lattice."""
+def _best(token: str, model: CharModel) -> tuple[float, str]:
+    """Score and text of the likeliest reading of `token`: Viterbi over its lattice,
+    the state being the last two characters. Of equal readings the first in order
+    of the lattice."""
     space = chars.SPACE
     best = {(space, space): (0.0, None)}
     steps = []
@@ -125,11 +128,58 @@ def restored(token: str, model: CharModel) -> str:
         steps.append(after)
         best = after
     state = max(best, key=lambda s: best[s][0])
-    parts = []
+    total, parts = best[state][0], []
     for after in reversed(steps):
         state, out = after[state][1]
         parts.append(out)
-    return "".join(reversed(parts)).strip()
+    return total, "".join(reversed(parts)).strip()
+
+
+def restored(token: str, model: CharModel) -> str:
+    """The likeliest reading of `token`."""
+    return _best(token, model)[1]
+
+
+_TAIL = re.compile(r"[@$!|+€]+$")
+_LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def _known(text: str, model: CharModel) -> bool:
+    """Whether all trigrams of the text's words were counted."""
+    for word in _LETTERS.findall(text):
+        two = one = chars.SPACE
+        for code in [*map(ord, word), chars.SPACE]:
+            if not model.grams[chars.trigram_hash(two, one, code)]:
+                return False
+            two, one = one, code
+    return True
+
+
+def checked(token: str, model: CharModel) -> str:
+    """As `restored`, for tokens that may as well be plain: one whose reading has the
+    same words, or trigrams that were never counted, stays as written. Signs at the
+    end are letters only if that reading beats the one that ends before them."""
+    i, j = 0, len(token)
+    while i < j and not (token[i].isalpha() or token[i] in SIGNS):
+        i += 1
+    while i < j and not (token[j - 1].isalpha() or token[j - 1] in SIGNS):
+        j -= 1
+    inner, tail = token[i:j], _TAIL.search(token[i:j])
+    total, reading = _best(inner, model)
+    if tail:
+        cost = sum(KEEP_COST.get(m.group()[0], KEEP_OTHER) for m in _RUNS.finditer(tail.group()))
+        plain, without = _best(inner[: tail.start()], model)
+        if plain - cost >= total or not _known(reading, model):
+            inner, reading, j = inner[: tail.start()], without, i + tail.start()
+    if not _known(reading, model) or _LETTERS.findall(reading) == _LETTERS.findall(inner.lower()):
+        return token
+    return token[:i] + reading + token[j:]
+
+
+def _signs(codes: np.ndarray) -> np.ndarray:
+    sign = np.zeros(128, dtype=bool)
+    sign[[ord(c) for c in SIGNS if ord(c) < 128]] = True
+    return sign[np.minimum(codes, 127)] & (codes < 127) | (codes == ord("€"))
 
 
 def _marks(scan: chars.Scan) -> np.ndarray:
@@ -137,9 +187,7 @@ def _marks(scan: chars.Scan) -> np.ndarray:
     letter, codes = scan.letter, scan.codes
     after = np.append(letter[1:], False)
     before = np.concatenate(([False], letter[:-1]))
-    sign = np.zeros(128, dtype=bool)
-    sign[[ord(c) for c in SIGNS if ord(c) < 128]] = True
-    signs = sign[np.minimum(codes, 127)] & (codes < 127) | (codes == ord("€"))
+    signs = _signs(codes)
     digit = (codes >= 48) & (codes <= 57)
     odd = signs & after | digit & before
     low = scan.low
@@ -147,20 +195,40 @@ def _marks(scan: chars.Scan) -> np.ndarray:
     return np.flatnonzero(odd)
 
 
-def _spaced(scan: chars.Scan) -> list[tuple[int, int]]:
-    """Runs of three or more single letters, each one sign apart, not all equal."""
-    start, end = scan.word_start, scan.word_end
-    if len(start) < 3:
+def _maybe(scan: chars.Scan) -> tuple[np.ndarray, np.ndarray]:
+    """Places in tokens that may be disguised or plain: signs after a letter, and
+    what is not a blank between letters or signs; and the first of two equal letters."""
+    letter, signs = scan.letter, _signs(scan.codes)
+    either = letter | signs
+    between = np.isin(scan.codes, [ord(c) for c in BETWEEN if c != " "])
+    odd = signs.copy()
+    odd[0], odd[1:] = False, signs[1:] & letter[:-1]
+    odd[1:-1] |= between[1:-1] & either[:-2] & either[2:] & (letter[:-2] | letter[2:])
+    double = letter[:-1] & letter[1:] & (scan.low[:-1] == scan.low[1:])
+    return np.flatnonzero(odd), np.flatnonzero(double)
+
+
+def _spaced(scan: chars.Scan) -> list[tuple[int, int, bool]]:
+    """Runs of three or more single letters or signs with separators between them,
+    one letter at least, not all equal; and whether they can only be a disguise:
+    letters alone, each one sign apart."""
+    either = scan.letter | _signs(scan.codes)
+    beside = np.zeros(len(either), dtype=bool)
+    beside[1:] |= either[:-1]
+    beside[:-1] |= either[1:]
+    at = np.flatnonzero(either & ~beside)
+    if len(at) < 3:
         return []
-    single = (end - start == 1)
-    gap = np.isin(scan.codes[np.minimum(end, len(scan.codes) - 1)], [ord(c) for c in BETWEEN])
-    linked = single[:-1] & single[1:] & (start[1:] - end[:-1] == 1) & gap[:-1]
+    gap = np.cumsum(np.isin(scan.codes, [ord(c) for c in BETWEEN]))
+    linked = gap[at[1:] - 1] - gap[at[:-1]] == np.diff(at) - 1
     edge = np.diff(linked.astype(np.int8), prepend=0, append=0)
     out = []
     for i, j in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)):
-        letters = scan.low[start[i : j + 1]]
-        if j - i >= 2 and (letters != letters[0]).any():
-            out.append((int(start[i]), int(end[j])))
+        run = at[i : j + 1]
+        low, letters = scan.low[run], scan.letter[run]
+        if j - i >= 2 and letters.any() and (low != low[0]).any():
+            sure = letters.all() and run[-1] - run[0] == 2 * (j - i)
+            out.append((int(run[0]), int(run[-1]) + 1, bool(sure)))
     return out
 
 
@@ -174,37 +242,47 @@ def _token_bounds(text: str, at: int) -> tuple[int, int]:
 
 
 def restore_batch(texts: list, model: CharModel, read) -> list[str]:
-    """The texts with their disguised tokens read; `read` maps token to reading."""
+    """The texts with their disguised tokens read; `read` maps a token, and whether
+    it can only be a disguise, to its reading."""
     scan = chars.Scan(texts)
-    spans = [(s, e) for s, e in _spaced(scan)]
-    places = _marks(scan)
     found: dict[int, list] = {}
-    for s, e in spans:
+    for s, e, sure in _spaced(scan):
         d = int(np.searchsorted(scan.starts, s, side="right") - 1)
-        found.setdefault(d, []).append((s - int(scan.starts[d]), e - int(scan.starts[d])))
-    end = -1
-    for d, at in zip(scan.doc_of(places).tolist(), places.tolist()):
-        if at < end:
-            continue
+        found.setdefault(d, []).append((s - int(scan.starts[d]), e - int(scan.starts[d]), sure))
+    maybe, double = _maybe(scan)
+    marked = set()
+    for places, sure in ((_marks(scan), True), (maybe, False)):
+        end = -1
+        for d, at in zip(scan.doc_of(places).tolist(), places.tolist()):
+            if at < end:
+                continue
+            origin = int(scan.starts[d])
+            s, e = _token_bounds(texts[d], at - origin)
+            end = origin + e
+            if end not in marked:
+                marked.add(end)
+                found.setdefault(d, []).append((s, e, sure))
+    words = np.unique(np.searchsorted(scan.word_start, double, side="right") - 1)
+    for d, s, e in zip(*(x[words].tolist() for x in (scan.word_doc, scan.word_start, scan.word_end))):
         origin = int(scan.starts[d])
-        s, e = _token_bounds(texts[d], at - origin)
-        end = origin + e
-        found.setdefault(d, []).append((s, e))
+        found.setdefault(d, []).append((s - origin, e - origin, False))
     out = [t or "" for t in texts]
     for d, own in found.items():
         parts, at = [], 0
-        for s, e in sorted(own):
+        # of two at one place the longer, of two equal ones the sure one
+        for s, e, sure in sorted(own, key=lambda x: (x[0], -x[1], not x[2])):
             if s >= at:
-                parts += [out[d][at:s], read(out[d][s:e])]
+                parts += [out[d][at:s], read(out[d][s:e], sure)]
                 at = e
         out[d] = "".join([*parts, out[d][at:]])
     return out
 
 
 def _reader(model: CharModel):
-    """`restored` with a memory of short tokens."""
-    short = lru_cache(1 << 16)(lambda token: restored(token, model))
-    return lambda token: short(token) if len(token) <= 64 else restored(token, model)
+    """`restored`, or `checked` if not sure, with a memory of short tokens."""
+    every = lambda token, sure=True: (restored if sure else checked)(token, model)
+    short = lru_cache(1 << 16)(every)
+    return lambda token, sure=True: (short if len(token) <= 64 else every)(token, sure)
 
 
 # -- the score ------------------------------------------------------------------
