@@ -146,6 +146,22 @@ def test_toxic_words_found_in_disguise(spark):
     assert scores[1] > 0.5 and scores[3] > 0.5 and scores[2] < 0.5
 
 
+def test_toxic_words_in_few_texts(spark):
+    """Insults that five of 68 training texts hold, and no clean one, are learnt."""
+    random.seed(6)
+    text = lambda: " ".join("".join(random.choices("abcdefghijklmnoprstu", k=5)) for _ in range(30))
+    insults = [" idiot moron", " clown loser"]
+    rows = [(i, text() + (insults[i % 2] if i < 10 else ""), "en", "a", 1) for i in range(68)]
+    docs = tables.odd(spark, rows)
+    model = toxicity.character_model(docs)
+    sample = spark.createDataFrame([(i, int(i < 10)) for i in range(68)], "id bigint, label int")
+    scorer = toxicity.fit(docs, sample, model)
+    test = [(i, text() + (insults[i % 2] if i < 4 else ""), "en", "a", 1) for i in range(24)]
+    out = tables.odd(spark, test).select("doc_id", toxicity.score(F.col("text"), model, scorer)["score"].alias("s"))
+    scores = {r["doc_id"]: r["s"] for r in out.collect()}
+    assert all((s > 0.5) == (i < 4) for i, s in scores.items()), scores
+
+
 # -- language --------------------------------------------------------------------
 
 

@@ -24,7 +24,7 @@ SAMPLE = 20_000  # labelled documents to fit on
 FEATURES = 1 << 20  # hashed words and beginnings of words
 PREFIXES = range(3, 9)
 SELECTED = 4096
-MIN_G2 = 30.0
+SURE_G2 = 30.0  # weaker features are penalised more
 
 #: Letters that a sign may stand for.
 SIGNS = {
@@ -385,9 +385,10 @@ def fit(
 ) -> Scorer:
     """A logistic model out of `sample` (id, label 0 or 1; bounded).
 
-    Words and beginnings of words that are in significantly more toxic texts are
-    selected by their log-likelihood ratio, at most `selected`; the model weighs
-    log(1 + count). Without labels of both kinds every score is the toxic share.
+    Words and beginnings of words that are in more of the toxic texts are ranked by
+    their log-likelihood ratio and the first `selected` taken, however few texts
+    they are in; those of weak evidence are scaled down, so that the penalty keeps
+    them small beside stronger ones. The model weighs log(1 + count). Without labels of both kinds every score is the toxic share.
     """
     rows = tables.written(
         frames.texts_of(docs, sample, doc_id, text)
@@ -407,19 +408,19 @@ def fit(
         .groupBy("feature")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .withColumn("g2", _g2(F.col("clean"), F.col("toxic"), n_clean, n_toxic))
-        .where(F.col("g2") >= MIN_G2)
+        .where(F.col("g2") > 0)
         .orderBy(F.desc("g2"), "feature")
         .limit(selected)
-        .select("feature")
+        .select("feature", "g2")
         .toArrow()
-        .column(0)
-        .to_numpy()
     )
+    best, g2 = (best.column(c).to_numpy() for c in ("feature", "g2"))
+    scale = np.minimum(1.0, g2 / min(SURE_G2, g2.max(initial=SURE_G2 if not len(g2) else 0.0)))
     slot[best] = np.arange(len(best))
     table = few.mapInArrow(
         _hits(model, slot), "label int, slots array<int>, counts array<int>"
     ).toArrow()
-    return _logistic(table, slot, len(best))
+    return _logistic(table, slot, len(best), scale)
 
 
 def _scores(slots, counts, sizes, weights, bias) -> np.ndarray:
@@ -429,14 +430,19 @@ def _scores(slots, counts, sizes, weights, bias) -> np.ndarray:
 
 
 def _logistic(
-    table: pa.Table, slot: np.ndarray, n_slots: int, penalty: float = 1.0, steps: int = 500
+    table: pa.Table,
+    slot: np.ndarray,
+    n_slots: int,
+    scale: np.ndarray,
+    penalty: float = 1.0,
+    steps: int = 500,
 ) -> Scorer:
     """Logistic regression with a squared penalty, by accelerated gradient steps."""
     label = table.column("label").to_numpy()
     slots, counts = (table.column(c).combine_chunks() for c in ("slots", "counts"))
     sizes = slots.value_lengths().to_numpy()
     slots, counts = slots.flatten().to_numpy(), counts.flatten().to_numpy()
-    doc, value = np.repeat(np.arange(len(sizes)), sizes), np.log1p(counts)
+    doc, value = np.repeat(np.arange(len(sizes)), sizes), np.log1p(counts) * scale[slots]
     share = label.mean()
     weights = np.zeros(n_slots)
     bias = ahead_bias = log(share / (1 - share))
@@ -455,7 +461,7 @@ def _logistic(
         ahead = moved + pace * (moved - weights)
         ahead_bias = moved_bias + pace * (moved_bias - bias)
         weights, bias = moved, moved_bias
-    return Scorer(slot, weights, float(bias))
+    return Scorer(slot, weights * scale, float(bias))
 
 
 OUT = "struct<score:double,restored:string>"
