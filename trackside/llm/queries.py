@@ -15,6 +15,7 @@ from trackside.llm import (
     language,
     line_dedup,
     mixing,
+    periodic,
     personal,
     pieces,
     quality,
@@ -159,6 +160,23 @@ def mix_sources(spark, folder):
     )
 
 
+def periodic_runs(spark, folder):
+    """Runs of repeated words in each document, one in ten of which is made periodic."""
+    docs = frames.picked(_read(spark, folder, "documents"), doc_id="doc_id", text="text")
+    text = periodic.made_periodic(F.col("text"), F.col("doc_id"))
+    most = F.col("found.strongest")
+    return docs.select("doc_id", periodic.found(text).alias("found")).select(
+        "doc_id",
+        F.size("found.runs").cast("bigint").alias("n_runs"),
+        most["start"].alias("start"),
+        most["length"].alias("length"),
+        most["period"].alias("period"),
+        F.floor(1000 * most["length"] / most["period"]).alias("exponent_milli"),
+        periodic.digest(F.col("found.runs")).alias("runs_sha256"),
+        F.sha2("found.collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity_score,
     "op2_simhash_dedup": simhash_dedup,
@@ -170,5 +188,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": sentencepiece,
     "op9_mix_sources": mix_sources,
     "op10_language_id": language_id,
+    "op13_periodic_runs": periodic_runs,
     "pipeline": corpus_pipeline.run,
 }

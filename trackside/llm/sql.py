@@ -91,8 +91,62 @@ SELECT v.vec_id, coalesce(c.n, 0) AS n_links, l.component_id,
 FROM vectors v JOIN least l USING (row) LEFT JOIN counted c USING (row)
 """
 
+# crc32 of the id as decimal text, bit by bit
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+      lambda x, k: xor(x >> 1, (x & 1) * 3988292384))), 4294967295::BIGINT)"""
+
+PERIODIC_RUNS = (
+    r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, """
+    + _CRC32
+    + r""" AS h,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+), sized AS (
+  SELECT *, len(words) AS n, h // 10 AS g, (h // 10) % greatest(len(words), 1) AS a FROM docs
+), places AS (
+  SELECT *, 1 + (n - a) // (3 + g % 8) AS p, unnest(range(n)) AS i FROM sized
+), tokens AS (
+  SELECT row, n, i, words[1 + CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % p ELSE i END] AS word
+  FROM places
+), equal AS (
+  SELECT x.row, x.n, x.i, y.i - x.i AS q FROM tokens x JOIN tokens y
+  ON x.row = y.row AND x.word = y.word AND x.i < y.i AND 3 * (y.i - x.i) <= x.n
+), numbered AS (
+  SELECT row, i, q, i - row_number() OVER (PARTITION BY row, q ORDER BY i) AS stretch FROM equal
+), stretches AS (
+  SELECT row, q, min(i) AS start, count(*) + q AS length FROM numbered GROUP BY row, q, stretch
+  HAVING count(*) + q >= greatest(24, 3 * q)
+), runs AS (
+  SELECT * FROM stretches s WHERE NOT EXISTS (
+    SELECT 1 FROM stretches t WHERE t.row = s.row AND t.q < s.q
+      AND t.start <= s.start AND t.start + t.length >= s.start + s.length)
+), listed AS (
+  SELECT row, count(*) AS n_runs,
+    string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS lines
+  FROM runs GROUP BY row
+), best AS (
+  SELECT * FROM runs r WHERE NOT EXISTS (
+    SELECT 1 FROM runs b WHERE b.row = r.row AND (b.length * r.q > r.length * b.q
+      OR b.length * r.q = r.length * b.q AND (b.start < r.start OR b.start = r.start AND b.q < r.q)))
+), kept AS (
+  SELECT row, string_agg(word, ' ' ORDER BY i) AS text FROM tokens t WHERE NOT EXISTS (
+    SELECT 1 FROM runs r WHERE r.row = t.row AND t.i >= r.start + r.q AND t.i < r.start + r.length)
+  GROUP BY row
+)
+SELECT d.doc_id, coalesce(l.n_runs, 0) AS n_runs, b.start, b.length, b.q AS period,
+  1000 * b.length // b.q AS exponent_milli, sha256(coalesce(l.lines, '')) AS runs_sha256,
+  sha256(coalesce(k.text, '')) AS collapsed_sha256
+FROM docs d LEFT JOIN listed l USING (row) LEFT JOIN best b USING (row) LEFT JOIN kept k USING (row)
+"""
+)
+
 SQL: dict[str, str] = {
     "op4_embedding_dedup": EMBEDDING_DEDUP,
     "op3_line_dedup": LINE_DEDUP,
     "op9_mix_sources": MIX_SOURCES,
+    "op13_periodic_runs": PERIODIC_RUNS,
 }
