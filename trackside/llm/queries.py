@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import corpus_pipeline
@@ -14,6 +15,7 @@ from trackside.llm import (
     frames,
     language,
     line_dedup,
+    merkle,
     mixing,
     periodic,
     personal,
@@ -160,6 +162,25 @@ def mix_sources(spark, folder):
     )
 
 
+FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def merkle_manifest(spark, folder):
+    """Leaf, subroot, root and proof of each document, and whether the root still
+    follows where one in five has its text changed."""
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    changed = merkle.leaf_hash(*(F.col(c) for c in FIELDS[:-1]), lower)
+    touched = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    out = merkle.manifest(
+        _read(spark, folder, "documents"), FIELDS, carried={"changed": F.when(touched, changed)}
+    )
+    return out.select(
+        "doc_id", "leaf", "subroot", "root",
+        F.sha2(merkle.proof(F.col("path")), 256).alias("proof_sha256"),
+        merkle.folded(F.coalesce("changed", "leaf"), F.col("path")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def periodic_runs(spark, folder):
     """Runs of repeated words in each document, one in ten of which is made periodic."""
     docs = frames.picked(_read(spark, folder, "documents"), doc_id="doc_id", text="text")
@@ -188,6 +209,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": sentencepiece,
     "op9_mix_sources": mix_sources,
     "op10_language_id": language_id,
+    "op12_merkle_manifest": merkle_manifest,
     "op13_periodic_runs": periodic_runs,
     "pipeline": corpus_pipeline.run,
 }

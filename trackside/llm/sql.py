@@ -97,6 +97,60 @@ _CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT,
     lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
       lambda x, k: xor(x >> 1, (x & 1) * 3988292384))), 4294967295::BIGINT)"""
 
+LEVELS = 6  # enough for 16 ** 6 rows of a source
+
+
+def _merkle() -> str:
+    """The tree level by level. A group with one node is done and passes through."""
+    part = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END"
+    leaf = lambda text: "sha256(concat(" + ", ".join(map(part, ("doc_id", "source", "lang", "n_chars", text))) + "))"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    steps = [
+        f"""docs AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce('=' || source, '') AS part, {leaf("text")} AS leaf,
+    CASE WHEN {_CRC32} % 5 = 0 THEN {leaf(lower)} END AS changed FROM documents
+), a0 AS (
+  SELECT part, leaf AS node, count(*) OVER (PARTITION BY part) AS n, row,
+    row_number() OVER (PARTITION BY part ORDER BY doc_id NULLS FIRST, leaf, row) - 1 AS pos FROM docs
+), f0 AS (
+  SELECT a.row, a.part, a.pos, a.leaf, coalesce(d.changed, a.leaf) AS node, '' AS proof
+  FROM (SELECT row, part, pos, node AS leaf FROM a0) a JOIN docs d USING (row)
+)"""
+    ]
+
+    def level(a: str, f: str, k: int) -> str:
+        siblings = "array_to_string(r.slots[1:f.pos % 16], '')", "array_to_string(r.slots[f.pos % 16 + 2:], '')"
+        left, right = (f"coalesce({s}, '')" for s in siblings)
+        return f"""{a}r{k} AS (
+  SELECT part, pos // 16 AS up, n, list(node ORDER BY pos) AS slots FROM {a}{k} GROUP BY part, up, n
+), {a}{k + 1} AS (
+  SELECT part, CASE WHEN n = 1 THEN slots[1] ELSE sha256(array_to_string(slots, '')) END AS node,
+    (n + 15) // 16 AS n, up AS pos FROM {a}r{k}
+), {f}{k + 1} AS (
+  SELECT f.row, f.part, f.pos // 16 AS pos, f.leaf,
+    CASE WHEN r.n = 1 THEN f.node ELSE sha256({left} || f.node || {right}) END AS node,
+    f.proof || CASE WHEN r.n = 1 THEN '' ELSE {left} || {right} END AS proof
+  FROM {f}{k} f JOIN {a}r{k} r ON f.part = r.part AND f.pos // 16 = r.up
+)"""
+
+    steps += [level("a", "f", k) for k in range(LEVELS)]
+    steps.append(
+        f"""b0 AS (
+  SELECT '' AS part, node, count(*) OVER () AS n, row_number() OVER (ORDER BY part) - 1 AS pos, part AS source
+  FROM a{LEVELS}
+), g0 AS (
+  SELECT f.row, '' AS part, b.pos, f.leaf, f.node, f.proof FROM f{LEVELS} f JOIN b0 b ON f.part = b.source
+)"""
+    )
+    steps += [level("b", "g", k) for k in range(LEVELS)]
+    return f"""WITH {", ".join(steps)}
+SELECT d.doc_id, d.leaf, s.node AS subroot, b.node AS root, sha256(g.proof) AS proof_sha256,
+  g.node AS folded_root, g.node = b.node AS verified
+FROM g{LEVELS} g JOIN docs d USING (row) JOIN b0 s ON s.source = d.part CROSS JOIN b{LEVELS} b"""
+
+
+MERKLE_MANIFEST = _merkle()
+
 PERIODIC_RUNS = (
     r"""
 WITH docs AS (
@@ -148,5 +202,6 @@ SQL: dict[str, str] = {
     "op4_embedding_dedup": EMBEDDING_DEDUP,
     "op3_line_dedup": LINE_DEDUP,
     "op9_mix_sources": MIX_SOURCES,
+    "op12_merkle_manifest": MERKLE_MANIFEST,
     "op13_periodic_runs": PERIODIC_RUNS,
 }
