@@ -208,8 +208,7 @@ def grown(nodes: DataFrame, name: str) -> Tree:
         return tables.written(arrays.withColumn("node", F.sha2(joined, 256)), name)
 
     levels = [paired(nodes)]
-    most = levels[0].agg(F.max("total")).scalar()
-    size = levels[0].sparkSession.range(1).select(most).first()[0] or 0
+    size = levels[0].agg(F.max("total")).first()[0] or 0
     while size > FAN:
         size = -(-size // FAN)
         below = levels[-1].where(F.col("total") > FAN)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import string
 from collections.abc import Callable
 
@@ -10,6 +11,7 @@ from corpus_pipeline import tokenizer
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trackside.llm import (
+    attention,
     decision_list,
     embedding_dedup,
     frames,
@@ -162,6 +164,22 @@ def mix_sources(spark, folder):
     )
 
 
+def lm_scores(spark, folder, path: str | None = None):
+    """Each document's log probability under the attention model and under word counts."""
+    out = frames.held_out("doc_id", 7, 2)
+    found = attention.scores(_read(spark, folder, "documents"), ~out, path or byte_tokenizer())
+    return found.select(
+        "doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
+def byte_tokenizer() -> str:
+    """The file of ranks: BYTE_BPE_RANKS, or that of the public tokenizers."""
+    import public_tokenizers
+
+    return os.environ.get("BYTE_BPE_RANKS") or public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
@@ -209,6 +227,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": sentencepiece,
     "op9_mix_sources": mix_sources,
     "op10_language_id": language_id,
+    "op11_lm_scores": lm_scores,
     "op12_merkle_manifest": merkle_manifest,
     "op13_periodic_runs": periodic_runs,
     "pipeline": corpus_pipeline.run,
