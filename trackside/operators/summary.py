@@ -69,6 +69,40 @@ def _from_slices(slices: DataFrame, keys: Sequence[str], measures, mode: Measure
     )
 
 
+def partial_summary(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
+    """What `finished_summary` needs to know of some rows: per key, and per value where
+    a mode is among the measures (its counts), the partial aggregates."""
+    mode = _single_mode(measures)
+    if mode:
+        return _wide(_slices(df, keys, measures, mode), measures)
+    return _wide(df.groupBy(*keys).agg(*(p for m in measures for p in m.partials())), measures)
+
+
+def combined_summary(partials: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
+    """Several results of `partial_summary` (a union of them) as one, of the same types."""
+    mode = _single_mode(measures)
+    parts = [c for m in measures if m is not mode for c in m.combined()]
+    if mode:
+        return _wide(partials.groupBy(*keys, "_value").agg(F.sum("_n").alias("_n"), *parts), measures)
+    return _wide(partials.groupBy(*keys).agg(*parts), measures)
+
+
+def _wide(partials: DataFrame, measures: Sequence[Measure]) -> DataFrame:
+    """Decimal sums with all digits there are, however often they were added up."""
+    sums = {f"{m.name}__sum": m.scale for m in measures if m.scale is not None}
+    return partials.withColumns(
+        {c: F.col(c).cast(f"decimal(38,{scale})") for c, scale in sums.items() if c in partials.columns}
+    )
+
+
+def finished_summary(partials: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
+    """`group_summary` of all rows, out of `combined_summary`."""
+    mode = _single_mode(measures)
+    if mode:
+        return _from_slices(partials, keys, measures, mode)
+    return partials.groupBy(*keys).agg(*(m.merged() for m in measures))
+
+
 def window_summary(
     df: DataFrame,
     keys: Sequence[str],
@@ -94,6 +128,40 @@ def window_summary(
     return row_window_summary(df, keys, ts, size, measures, slide)
 
 
+def live_pane_summary(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    size: str,
+    measures: Sequence[Measure],
+    slide: str,
+) -> DataFrame:
+    """`window_summary` with sliding windows on a stream, by panes; append mode.
+
+    Two aggregations with state follow each other: a row enters the one pane that
+    holds it, and when the watermark (over `ts`) closes a pane, the pane enters its
+    windows by its own time. So state has a row per pane and per window of panes,
+    and a row of the input is aggregated once instead of ``size / slide`` times. A
+    window comes out once, when it is closed. Measures must be mergeable.
+    """
+    lengths = _seconds(size), _seconds(slide)
+    if not all(lengths) or lengths[0] < lengths[1]:
+        raise ValueError("size and slide are whole seconds, minutes, hours or days, size >= slide")
+    pane = F.window(ts, f"{math.gcd(*lengths)} seconds").alias("_pane")
+    panes = df.groupBy(*keys, pane).agg(*(p for m in measures for p in m.partials()))
+    window = F.window(F.window_time("_pane"), size, slide).alias("window")
+    return (
+        panes.groupBy(*keys, window)
+        .agg(*(m.merged() for m in measures))
+        .select(
+            *keys,
+            F.col("window.start").alias("window_start"),
+            F.col("window.end").alias("window_end"),
+            *(m.name for m in measures),
+        )
+    )
+
+
 def _seconds(length: str) -> int | None:
     match = re.fullmatch(r"(\d+) (second|minute|hour|day)s?", length.strip())
     return match and int(match[1]) * SECONDS_IN[match[2]]

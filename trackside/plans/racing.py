@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trackside import schemas
 from trackside.functions import skew
@@ -18,6 +18,7 @@ from trackside.functions.timing import duration_seconds, with_event_time
 from trackside.operators.joins import asof_join, interval_join
 from trackside.operators.nesting import nest_records
 from trackside.operators.rows import (
+    closing_gate,
     display_names,
     entity_filter,
     quick_filter,
@@ -25,9 +26,18 @@ from trackside.operators.rows import (
     row_index,
     typed_projection,
 )
-from trackside.operators.summary import group_summary, window_summary
+from trackside.operators.summary import (
+    combined_summary,
+    finished_summary,
+    group_summary,
+    live_pane_summary,
+    partial_summary,
+    window_summary,
+)
 from trackside.sources.tables import written
+from trackside.sources import ordered
 from trackside.sources.topics import TOPICS, end_topics, publish_topic, write_topic
+from trackside.streaming.commits import MergedRuns
 
 # Averages add decimals: the same in every run, for stored tables and live.
 CAR_MEASURES = (
@@ -115,6 +125,34 @@ def live_car_summary(
     return car_summary(with_event_time(car, "Timestamp", delay), measures)
 
 
+def merged_car_summary(
+    folder: str, measures: Sequence[Measure] = CAR_MEASURES, fan: int = 4
+) -> MergedRuns:
+    """A table under `folder` of the car summary per lap, kept up by batches.
+
+    Its `write` takes the micro-batches of a stream of car points without state (append
+    mode): each is reduced to sums, counts and counts per gear, and these are merged.
+    So a late point still counts, no state grows in the stream, and nothing is
+    rewritten whole. `finished_car_summary` reads it.
+    """
+    return MergedRuns(
+        folder,
+        ["LapNumber"],
+        lambda batch: partial_summary(batch, ["LapNumber"], measures),
+        lambda runs: combined_summary(runs, ["LapNumber"], measures),
+        fan,
+    )
+
+
+def finished_car_summary(
+    spark: SparkSession, merged: MergedRuns, measures: Sequence[Measure] = CAR_MEASURES
+) -> DataFrame:
+    """`car_summary` of all points that `merged` has been given."""
+    empty = spark.createDataFrame([], schemas.CAR)
+    partials = merged.read(spark, partial_summary(empty, ["LapNumber"], measures).schema)
+    return finished_summary(partials, ["LapNumber"], measures)
+
+
 def live_car_windows(
     car: DataFrame,
     size: str = "5 minutes",
@@ -151,6 +189,35 @@ def live_weather_windows(
     return window_summary(timed, ["Race"], "Timestamp", size, measures, slide)
 
 
+def live_stint_panes(
+    messages: DataFrame,
+    size: str = "65 seconds",
+    slide: str = "10 seconds",
+    delay: str = "0 seconds",
+    measures: Sequence[Measure] = LAP_MEASURES,
+) -> DataFrame:
+    """Lap times per stint in sliding windows by panes, for append mode, out of lap
+    messages with their `sent_at`. The message that ends the topic closes them all."""
+    return _live_panes(messages, schemas.LAP, "LapTime", STINT, size, slide, delay, measures)
+
+
+def live_weather_panes(
+    messages: DataFrame,
+    size: str = "50 seconds",
+    slide: str = "10 seconds",
+    delay: str = "0 seconds",
+    measures: Sequence[Measure] = WEATHER_MEASURES,
+) -> DataFrame:
+    """Weather per race in sliding windows by panes, as `live_stint_panes`."""
+    return _live_panes(messages, schemas.WEATHER, "LapNumber", ["Race"], size, slide, delay, measures)
+
+
+def _live_panes(messages, ddl, field, keys, size, slide, delay, measures) -> DataFrame:
+    timed = with_event_time(messages, "sent_at", delay)
+    parsed = closing_gate(json_parse(timed, ddl, keep=["sent_at"]), "sent_at", field)
+    return live_pane_summary(parsed, keys, "sent_at", size, measures, slide)
+
+
 def lap_time_titles(df: DataFrame) -> DataFrame:
     """Lap-time columns under the names shown to people."""
     return display_names(df, LAP_TITLES)
@@ -340,11 +407,20 @@ def send_messages(
 ) -> None:
     """Send what `session_messages` made, then each topic's sentinels.
 
-    `partitions` is the number of partitions of every topic, or of each.
+    `partitions` is the number of partitions of every topic, or of each. To a broker
+    a key's messages go in order of time; in a `folder` all messages of a topic do,
+    whichever task wrote them (`ordered.source` reads them).
     """
-    for messages in sent.values():
-        write_topic(messages, servers, folder)
     count = dict.fromkeys(sent, partitions) if isinstance(partitions, int) else partitions
     some = next(iter(sent.values()), None)
-    if some is not None:
-        end_topics(some.sparkSession, {t: count[t] for t in sent}, servers, folder)
+    if some is None:
+        return
+    for messages in sent.values():
+        if folder is not None and servers is None:
+            ordered.send(messages, folder, count)
+        else:
+            write_topic(messages, servers, folder)
+    if folder is not None:
+        ordered.end(some.sparkSession, folder, {t: count[t] for t in sent})
+    else:
+        end_topics(some.sparkSession, {t: count[t] for t in sent}, servers)

@@ -285,4 +285,28 @@ SELECT event_type, ws AS window_start, ws + INTERVAL '1 hour' AS window_end,
        count(value) AS n, max(value) AS max_value
 FROM hourly WHERE ts >= middle OR ws + INTERVAL '1 hour' > last
 GROUP BY event_type, ws""",
+    "ordered_topic": """
+SELECT user_id, count(*) AS n, 1::BIGINT AS partitions, 0::BIGINT AS swapped, 0::BIGINT AS gaps
+FROM events GROUP BY user_id""",
+    "stream_pane_window": """
+WITH listed AS (
+  SELECT event_type, value::REAL AS lap_time, ts,
+         CASE WHEN value > 20 THEN 'SOFT' ELSE 'HARD' END AS compound,
+         time_bucket(INTERVAL '10 seconds', ts, TIMESTAMP '1970-01-01')
+           - to_seconds(10 * k) AS ws
+  FROM events, range(7) AS r(k))
+SELECT event_type AS "Driver", 1 AS "Stint", compound AS "Compound",
+       ws AS window_start, ws + INTERVAL '65 seconds' AS window_end,
+       sum(lap_time::DECIMAL(18,6))::DOUBLE / count(lap_time) AS average_lap_time,
+       min(lap_time) AS best_lap_time, max(lap_time) AS max_lap_time
+FROM listed WHERE ts < ws + INTERVAL '65 seconds'
+GROUP BY event_type, compound, ws""",
+    "merged_car_summary": """
+WITH points AS (
+  SELECT user_id AS lap, value::REAL AS speed, (props->>'k')::INTEGER AS k
+  FROM events),"""
+    + _car_summary("points"),
+    "compacted_versions": """
+SELECT user_id, event_id, ts, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
 }

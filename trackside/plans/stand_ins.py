@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from trackside import schemas
 from trackside.functions import timing
@@ -24,8 +24,9 @@ from trackside.functions.measures import (
 from trackside.functions.parsing import is_sentinel, json_parse, nested_parse
 from trackside.operators import joins, nesting, rows, summary
 from trackside.plans import racing
-from trackside.sources import tables, topics
+from trackside.sources import ordered, tables, topics
 from trackside.streaming import run, store
+from trackside.streaming.commits import Versions
 
 MICROS = timing.TEXT_FORMAT + ".SSSSSS"
 EVENTS = (
@@ -460,39 +461,31 @@ def race_car(spark, folder):
     return racing.car_summary(racing.car_records(_race_messages(spark, folder, "car")))
 
 
-def _stored(spark, folder) -> str:
-    """The folder of the three tables that nested messages in files were streamed
-    into, a few files to a batch."""
+def _stored(spark, folder) -> store.CommittedTables:
+    """The three tables that nested messages in files were streamed into, a few slices
+    to a batch."""
     base = tables.scratch_folder(spark, "store")
     sent = {"dbstore": _race_messages(spark, folder, "dbstore")}
-    racing.send_messages(sent, folder=f"{base}/topics")
-    live = topics.topic_source(
-        spark, "dbstore", folder=f"{base}/topics", options={"maxFilesPerTrigger": "4"}
-    )
-    # a message in a file has no offset; its content stands for its identity
-    live = live.withColumn("message", F.xxhash64("value"))
-    run.run_stream(
-        racing.nested_records(live, ["message"]),
-        store.store_split(store.parquet_tables(f"{base}/tables"), ["message"]),
-        "append",
-        f"{base}/checkpoint",
-        {"availableNow": True},
-        timeout=WAIT,
+    racing.send_messages(sent, folder=f"{base}/topics", partitions=4)
+    live = ordered.source(spark, "dbstore", f"{base}/topics", per_batch=4)
+    stored = store.CommittedTables(f"{base}/tables")
+    run.run_through(
+        racing.nested_records(live, stored.ids), stored.write, "append", f"{base}/checkpoint"
     )
-    return f"{base}/tables"
+    return stored
 
 
 def race_store(spark, folder):
     """The stored car table, summed up per lap."""
-    return racing.car_summary(spark.read.parquet(f"{_stored(spark, folder)}/car"))
+    return racing.car_summary(_stored(spark, folder).read(spark, "car"))
 
 
 def race_store_laps(spark, folder):
-    """The stored lap table with the weather table beside it."""
+    """The stored lap table with the weather of the same message beside it."""
     stored = _stored(spark, folder)
-    lap, weather = (spark.read.parquet(f"{stored}/{t}") for t in ("lap", "weather"))
-    sky = weather.select("batch_id", "message", "AirTemp", "Humidity", "Race")
-    return lap.join(sky, ["batch_id", "message"]).select(
+    lap, weather = (stored.read(spark, t) for t in ("lap", "weather"))
+    sky = weather.select(*stored.ids, "AirTemp", "Humidity", "Race")
+    return lap.join(sky, stored.ids).select(
         "Driver", "LapNumber", "LapTime", "AirTemp", "Humidity", "Race"
     )
 
@@ -539,71 +532,149 @@ def _weather_messages(events: DataFrame) -> DataFrame:
     return topics.publish_topic(samples, "weather", time="Timestamp")
 
 
-def _live(
+def _replayed(
     messages: DataFrame,
     topic: str,
     analysis: Callable[[DataFrame], DataFrame],
     mode: str,
     writer: Callable[[str], run.BatchWriter],
+    close: bool = False,
 ) -> tuple[str, DataFrame]:
-    """Send messages in order of time, a file to a micro-batch, and run `analysis`
-    over them to the end, with a restart half-way. Where `writer` has put the
-    result, and the stream's frame."""
+    """Send messages in order, a slice to a micro-batch, and run `analysis` over them to
+    the end: over the older half first, then, restarted, over the rest. The folder
+    that `writer` has put the result in, and the stream's frame."""
     spark = messages.sparkSession
     base = tables.scratch_folder(spark, topic)
-    n = max(SLICES, -(-messages.count() // SLICE_ROWS))
-    slices = topics.time_slices(messages, n)
-    half = len(slices) // 2
-    for part in (slices[:half], slices[half:]):
-        for one in part:
-            sent = one.select("topic", "value").coalesce(1)
-            topics.write_topic(sent, folder=f"{base}/topics")
-        if not part:
-            continue
-        source = topics.topic_source(
-            spark, topic, folder=f"{base}/topics", options={"maxFilesPerTrigger": "1"}
-        )
-        live = analysis(source)
-        run.run_stream(
-            live, writer(f"{base}/out"), mode, f"{base}/checkpoint",
-            {"availableNow": True}, timeout=WAIT,
-        )
+    first, last, n = messages.agg(F.min("sent_at"), F.max("sent_at"), F.count("*")).first()
+    live = analysis(ordered.source(spark, topic, f"{base}/topics"))
+    write = writer(f"{base}/out")
+    if n:
+        older = F.col("sent_at") <= F.lit(first + (last - first) / 2)
+        slices = max(SLICES // 2, -(-n // SLICE_ROWS))
+        for part in (older, ~older):
+            ordered.send(messages.where(part), f"{base}/topics", partitions=4, slices=slices)
+            if close and part is not older:
+                ordered.end(spark, f"{base}/topics", {topic: 4})
+            run.run_through(live, write, mode, f"{base}/checkpoint")
     return f"{base}/out", live
 
 
 def live_car(spark, folder):
-    path, live = _live(
+    path, live = _replayed(
         _car_messages(_read(spark, folder, "events")),
         "car",
         lambda sent: racing.live_car_summary(racing.car_records(sent)),
         "complete",
         run.table_writer,
     )
-    return spark.read.schema(live.schema).parquet(path)
+    return run.read_table(spark, path, live.schema)
+
+
+def merged_car(spark, folder):
+    """The car summary without state: each batch's partials, merged by key."""
+    path, _ = _replayed(
+        _car_messages(_read(spark, folder, "events")),
+        "car",
+        racing.car_records,
+        "append",
+        lambda path: racing.merged_car_summary(path).write,
+    )
+    return racing.finished_car_summary(spark, racing.merged_car_summary(path))
+
+
+def _live_windows(messages: DataFrame, topic: str, analysis, keys) -> DataFrame:
+    """Windows in update mode; the versions of each are merged as batches go by."""
+    path, live = _replayed(
+        messages, topic, analysis, "update", lambda path: Versions(path, [*keys, *BOUNDS]).write
+    )
+    latest = Versions(path, [*keys, *BOUNDS]).latest(messages.sparkSession, live.schema)
+    return _no_zone(latest)
 
 
 def live_stint(spark, folder):
-    path, live = _live(
+    return _live_windows(
         _lap_messages(_read(spark, folder, "events")),
         "lap",
         lambda sent: racing.live_stint_windows(racing.lap_records(sent)),
-        "update",
-        run.versions_writer,
+        racing.STINT,
     )
-    versions = run.read_versions(spark, path, live.schema)
-    return _no_zone(run.latest_by_key(versions, [*racing.STINT, *BOUNDS]))
 
 
 def live_weather(spark, folder):
-    path, live = _live(
+    return _live_windows(
         _weather_messages(_read(spark, folder, "events")),
         "weather",
         lambda sent: racing.live_weather_windows(racing.weather_records(sent)),
-        "update",
+        ["Race"],
+    )
+
+
+def live_panes(spark, folder):
+    """Sliding windows in append mode: rows enter panes, panes enter windows."""
+    path, live = _replayed(
+        _lap_messages(_read(spark, folder, "events")),
+        "lap",
+        racing.live_stint_panes,
+        "append",
         run.versions_writer,
+        close=True,
+    )
+    return _no_zone(run.read_versions(spark, path, live.schema).drop(run.BATCH))
+
+
+def compacted(spark, folder):
+    """The last reading of each user, of versions that come in many batches."""
+    events = _read(spark, folder, "events").select(
+        F.col("ts").cast("timestamp").alias("sent_at"), "user_id", "event_id", "ts", "value"
+    )
+    messages = topics.publish_topic(events, "events", EVENT_FIELDS, time_format=MICROS, time="sent_at")
+
+    def latest_of(batch: DataFrame) -> DataFrame:
+        parsed = json_parse(batch, EVENTS)
+        row = F.max_by(F.struct("event_id", "ts", "value"), F.struct("ts", "event_id"))
+        return parsed.groupBy("user_id").agg(row.alias("row")).select("user_id", "row.*")
+
+    def writer(path: str) -> run.BatchWriter:
+        versions = Versions(path, ["user_id"], fan=3)
+        return lambda batch, batch_id: versions.write(latest_of(batch), batch_id)
+
+    path, _ = _replayed(messages, "events", lambda sent: sent.select("value"), "append", writer)
+    schema = T.StructType.fromDDL("user_id bigint, event_id bigint, ts timestamp_ntz, value double")
+    return Versions(path, ["user_id"], fan=3).latest(spark, schema)
+
+
+EVENT_FIELDS = ("user_id", "event_id", "ts", "value")
+
+
+def in_order(spark, folder):
+    """Messages as a stream in the order sent: what a batch held is no later than what
+    came after it, and offsets run on without gaps."""
+    events = _read(spark, folder, "events")
+    timed = events.withColumn("sent_at", F.col("ts").cast("timestamp"))
+    messages = topics.publish_topic(
+        timed, "events", ["event_id", "user_id"], key="user_id", time="sent_at"
+    )
+
+    def writer(path: str) -> run.BatchWriter:
+        def write(batch: DataFrame, batch_id: int) -> None:
+            parsed = json_parse(batch, "event_id bigint, user_id bigint", keep=["partition", "offset", "sent_at"])
+            parsed.write.mode("overwrite").parquet(f"{path}/{run.BATCH}={batch_id}")
+
+        return write
+
+    path, _ = _replayed(messages, "events", lambda sent: sent, "append", writer)
+    read = spark.read.parquet(path)
+    gaps = read.groupBy("partition").agg((F.max("offset") + 1 - F.count("*")).alias("gaps"))
+    batches = read.groupBy(run.BATCH).agg(F.min("sent_at").alias("first"), F.max("sent_at").alias("last"))
+    # a row per batch, so one task sees them all
+    before = F.lag("last").over(Window.partitionBy(F.lit(0)).orderBy(run.BATCH))
+    swapped = batches.withColumn("before", before).where("first < before").agg(F.count("*").alias("n"))
+    return (
+        read.groupBy("user_id")
+        .agg(F.count("*").alias("n"), F.countDistinct("partition").alias("partitions"))
+        .withColumn("swapped", swapped.scalar())
+        .withColumn("gaps", gaps.agg(F.sum("gaps").alias("gaps")).scalar())
     )
-    versions = run.read_versions(spark, path, live.schema)
-    return _no_zone(run.latest_by_key(versions, ["Race", *BOUNDS]))
 
 
 def until_sentinel(spark, folder):
@@ -704,4 +775,8 @@ QUERIES: dict[str, Query] = {
     "stream_stint_window": live_stint,
     "stream_weather_window": live_weather,
     "late_rows": late,
+    "ordered_topic": in_order,
+    "stream_pane_window": live_panes,
+    "merged_car_summary": merged_car,
+    "compacted_versions": compacted,
 }

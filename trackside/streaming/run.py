@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from trackside.functions.parsing import is_sentinel
+from trackside.streaming.commits import BATCH, CurrentTable
 
-BATCH = "batch_id"
 TRANSIENT_SINKS = ("console", "memory", "noop")
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -57,6 +57,22 @@ def run_stream(
     return query
 
 
+def run_through(
+    df: DataFrame, sink: str | BatchWriter, mode: str, checkpoint: str, **options
+) -> StreamingQuery:
+    """Run a query over all that its sources have by now, batch after batch, and stop it.
+
+    For sources that say themselves how much a batch takes, as `ordered.source` does.
+    A failure of the query is raised.
+    """
+    query = run_stream(df, sink, mode, checkpoint, {"processingTime": "0 seconds"}, **options)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return query
+
+
 def versions_writer(path: str) -> BatchWriter:
     """Write each micro-batch under its number as a Parquet partition of `path`.
 
@@ -72,13 +88,14 @@ def versions_writer(path: str) -> BatchWriter:
 
 
 def table_writer(path: str) -> BatchWriter:
-    """Write each micro-batch in place of the one before: for complete mode, whose
-    batches hold the whole table."""
+    """Write each micro-batch in place of the one before, as `CurrentTable` does: for
+    complete mode, whose batches hold the whole table. `read_table` reads it."""
+    return CurrentTable(path).write
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
 
-    return write
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What `table_writer` has put under `path` last."""
+    return CurrentTable(path).read(spark, schema)
 
 
 def read_versions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from trackside import schemas
 from trackside.operators.nesting import explode_records, unpack_parents
 from trackside.sources import jdbc
 from trackside.sources.tables import written
+from trackside.streaming.commits import CommitLog, Files, read_files
 
 TABLES = {"lap": schemas.LAP, "weather": schemas.WEATHER, "car": schemas.CAR}
 POSITION = "position"
+ID_KINDS = {"partition": "int", "offset": "bigint"}
 
 Append = Callable[[DataFrame, str, int, Sequence[str]], None]
 
@@ -63,6 +66,43 @@ def parquet_tables(folder: str) -> Append:
     return append
 
 
+class CommittedTables:
+    """The three tables in Parquet, each batch visible in all of them or in none.
+
+    The files of a batch are written under names of their own; the log entry that
+    names them is written when all three are there. A batch that fails before that
+    leaves nothing to see, and one that runs again takes the place of its first run.
+    """
+
+    def __init__(self, folder: str, id_columns: Sequence[str] = ("partition", "offset")):
+        self.log, self.ids = CommitLog(folder), list(id_columns)
+
+    def write(self, nested: DataFrame, batch_id: int) -> None:
+        """Store a micro-batch of nested records."""
+        spark = nested.sparkSession
+        parsed = written(nested, "store-batch")
+        new = []
+        for table, rows in split_nested(parsed, self.ids).items():
+            path = f"{self.log.folder}/{table}/{uuid.uuid4().hex}"
+            self.append(rows, path)
+            new.append(Files(table, path, 0, batch_id, batch_id))
+        # what later batches of an earlier, lost run have added is not kept
+        before = [f for f in self.log.state(spark, before=batch_id)]
+        self.log.commit(spark, batch_id, [*before, *new])
+        self.log.prune(spark)
+
+    def append(self, rows: DataFrame, path: str) -> None:
+        rows.write.parquet(path)
+
+    def read(self, spark: SparkSession, table: str) -> DataFrame:
+        """A table as of the last committed batch, with the message ids of its rows."""
+        kinds = {"car": "position int"}.get(table, "")
+        ids = ", ".join(f"{c} {ID_KINDS[c]}" for c in self.ids)
+        ddl = ", ".join(x for x in (ids, kinds, TABLES[table]) if x)
+        files = [f for f in self.log.state(spark) if f.name == table]
+        return read_files(spark, T.StructType.fromDDL(ddl), files)
+
+
 def jdbc_tables(db: jdbc.Database) -> Append:
     """Store in JDBC tables, made on first use.
 
