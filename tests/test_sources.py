@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from trackside import schemas
 from trackside.functions import parsing, skew
 from trackside.plans import racing
-from trackside.sources import jdbc, tables, topics
+from trackside.sources import jdbc, ordered, tables, topics
 
 
 def test_mysql_options():
@@ -229,7 +229,7 @@ def test_messages_carry_key_and_time(spark, tmp_path):
         assert messages.where(parsing.is_sentinel()).count() == 0
     racing.send_messages(sent, folder=str(tmp_path))
     for topic in sent:
-        back = topics.topic_source(spark, topic, folder=str(tmp_path), stream=False)
+        back = ordered.source(spark, topic, str(tmp_path), stream=False)
         assert back.count() == sent[topic].count() + 1
         assert back.where(parsing.is_sentinel()).count() == 1
 

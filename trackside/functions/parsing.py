@@ -83,3 +83,45 @@ def is_sentinel(value: str | Column = "value") -> Column:
     text = (F.col(value) if isinstance(value, str) else value).cast("string")
     has_key = F.array_contains(F.json_object_keys(text), "end")
     return F.coalesce(text.contains('"end"') & has_key, F.lit(False))
+
+
+#: Why a message is rejected.
+REASONS = ("sentinel", "not JSON", "not an object", "missing field", "wrong type")
+
+
+def rejects_by_reason(
+    messages: DataFrame,
+    schema: str,
+    required: Sequence[str],
+    value: str = "value",
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """The messages that lack a `required` field once parsed as `json_parse` does, with
+    `reason` (one of `REASONS`) and the `field` that is to blame, the first of several.
+
+    A field that is NULL in the message is a missing one; one with a value that does
+    not fit its type, out of range included, is of the wrong type. Columns `keep` stay
+    in front. Batch or stream; together with the rows the gate keeps these are all.
+    """
+    text = F.col(value).cast("string")
+    typed = json_parse(messages.withColumn("_text", text), schema, value, [*dict.fromkeys([*keep, "_text"])], True)
+    whole = F.try_parse_json("_text")
+    reason = (
+        F.when(is_sentinel(F.col("_text")), "sentinel")
+        .when(whole.isNull(), "not JSON")
+        .when(~F.schema_of_variant(whole).startswith("OBJECT"), "not an object")
+    )
+    blamed, why = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for field in reversed(list(required)):
+        given = F.try_variant_get(whole, f"$['{field}']", "variant")
+        absent = given.isNull() | F.is_variant_null(given)
+        blamed = F.when(F.col(field).isNull(), F.lit(field)).otherwise(blamed)
+        why = F.when(
+            F.col(field).isNull(), F.when(absent, "missing field").otherwise("wrong type")
+        ).otherwise(why)
+    lacks = typed.where(blamed.isNotNull())
+    return lacks.select(
+        *keep,
+        F.coalesce(reason, why).alias("reason"),
+        F.when(reason.isNull(), blamed).alias("field"),
+    )

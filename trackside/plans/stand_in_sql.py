@@ -309,4 +309,31 @@ WITH points AS (
     "compacted_versions": """
 SELECT user_id, event_id, ts, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    "stream_nest_records": f"""
+WITH {_LAPS},
+held AS (
+  SELECT l.user_id, l.lap, l.lap_id, e.event_id, e.ts, round(e.value * 100)::BIGINT AS cents
+  FROM laps l LEFT JOIN events e
+    ON e.user_id = l.user_id AND e.ts >= l.lap_start AND e.ts < l.lap_end)
+SELECT user_id, lap, lap_id, greatest(1, (count(event_id) + 19) // 20) AS parts,
+       count(event_id) AS n, sum(cents)::BIGINT AS cents,
+       arg_min(event_id, (ts, event_id)) AS first_event
+FROM held GROUP BY user_id, lap, lap_id""",
+    "stream_batch_rows": """
+SELECT row_number() OVER (ORDER BY ts::DATE) - 1 AS batch_id, count(*) AS input_rows,
+       count(value) AS readings, max(value) AS top
+FROM events GROUP BY ts::DATE""",
+    "bucketed_session": """
+SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS idx
+FROM events""",
+    "rejects_by_reason": """
+SELECT event_id,
+       CASE k WHEN 67 THEN 'sentinel' WHEN 68 THEN 'not JSON' WHEN 64 THEN 'not an object'
+         WHEN 69 THEN 'wrong type' WHEN 63 THEN 'wrong type' ELSE 'missing field' END AS reason,
+       CASE WHEN k IN (64, 67, 68) THEN NULL ELSE 'k' END AS field
+FROM (SELECT event_id, (props->>'k')::INTEGER AS k FROM events) WHERE k BETWEEN 63 AND 69""",
 }
+
+# live forms give what the stored ones give
+SQL["stream_interval_join"] = SQL["interval_join"]
+SQL["stream_asof_join"] = SQL["asof_join"]

@@ -7,7 +7,9 @@ frame; times come out zone-less, so they do not depend on the reader's zone.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -21,11 +23,12 @@ from trackside.functions.measures import (
     mode_of,
     sum_of,
 )
-from trackside.functions.parsing import is_sentinel, json_parse, nested_parse
+from trackside.functions.parsing import is_sentinel, json_parse, nested_parse, rejects_by_reason
 from trackside.operators import joins, nesting, rows, summary
 from trackside.plans import racing
 from trackside.sources import ordered, tables, topics
-from trackside.streaming import run, store
+from trackside.sources.bucketed import write_bucketed
+from trackside.streaming import live, metrics, run, store
 from trackside.streaming.commits import Versions
 
 MICROS = timing.TEXT_FORMAT + ".SSSSSS"
@@ -467,10 +470,10 @@ def _stored(spark, folder) -> store.CommittedTables:
     base = tables.scratch_folder(spark, "store")
     sent = {"dbstore": _race_messages(spark, folder, "dbstore")}
     racing.send_messages(sent, folder=f"{base}/topics", partitions=4)
-    live = ordered.source(spark, "dbstore", f"{base}/topics", per_batch=4)
+    sent = ordered.source(spark, "dbstore", f"{base}/topics", per_batch=4)
     stored = store.CommittedTables(f"{base}/tables")
     run.run_through(
-        racing.nested_records(live, stored.ids), stored.write, "append", f"{base}/checkpoint"
+        racing.nested_records(sent, stored.ids), stored.write, "append", f"{base}/checkpoint"
     )
     return stored
 
@@ -546,7 +549,7 @@ def _replayed(
     spark = messages.sparkSession
     base = tables.scratch_folder(spark, topic)
     first, last, n = messages.agg(F.min("sent_at"), F.max("sent_at"), F.count("*")).first()
-    live = analysis(ordered.source(spark, topic, f"{base}/topics"))
+    stream = analysis(ordered.source(spark, topic, f"{base}/topics"))
     write = writer(f"{base}/out")
     if n:
         older = F.col("sent_at") <= F.lit(first + (last - first) / 2)
@@ -555,19 +558,19 @@ def _replayed(
             ordered.send(messages.where(part), f"{base}/topics", partitions=4, slices=slices)
             if close and part is not older:
                 ordered.end(spark, f"{base}/topics", {topic: 4})
-            run.run_through(live, write, mode, f"{base}/checkpoint")
-    return f"{base}/out", live
+            run.run_through(stream, write, mode, f"{base}/checkpoint")
+    return f"{base}/out", stream
 
 
 def live_car(spark, folder):
-    path, live = _replayed(
+    path, stream = _replayed(
         _car_messages(_read(spark, folder, "events")),
         "car",
         lambda sent: racing.live_car_summary(racing.car_records(sent)),
         "complete",
         run.table_writer,
     )
-    return run.read_table(spark, path, live.schema)
+    return run.read_table(spark, path, stream.schema)
 
 
 def merged_car(spark, folder):
@@ -584,10 +587,10 @@ def merged_car(spark, folder):
 
 def _live_windows(messages: DataFrame, topic: str, analysis, keys) -> DataFrame:
     """Windows in update mode; the versions of each are merged as batches go by."""
-    path, live = _replayed(
+    path, stream = _replayed(
         messages, topic, analysis, "update", lambda path: Versions(path, [*keys, *BOUNDS]).write
     )
-    latest = Versions(path, [*keys, *BOUNDS]).latest(messages.sparkSession, live.schema)
+    latest = Versions(path, [*keys, *BOUNDS]).latest(messages.sparkSession, stream.schema)
     return _no_zone(latest)
 
 
@@ -611,7 +614,7 @@ def live_weather(spark, folder):
 
 def live_panes(spark, folder):
     """Sliding windows in append mode: rows enter panes, panes enter windows."""
-    path, live = _replayed(
+    path, stream = _replayed(
         _lap_messages(_read(spark, folder, "events")),
         "lap",
         racing.live_stint_panes,
@@ -619,7 +622,7 @@ def live_panes(spark, folder):
         run.versions_writer,
         close=True,
     )
-    return _no_zone(run.read_versions(spark, path, live.schema).drop(run.BATCH))
+    return _no_zone(run.read_versions(spark, path, stream.schema).drop(run.BATCH))
 
 
 def compacted(spark, folder):
@@ -677,6 +680,158 @@ def in_order(spark, folder):
     )
 
 
+def _live_topic(spark, base: str, topic: str, ddl: str, required: str) -> DataFrame:
+    """A topic as a stream of records with `sent_at`, its event time; the message that
+    ends the topic moves the watermark and is dropped."""
+    sent = timing.with_event_time(ordered.source(spark, topic, base), "sent_at")
+    return rows.closing_gate(json_parse(sent, ddl, keep=["sent_at"]), "sent_at", required)
+
+
+def _send_all(spark, name: str, topics_of: dict[str, DataFrame]) -> str:
+    """Frames with `sent_at` as topics of one folder, each in many slices, then closed."""
+    base = tables.scratch_folder(spark, name)
+    for topic, df in topics_of.items():
+        body = [c for c in df.columns if c != "sent_at"]
+        messages = topics.publish_topic(df, topic, body, time_format=MICROS, time="sent_at")
+        ordered.send(messages, f"{base}/topics", partitions=2, slices=SLICES)
+    # later than any session or lap lasts
+    ordered.end(spark, f"{base}/topics", dict.fromkeys(topics_of, 2), timedelta(days=400))
+    return base
+
+
+def _longest(laps: DataFrame) -> str:
+    """The longest lap, rounded up, as an interval."""
+    length = F.max(F.unix_micros(F.col("lap_end").cast("timestamp")) - F.unix_micros(F.col("lap_start").cast("timestamp")))
+    return f"{(laps.agg(length).first()[0] or 0) // 1_000_000 + 1} seconds"
+
+
+def live_points_in_laps(spark, folder):
+    """Points joined to laps while both stream in, then summed up per lap."""
+    events = _read(spark, folder, "events")
+    laps = tables.written(_laps(events), "laps")
+    time = lambda c: F.col(c).cast("timestamp").alias("sent_at")
+    base = _send_all(
+        spark,
+        "joined",
+        {
+            "points": events.select(time("ts"), "event_id", "user_id", "value"),
+            "laps": laps.select(time("lap_start"), "user_id", "lap_id", "lap", "lap_end"),
+        },
+    )
+    points = _live_topic(spark, f"{base}/topics", "points", "event_id bigint, user_id bigint, value double", "event_id")
+    spans = _live_topic(
+        spark, f"{base}/topics", "laps", "user_id bigint, lap_id bigint, lap bigint, lap_end timestamp", "lap_id"
+    ).withColumnRenamed("sent_at", "lap_start")
+    joined = live.live_interval_join(
+        points, spans, ["user_id"], "sent_at", "lap_start", "lap_end", _longest(laps)
+    )
+    run.run_through(joined, run.versions_writer(f"{base}/out"), "append", f"{base}/checkpoint")
+    held = run.read_versions(spark, f"{base}/out", joined.schema)
+    measures = [count_of("event_id", "points"), sum_of("value", scale=2)]
+    return summary.group_summary(held, ["lap_id", "user_id", "lap"], measures)
+
+
+def live_last_view(spark, folder):
+    """The last view before each error while both stream in."""
+    events = _read(spark, folder, "events")
+    of = lambda kind, name: rows.entity_filter(events, "event_type", kind).select(
+        F.col("ts").cast("timestamp").alias("sent_at"), "user_id",
+        F.col("event_id").alias(f"{name}_id"), F.col("value").alias(f"{name}_value"),
+    )
+    base = _send_all(spark, "latest", {"errors": of("error", "error"), "views": of("view", "view")})
+    found = live.live_asof_join(
+        _unclosed(spark, f"{base}/topics", "errors", "user_id bigint, error_id bigint, error_value double"),
+        _unclosed(spark, f"{base}/topics", "views", "user_id bigint, view_id bigint, view_value double"),
+        ["user_id"], "sent_at", "sent_at", seq="view_id",
+    )
+    with run.setting(spark, live.STATE_STORE, live.ROCKSDB):
+        run.run_through(found, run.versions_writer(f"{base}/out"), "append", f"{base}/checkpoint")
+    out = run.read_versions(spark, f"{base}/out", found.schema).where("error_id is not null")
+    return out.select("error_id", "user_id", "match.view_id", "match.view_value")
+
+
+def _unclosed(spark, base: str, topic: str, ddl: str) -> DataFrame:
+    """A topic's records without an event time of their own, the closing one included."""
+    return json_parse(ordered.source(spark, topic, base), ddl, keep=["sent_at"])
+
+
+NEST_PART = 20
+
+
+def live_nested(spark, folder):
+    """Laps with their points nested while they stream in, a few points to a record."""
+    events = _read(spark, folder, "events")
+    laps = tables.written(_laps(events), "laps")
+    points = events.select("event_id", "user_id", "ts", "value")
+    held = joins.interval_join(points, laps, ["user_id"], "ts", "lap_start", "lap_end")
+    time = lambda c: F.col(c).cast("timestamp").alias("sent_at")
+    every = laps.select(time("lap_start"), "user_id", "lap", "lap_id").unionByName(
+        held.select(time("ts"), "user_id", "lap", "event_id", "value"), allowMissingColumns=True
+    )
+    base = _send_all(spark, "nested", {"race": every})
+    ddl = "user_id bigint, lap bigint, lap_id bigint, event_id bigint, value double"
+    nested = live.live_nest(
+        _live_topic(spark, f"{base}/topics", "race", ddl, "lap"),
+        ["user_id", "lap"], "sent_at", _longest(laps), ["sent_at", "event_id"], "items",
+        ["event_id", "value"], "head", ["lap_id"], F.col("lap_id").isNotNull(), NEST_PART,
+    )
+    run.run_through(nested, run.versions_writer(f"{base}/out"), "append", f"{base}/checkpoint")
+    records = run.read_versions(spark, f"{base}/out", nested.schema)
+    cents = lambda i: F.round(i["value"] * 100).cast("bigint")
+    return records.groupBy("user_id", "lap", "head.lap_id").agg(
+        F.count("*").alias("parts"),
+        F.sum(F.size("items")).alias("n"),
+        F.sum(F.aggregate("items", F.lit(0).cast("bigint"), lambda t, i: t + cents(i))).alias("cents"),
+        F.max(F.when(F.col("part") == 0, F.try_element_at("items", F.lit(1))["event_id"])).alias("first_event"),
+    )
+
+
+def batch_rows(spark, folder):
+    """Rows and readings of every batch of a stream, from the table of its progress; a
+    day of `events` is a batch."""
+    events = _read(spark, folder, "events")
+    base = tables.scratch_folder(spark, "progress")
+    timed = events.withColumn("sent_at", F.col("ts").cast("timestamp"))
+    messages = topics.publish_topic(timed, "events", ["event_id", "value"], time="sent_at")
+    ordered.send(messages, base, slices=F.unix_date(F.col("sent_at").cast("date")))
+    read = json_parse(ordered.source(spark, "events", base), "event_id bigint, value double")
+    watched = live.observed(read, "seen", {"readings": F.count("value"), "top": F.max("value")})
+    with metrics.ProgressTable(spark, f"{base}/progress") as table:
+        query = run.run_through(watched, "noop", "append", f"{base}/checkpoint")
+        table.wait(query)
+    told = metrics.progress_of(spark, f"{base}/progress").where("input_rows > 0")
+    seen = lambda name: F.col("observed").getItem(f"seen.{name}")
+    return told.select(
+        "batch_id", "input_rows",
+        seen("readings").cast("bigint").alias("readings"), seen("top").cast("double").alias("top"),
+    )
+
+
+def bucketed(spark, folder):
+    """Numbering over a table bucketed and sorted by its key: no shuffle."""
+    events = _read(spark, folder, "events")
+    name = f"session_{uuid.uuid4().hex}"
+    table = write_bucketed(events, name, ["user_id"], ["ts", "event_id"], 8)
+    numbered = rows.row_index(table, ["user_id"], ["ts", "event_id"], hot_rows=None)
+    return numbered.select("event_id", "user_id", "idx")
+
+
+def rejects_explained(spark, folder):
+    """Messages that the gate drops, and why; those of some `k` are spoilt."""
+    events = _read(spark, folder, "events")
+    k = F.get_json_object("props", "$.k").cast("int")
+    value = F.col("props")
+    for at, text in SPOILT.items():
+        value = F.when(k == at, F.lit(text)).otherwise(value)
+    return rejects_by_reason(events.select("event_id", value.alias("value")), "k int", ["k"], keep=["event_id"])
+
+
+SPOILT = {
+    69: '{"k": "none"}', 68: "garbage", 67: topics.SENTINEL, 66: "{}", 65: '{"k": null}',
+    64: "[1]", 63: '{"k": 3000000000}',
+}
+
+
 def until_sentinel(spark, folder):
     """`events` as messages in many files, read in many batches up to the sentinel."""
     base = tables.scratch_folder(spark, "until")
@@ -779,4 +934,10 @@ QUERIES: dict[str, Query] = {
     "stream_pane_window": live_panes,
     "merged_car_summary": merged_car,
     "compacted_versions": compacted,
+    "stream_interval_join": live_points_in_laps,
+    "stream_asof_join": live_last_view,
+    "stream_nest_records": live_nested,
+    "stream_batch_rows": batch_rows,
+    "bucketed_session": bucketed,
+    "rejects_by_reason": rejects_explained,
 }

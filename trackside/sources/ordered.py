@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from trackside.sources.topics import SENTINEL
@@ -53,19 +53,24 @@ def send(
     messages: DataFrame,
     folder: str,
     partitions: Mapping[str, int] | int = 1,
-    slices: int | None = None,
+    slices: int | Column | None = None,
 ) -> None:
     """Append messages (`topic`, `value`, `sent_at`, maybe `key`) to message files.
 
     Messages are cut into `slices` ranges of `sent_at` (about a million each by
-    default); those of one time stay together. Within a topic, messages of a
+    default); those of one time stay together. A column says instead which slice each
+    belongs to: a whole number from 0 on that rises with time. Within a topic, messages of a
     key go to one of its `partitions`, by a hash. Nothing of a send can be read before
     all of it can.
     """
     spark = messages.sparkSession
     if "key" not in messages.columns:
         messages = messages.withColumn("key", F.lit(None).cast("string"))
-    n = slices or max(1, -(-messages.count() // SLICE_ROWS))
+    if isinstance(slices, Column):
+        messages, order = messages.withColumn("slice", slices.cast("int")), ["slice"]
+    else:
+        n = slices or max(1, -(-messages.count() // SLICE_ROWS))
+        messages, order = messages.withColumn("slice", F.lit(None).cast("int")), [n, "sent_at"]
     if isinstance(partitions, Mapping):
         pairs = [F.lit(x) for pair in partitions.items() for x in pair]
         of = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("topic")), F.lit(1))
@@ -74,11 +79,11 @@ def send(
     send_id = uuid.uuid4().hex
     data = f"{folder}/data/{send_id}"
     (
-        messages.select("topic", "key", F.col("sent_at").cast("timestamp").alias("sent_at"), "value")
-        .repartitionByRange(n, "sent_at")
+        messages.select("topic", "key", F.col("sent_at").cast("timestamp").alias("sent_at"), "value", "slice")
+        .repartitionByRange(*order)
         .withColumns(
             {
-                "slice": F.spark_partition_id(),
+                "slice": F.coalesce("slice", F.spark_partition_id()),
                 "partition": F.pmod(F.xxhash64(F.coalesce("key", F.lit(""))), of).cast("int"),
             }
         )
