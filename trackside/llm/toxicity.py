@@ -9,7 +9,7 @@ beginnings of the restored text gives the score.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
 from math import log
 
@@ -24,6 +24,7 @@ SAMPLE = 20_000  # labelled documents to fit on
 FEATURES = 1 << 20  # hashed words and beginnings of words
 PREFIXES = range(3, 9)
 SELECTED = 4096
+REMEMBERED = 1 << 18  # trigrams and tokens that a worker remembers
 SURE_G2 = 30.0  # weaker features are penalised more
 
 #: Letters that a sign may stand for.
@@ -60,11 +61,29 @@ class CharModel:
 
     grams: np.ndarray
     contexts: np.ndarray
+    logs: dict[int, float] = field(default_factory=dict, repr=False, compare=False)
+    counts: dict[int, bool] = field(default_factory=dict, repr=False, compare=False)
 
     def logp(self, two: int, one: int, now: int) -> float:
-        n = self.grams[chars.trigram_hash(two, one, now)]
-        of = self.contexts[chars.trigram_hash(two, one, chars.CONTEXT)]
-        return log((n + 0.05) / (of + 2.0))
+        key = (two << 42) | (one << 21) | now
+        found = self.logs.get(key)
+        if found is None:
+            if len(self.logs) >= REMEMBERED:
+                self.logs.clear()
+            n = self.grams[chars.trigram_hash(two, one, now)]
+            of = self.contexts[chars.trigram_hash(two, one, chars.CONTEXT)]
+            found = self.logs[key] = log((n + 0.05) / (of + 2.0))
+        return found
+
+    def counted(self, two: int, one: int, now: int) -> bool:
+        """Whether the trigram stands in any document."""
+        key = (two << 42) | (one << 21) | now
+        found = self.counts.get(key)
+        if found is None:
+            if len(self.counts) >= REMEMBERED:
+                self.counts.clear()
+            found = self.counts[key] = bool(self.grams[chars.trigram_hash(two, one, now)])
+        return found
 
 
 def character_model(docs: DataFrame, text: str = "text") -> CharModel:
@@ -149,7 +168,7 @@ def _known(text: str, model: CharModel) -> bool:
     for word in _LETTERS.findall(text):
         two = one = chars.SPACE
         for code in [*map(ord, word), chars.SPACE]:
-            if not model.grams[chars.trigram_hash(two, one, code)]:
+            if not model.counted(two, one, code):
                 return False
             two, one = one, code
     return True
@@ -278,11 +297,19 @@ def restore_batch(texts: list, model: CharModel, read) -> list[str]:
     return out
 
 
+_READERS: dict = {}
+
+
 def _reader(model: CharModel):
-    """`restored`, or `checked` if not sure, with a memory of short tokens."""
-    every = lambda token, sure=True: (restored if sure else checked)(token, model)
-    short = lru_cache(1 << 16)(every)
-    return lambda token, sure=True: (short if len(token) <= 64 else every)(token, sure)
+    """`restored`, or `checked` if not sure, with a memory of short tokens. A worker keeps
+    that of the last model from task to task."""
+    key = hash((model.grams.tobytes(), model.contexts.tobytes()))
+    if key not in _READERS:
+        every = lambda token, sure=True: (restored if sure else checked)(token, model)
+        short = lru_cache(REMEMBERED)(every)
+        _READERS.clear()
+        _READERS[key] = lambda token, sure=True: (short if len(token) <= 64 else every)(token, sure)
+    return _READERS[key]
 
 
 # -- the score ------------------------------------------------------------------
@@ -310,13 +337,26 @@ def _features(scan: chars.Scan) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(docs), np.concatenate(out).astype(np.int64)
 
 
-def _pairs(batches, model):
-    """Per batch of (label, text): label, text number and feature, counted."""
-    read = _reader(model)
+def _restoring(model):
+    """Batches of (label, text) with the texts restored."""
+
+    def restore(batches):
+        read = _reader(model)
+        for batch in batches:
+            texts, clear = batch.column(1).to_pylist(), []
+            for i, j in chars.chunks(texts):
+                clear += restore_batch(texts[i:j], model, read)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(clear, pa.string())], ["label", "text"])
+
+    return restore
+
+
+def _pairs(batches):
+    """Per batch of (label, restored text): label, text number and feature, counted."""
     for batch in batches:
         labels, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
         for i, j in chars.chunks(texts):
-            doc, feature = _features(chars.Scan(restore_batch(texts[i:j], model, read)))
+            doc, feature = _features(chars.Scan(texts[i:j]))
             key, n = np.unique(doc * FEATURES + feature, return_counts=True)
             yield labels[i:j], key // FEATURES, key % FEATURES, n
 
@@ -330,29 +370,26 @@ class Scorer:
     bias: float
 
 
-def _frequencies(model):
-    def count(batches):
-        held = np.zeros(2 * FEATURES, dtype=np.int32)
-        for labels, doc, feature, _ in _pairs(batches, model):
-            np.add.at(held, feature + FEATURES * labels[doc], 1)
-        at = np.flatnonzero(held)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(at % FEATURES, pa.int32()),
-                pa.array(np.where(at < FEATURES, held[at], 0), pa.int64()),
-                pa.array(np.where(at < FEATURES, 0, held[at]), pa.int64()),
-            ],
-            ["feature", "clean", "toxic"],
-        )
-
-    return count
+def _frequencies(batches):
+    held = np.zeros(2 * FEATURES, dtype=np.int64)
+    for labels, doc, feature, _ in _pairs(batches):
+        held += np.bincount(feature + FEATURES * labels[doc], minlength=2 * FEATURES)
+    at = np.flatnonzero(held)
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array(at % FEATURES, pa.int32()),
+            pa.array(np.where(at < FEATURES, held[at], 0), pa.int64()),
+            pa.array(np.where(at < FEATURES, 0, held[at]), pa.int64()),
+        ],
+        ["feature", "clean", "toxic"],
+    )
 
 
-def _hits(model, slot):
+def _hits(slot):
     """Per text: label, and the selected features with their counts."""
 
     def hit(batches):
-        for labels, doc, feature, n in _pairs(batches, model):
+        for labels, doc, feature, n in _pairs(batches):
             used = slot[feature] >= 0
             at = np.searchsorted(doc[used], np.arange(len(labels) + 1))
             lists = [
@@ -390,12 +427,13 @@ def fit(
     they are in; those of weak evidence are scaled down, so that the penalty keeps
     them small beside stronger ones. The model weighs log(1 + count). Without labels of both kinds every score is the toxic share.
     """
-    rows = tables.written(
+    texts = (
         frames.texts_of(docs, sample, doc_id, text)
         .where("label in (0, 1)")
-        .withColumn("text", F.coalesce("text", F.lit(""))),
-        "toxic-sample",
+        .withColumn("text", F.coalesce("text", F.lit("")))
     )
+    # restored once for both steps that follow
+    rows = tables.written(texts.mapInArrow(_restoring(model), texts.schema), "toxic-sample")
     n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     n_clean, n_toxic = n.get(0, 0), n.get(1, 0)
     slot = np.full(FEATURES, -1, dtype=np.int32)
@@ -404,7 +442,7 @@ def fit(
         return Scorer(slot, np.zeros(0), log(share / (1 - share)))
     few = rows.coalesce(8)  # a bounded sample: fewer tasks send fewer partial counts
     best = (
-        few.mapInArrow(_frequencies(model), "feature int, clean bigint, toxic bigint")
+        few.mapInArrow(_frequencies, "feature int, clean bigint, toxic bigint")
         .groupBy("feature")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .withColumn("g2", _g2(F.col("clean"), F.col("toxic"), n_clean, n_toxic))
@@ -418,7 +456,7 @@ def fit(
     scale = np.minimum(1.0, g2 / min(SURE_G2, g2.max(initial=SURE_G2 if not len(g2) else 0.0)))
     slot[best] = np.arange(len(best))
     table = few.mapInArrow(
-        _hits(model, slot), "label int, slots array<int>, counts array<int>"
+        _hits(slot), "label int, slots array<int>, counts array<int>"
     ).toArrow()
     return _logistic(table, slot, len(best), scale)
 
