@@ -2,7 +2,7 @@
 
 A document of source s is wanted r(s) times on average. Its number of copies is
 the quantile of a Poisson distribution with that mean at a point drawn from a
-hash of its id, so a rerun or a lost executor gives the same copies.
+hash of its id and text, so a rerun or a lost executor gives the same copies.
 """
 
 from __future__ import annotations
@@ -96,20 +96,37 @@ def mixed(
 
     Copies are spread over the partitions by a hash and sorted by it. With
     `numbered`, columns `copy` (from 0) and `place` (the hash, in whose order the
-    mix is read) follow; they take the place of columns of that name. Rows with
-    the same id get the same count; NULL is an id like any other; empty and NULL
-    texts count by their end; an empty table gives an empty one. The table of
-    rates, a row per source, is written first, and Spark broadcasts it if the
-    written size allows.
+    mix is read) follow; they take the place of columns of that name. Each row draws
+    for itself: rows without an id by their texts, and rows that repeat in id and text by
+    their number in the input as well, so that none of these counts for
+    the others. Empty and NULL texts count by their end; an empty table gives an
+    empty one. The table of rates, a row per source, is written first, and Spark
+    broadcasts it if the written size allows.
     """
     rates = repetition_rates(docs, weights, power, epochs, text, source)
     steps = tables.written(poisson_steps(rates), "mix-steps")
-    rows = frames.packed(docs, doc_id=doc_id, source=source).withColumn(
-        "key", F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    own = F.concat_ws(
+        ":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce(F.md5("text"), F.lit("null"))
+    )
+    repeated = (
+        frames.picked(docs, doc_id=doc_id, text=text)
+        .groupBy(own.alias("again"))
+        .agg(F.count("*").alias("n"))
+        .where("n > 1")
+        .select("again")
+    )
+    # where Spark lists a row is the same in every run of its task
+    rows = frames.packed(docs, doc_id=doc_id, source=source, text=text).select(
+        "_row", "source", own.alias("own"), F.monotonically_increasing_id().alias("nth")
+    )
+    found = (
+        rows.join(repeated, F.col("own") == F.col("again"), "left")
+        .withColumn("key", F.when(F.col("again").isNull(), F.col("own")).otherwise(F.concat_ws(":", "own", "nth")))
+        .join(
+            steps.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")), "left"
+        )
+        .withColumn("point", _point(F.col("key"), seed))
     )
-    found = rows.join(
-        steps.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")), "left"
-    ).withColumn("point", _point(F.col("key"), seed))
     count = F.size(F.filter("steps", lambda upto: upto <= F.col("point")))
     copies = (
         found.withColumn("copies", count)
