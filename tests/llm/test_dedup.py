@@ -154,7 +154,7 @@ def test_sentences_odd(spark, tmp_path):
 
 
 def test_sentences_kept_offsets(spark):
-    out = line_dedup.deduplicated(tables.odd(spark)).collect()
+    out = line_dedup.deduplicated(tables.odd(spark), min_words=5).collect()
     by_id = {}
     for r in tables.ROWS:
         by_id.setdefault((r[0], len(r[1] or "")), r[1])
@@ -201,8 +201,9 @@ def test_passage_within_a_sentence(spark):
 
 
 def test_short_lines_and_paragraphs(spark):
-    """Repeated lines and paragraphs go whole, also those of less than five words;
-    clauses do in what is left. Offsets stay true, and copies lose all their words."""
+    """Repeated lines, and with them paragraphs, go whole, also those of less than five
+    words; clauses do in what is left. Offsets stay true, and copies lose all their
+    words (a line without any stays)."""
     again = "this one comes back in the middle of a sentence"
     copied = "Short, very short. Yes.\nNo; maybe.\n\nLast one here"
     rows = [
@@ -216,11 +217,11 @@ def test_short_lines_and_paragraphs(spark):
         (6, None, "en", "a", 1),
         (7, "one two\none two\n", "en", "a", 1),
     ]
-    out = line_dedup.deduplicated(tables.odd(spark, rows), unit="whole").collect()
+    out = line_dedup.deduplicated(tables.odd(spark, rows), min_words=5).collect()
     got = {r["doc_id"]: r["text"] for r in out}
     assert got[1] == rows[0][1]
     assert got[2] == "own text of two.\n \nbaz, qux\n二つ目も"
-    assert got[3] == copied and got[4] == "" and got[5] == rows[4][1]
+    assert got[3] == copied and got[4] == "\n" and got[5] == rows[4][1]
     assert sorted(r["text"] for r in out if r["doc_id"] is None) == ["", "tiny"]
     assert got[6] is None and got[7] == "one two\n"
     original = dict((r[0], r[1]) for r in rows)

@@ -1,4 +1,4 @@
-"""Units of text, lines down to clauses, that stood elsewhere before, removed.
+"""Units of text, lines and passages inside them, that stood elsewhere before, removed.
 
 A unit is normalised and hashed; over all documents the occurrence that ranks
 first is kept and the others are cut out of their texts. The parts that stay come
@@ -23,10 +23,11 @@ ENDS = {
     "clause": r"\n|[.!?,;:][ \t]",
     "paragraph": r"\n[ \t\r]*\n",
 }
-MIN_WORDS = 5
+MIN_WORDS = 8
 _WORD = re.compile(r"[^\W_]+")
-#: Unit "whole": each of these within those before it.
-LEVELS = [re.compile(x) for x in (ENDS["paragraph"], ENDS["line"], ENDS["clause"] + "|[。！？，；：、]")]
+#: Unit "whole": lines, and clauses within them. (A paragraph that stood before is cut
+#: line by line, as each of its lines did.)
+LEVELS = [re.compile(x) for x in (ENDS["line"], ENDS["clause"] + "|[。！？，；：、]")]
 #: Scripts without blanks between words (Thai to Khmer, kana, Han).
 _UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 _SPANS = "array<struct<start:int,end:int>>"
@@ -46,29 +47,35 @@ def _units(text: str | None, end: re.Pattern, min_words: int):
         start = stop
 
 
-def _nested(text: str | None, min_words: int, level: int = 0, start: int = 0, end: int | None = None, around=None):
-    """Start, end and digest of paragraphs and lines with a word and of clauses with
-    enough. One with the same words as the unit `around` it is not listed again."""
+def _nested(text: str | None, min_words: int):
+    """Start, end and digest of lines with a word, and of their clauses with enough. A
+    clause with the words of its line is not listed again."""
     text = text or ""
-    end = len(text) if end is None else end
-    for stop in [*(m.end() for m in LEVELS[level].finditer(text, start, end)), end]:
+    start = 0
+    for stop in [*(m.end() for m in LEVELS[0].finditer(text)), len(text)]:
         words = _WORD.findall(text[start:stop].lower())
-        if words and words != around:
-            size = len(words)
-            if level == 2 and size < min_words:
-                # a character of an unspaced script counts as a word
-                size = sum(len(_UNSPACED.findall(w)) or 1 for w in words)
-            if level < 2 or size >= min_words:
-                yield start, stop, _digest(words)
-        if words and level < 2:
-            yield from _nested(text, min_words, level + 1, start, stop, words)
+        if words:
+            yield start, stop, _digest(words)
+            if len(words) >= min_words or _UNSPACED.search(text, start, stop):
+                yield from _clauses(text, start, stop, words, min_words)
+        start = stop
+
+
+def _clauses(text: str, start: int, end: int, around: list[str], min_words: int):
+    for stop in [*(m.end() for m in LEVELS[1].finditer(text, start, end)), end]:
+        words = _WORD.findall(text[start:stop].lower())
+        # a character of an unspaced script counts as a word
+        if words != around and (
+            len(words) >= min_words or sum(len(_UNSPACED.findall(w)) or 1 for w in words) >= min_words
+        ):
+            yield start, stop, _digest(words)
         start = stop
 
 
-def units(text: Column, unit: str = "clause", min_words: int = MIN_WORDS) -> Column:
+def units(text: Column, unit: str = "whole", min_words: int = MIN_WORDS) -> Column:
     """The units of a text with at least `min_words` words: start and end in code
     points and the 128-bit digest of their words in lower case. Those of "whole"
-    lie in each other: paragraphs and lines of any length, and clauses."""
+    are lines of any length, with a word, and within them clauses with enough."""
     end = None if unit == "whole" else re.compile(ENDS[unit])
     kind = pa.list_(
         pa.struct([("start", pa.int32()), ("end", pa.int32()), ("digest", pa.binary())])
@@ -120,17 +127,18 @@ def _kept(texts: pa.Array, cuts: pa.Array) -> pa.Array:
 
 def deduplicated(
     docs: DataFrame,
-    unit: str = "clause",
+    unit: str = "whole",
     min_words: int = MIN_WORDS,
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
     """`docs` with repeated units cut from column `text`; `kept` and `cut` follow.
 
-    Both hold spans (start, end) of the original in code points, in order. Units
-    with fewer than `min_words` words always stay, but with the unit "whole" any
-    paragraph or line that stood before goes entire, and what is left of the text
-    loses its repeated clauses. Of equal units the first by
+    Both hold spans (start, end) of the original in code points, in order. With the unit
+    "whole" any line that stood before goes entire, however short, and so paragraphs
+    do; the lines that stay lose clauses of `min_words` words that stood before, so that
+    a passage is found inside a line. Other units have `min_words` words at least
+    (give 1 for any line). Of equal units the first by
     id (NULL last), then by hash of id and text, then by offset stays; of rows
     that repeat as a whole one keeps what ranks first and the others lose all
     such units. A NULL text stays NULL, an empty one empty; an empty table gives

@@ -9,25 +9,46 @@ WITH docs AS (
   FROM documents
 ), pieces AS (
   SELECT row, doc_id, key, body,
-    string_split(regexp_replace(body, '(\n|[.!?,;:][ \t])', '\1' || chr(1), 'g'), chr(1)) AS units
+    string_split(regexp_replace(body, '(\n|[.!?,;:][ \t]|[。！？，；：、])', '\1' || chr(1), 'g'), chr(1)) AS units
   FROM docs
 ), placed AS (
   SELECT row, doc_id, key, unit,
-    sum(length(unit)) OVER (PARTITION BY row ORDER BY i) - length(unit) AS start,
-    sum(length(unit)) OVER (PARTITION BY row ORDER BY i) AS stop,
+    sum(length(unit)) OVER upto - length(unit) AS start, sum(length(unit)) OVER upto AS stop,
+    -- which line: how many line ends there are before
+    sum((unit[-1:] = chr(10))::INT) OVER upto - (unit[-1:] = chr(10))::INT AS line,
     regexp_extract_all(lower(unit), '[\p{L}\p{N}]+') AS words
   FROM (SELECT row, doc_id, key, unnest(units) AS unit, generate_subscripts(units, 1) AS i FROM pieces)
+  WINDOW upto AS (PARTITION BY row ORDER BY i)
+), lines AS (
+  SELECT row, doc_id, key, line, min(start) AS start, max(stop) AS stop, flatten(list(words ORDER BY start)) AS words
+  FROM placed GROUP BY row, doc_id, key, line
+), every AS (
+  SELECT row, doc_id, key, line, start, stop, words, true AS whole FROM lines WHERE len(words) > 0
+  UNION ALL
+  SELECT p.row, p.doc_id, p.key, p.line, p.start, p.stop, p.words, false
+  FROM placed p JOIN lines l USING (row, line)
+  -- a character of an unspaced script counts as a word
+  WHERE p.words <> l.words AND len(p.words) > 0 AND list_sum(list_transform(p.words, lambda w: greatest(1, len(regexp_extract_all(w,
+    '[\x{0e00}-\x{0eff}\x{1000}-\x{109f}\x{1780}-\x{17ff}\x{3040}-\x{30ff}\x{3400}-\x{9fff}\x{f900}-\x{faff}\x{20000}-\x{3ffff}]'))))) >= 8
 ), ranked AS (
   SELECT *, row_number() OVER (
     PARTITION BY list_aggregate(words, 'string_agg', ' ') ORDER BY doc_id NULLS LAST, key, start, row
-  ) AS nth FROM placed WHERE len(words) >= 5
+  ) AS nth FROM every
+), gone_lines AS (
+  SELECT row, line, start, stop FROM ranked WHERE whole AND nth > 1
+), gone AS (
+  SELECT row, start, stop FROM gone_lines
+  UNION ALL
+  SELECT r.row, r.start, r.stop FROM ranked r WHERE NOT r.whole AND r.nth > 1
+    AND NOT EXISTS (SELECT 1 FROM gone_lines g WHERE g.row = r.row AND g.line = r.line)
 ), cuts AS (
   SELECT row, count(*) AS n_cut,
     string_agg(start::BIGINT || ':' || stop::BIGINT, ',' ORDER BY start) AS cut
-  FROM ranked WHERE nth > 1 GROUP BY row
+  FROM gone GROUP BY row
 ), marked AS (
-  SELECT p.*, coalesce(r.nth, 1) > 1 AS gone
-  FROM placed p LEFT JOIN ranked r USING (row, start, stop) WHERE p.stop > p.start
+  SELECT p.row, p.start, p.stop, p.unit, g.row IS NOT NULL AS gone
+  FROM placed p LEFT JOIN gone g ON g.row = p.row AND g.start <= p.start AND g.stop >= p.stop
+  WHERE p.stop > p.start
 ), stretches AS (
   SELECT row, min(start) AS start, max(stop) AS stop, string_agg(unit, '' ORDER BY start) AS part
   FROM (
@@ -59,9 +80,11 @@ WITH mass AS (
 ), listed AS (
   SELECT source, list(upto ORDER BY upto) AS steps FROM steps GROUP BY source
 ), counted AS (
-  SELECT d.*, coalesce(d.doc_id::VARCHAR, 'null') AS key, len(list_filter(l.steps, lambda upto: upto <=
-    ('0x' || md5('mix-1:' || coalesce(d.doc_id::VARCHAR, 'null'))[1:13])::BIGINT / 4503599627370496.0)) AS copies
-  FROM documents d JOIN listed l ON d.source IS NOT DISTINCT FROM l.source
+  SELECT d.*, len(list_filter(l.steps, lambda upto: upto <=
+    ('0x' || md5('mix-1:' || key)[1:13])::BIGINT / 4503599627370496.0)) AS copies
+  FROM (
+    SELECT *, coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(md5(text), 'null') AS key FROM documents
+  ) d JOIN listed l ON d.source IS NOT DISTINCT FROM l.source
 )
 SELECT doc_id, text, lang, source, n_chars, copy, md5('mix-1:' || key || ':' || copy) AS place
 FROM (SELECT *, unnest(range(0, copies)) AS copy FROM counted)
