@@ -3,6 +3,7 @@
 import itertools
 import os
 import random
+import time
 
 import numpy as np
 import pytest
@@ -83,15 +84,35 @@ def naive_restored(token, model):
 
 
 def test_restored_is_best(char_model):
+    """The score is that of the best of all readings; the reading is one with it."""
     random.seed(2)
-    for _ in range(30):
+    for _ in range(60):
         token = "".join(random.choices("idotm013$.", k=6))
-        got, (score, _) = toxicity.restored(token, char_model), naive_restored(token, char_model)
-        total, state = 0.0, (32, 32)
-        assert np.isfinite(score) and isinstance(got, str)
-        want = naive_restored(token, char_model)[1]
-        # equal scores may have two readings
-        assert got == want or len(got) == len(want), (total, state, token)
+        got, text = toxicity._best(token, char_model)
+        want, other = naive_restored(token, char_model)
+        assert got == pytest.approx(want, rel=1e-12), token
+        assert toxicity.restored(token, char_model) == text
+        # of readings with one score any may be given
+        assert text == other or naive_score(token, text, char_model) == pytest.approx(want, rel=1e-12)
+
+
+def naive_score(token, text, model):
+    """The best score of the readings that give `text`."""
+    runs = [m.group() for m in toxicity._RUNS.finditer(token.lower())]
+    found = -np.inf
+    for choice in itertools.product(*(toxicity._readings(r[0], len(r)) for r in runs)):
+        out, total, state = "", 0.0, (32, 32)
+        for part, cost in [*choice, (" ", 0.0)]:
+            total -= cost
+            for c in part:
+                if c == " " and state[1] == 32:
+                    continue
+                total += model.logp(*state, ord(c))
+                state = (32, 32) if c == " " else (state[1], ord(c))
+                out += c
+        if out.strip() == text:
+            found = max(found, total)
+    return found
 
 
 def test_clean_text_is_left_alone(char_model):
@@ -227,6 +248,56 @@ def test_prior_and_risk():
     assert (model.logits(bad[6000:]) < 0).mean() > 0.9
 
 
+def plain_features(text):
+    """The statistics of one text by plain counting."""
+    words = (text or "").encode().split()
+    words = [w.decode() for w in words]
+    lines = [x for x in (text or "").split("\n") if x]
+    share = lambda xs: len(set(xs)) / max(1, len(xs))
+    runs = lambda n: [tuple(words[i : i + n]) for i in range(len(words) - n + 1)]
+    n, body = max(1, len(words)), "".join(words)
+    count = lambda signs: sum(c in signs for c in text or "")
+    letters = [c for c in text or "" if c.isalpha()]
+    capital = [c for c in letters if len(c.lower()) == 1 and c.lower() != c]
+    return [
+        np.log1p(len(words)), len(body) / n, count("#*$%&|<>") / n, count("!?") / n,
+        count("0123456789") / max(1, len(body)), len(capital) / max(1, len(letters)), count(".,;:") / n,
+        share(words), share(runs(2)), share(runs(5)),
+        max((words.count(w) for w in set(words)), default=0) / n, len(words) / max(1, len(lines)), share(lines),
+        len(letters) / max(1, len(body)), sum(len(w) == 1 for w in words) / n,
+    ]
+
+
+def test_features_are_counted():
+    random.seed(9)
+    texts = [None, "", "a", "A b! c? #1 $$ a\nA b!\n\nÜber 日本 x", "x " * 40, *(r[1] for r in tables.ROWS)]
+    texts += ["".join(random.choices("ab cd. E\n!1#", k=200)) for _ in range(30)]
+    got = quality.features(texts)
+    for text, row in zip(texts, got):
+        assert np.allclose(row, plain_features(text)), text
+
+
+def test_risk_is_the_least():
+    """The steps' weights against small moves in any direction: none lowers the risk."""
+    rng = np.random.default_rng(3)
+    pos, unl = rng.integers(0, 4, (300, 3)), rng.integers(0, 4, (500, 3))
+    pos[:, 0] = np.minimum(pos[:, 0], 2)
+    shape, prior, penalty = (3, 4), 0.4, 1e-2
+    columns = np.arange(3)
+
+    def risk(weights, bias):
+        at_pos, at_unl = (bias + weights[columns, x].sum(1) for x in (pos, unl))
+        positive = prior * np.logaddexp(0, -at_pos).mean()
+        negative = np.logaddexp(0, at_unl).mean() - prior * np.logaddexp(0, at_pos).mean()
+        return positive + negative + penalty / 2 * (weights**2).sum()
+
+    weights, bias = quality._risk_steps(pos, unl, prior, shape, 3000, penalty, False)
+    least = risk(weights, bias)
+    for _ in range(200):
+        way = rng.normal(0, 0.05, (3, 4))
+        assert risk(weights + way, bias + rng.normal(0, 0.05)) >= least - 1e-4
+
+
 def test_features_are_per_text():
     texts = [r[1] for r in tables.ROWS]
     together = quality._features_of(texts)
@@ -308,6 +379,47 @@ def test_counts_table(spark):
     check_counts(rows, decision_list.statistics(docs).collect())
 
 
+def test_rule_search_against_counting(spark):
+    """Tables of thresholds, gains and pruning on some rows, counted one by one."""
+    rng = random.Random(4)
+    names = list(decision_list.FEATURES)
+    rows = [[rng.choice([None, *range(6)]) for _ in names] + [rng.randrange(2)] for _ in range(120)]
+    df = spark.createDataFrame(
+        [tuple(float(v) if isinstance(v, int) and k < len(names) else v for k, v in enumerate(r)) for r in rows],
+        ", ".join([*(f"{n} double" for n in names), "label int"]),
+    )
+    cuts = {names[0]: [1.0, 3.0], names[1]: [0.5], names[2]: []}
+    met = lambda r, c: (
+        r[names.index(c[0])] is not None
+        and (r[names.index(c[0])] >= c[2] if c[1] == ">=" else r[names.index(c[0])] <= c[2])
+    )
+    table = decision_list._table(df, cuts)
+    assert set(table) == {(f, sign, t) for f, cut in cuts.items() for t in cut for sign in (">=", "<=")}
+    for condition, counted in table.items():
+        own = [r[-1] for r in rows if met(r, condition)]
+        assert counted == (own.count(0), own.count(1))
+    every = ([r[-1] for r in rows].count(0), [r[-1] for r in rows].count(1))
+    for bad, good in table.values():
+        purity = lambda b, g: np.log2(b / (b + g)) if b else 0.0
+        want = bad * (purity(bad, good) - purity(*every)) if bad else 0.0
+        assert decision_list._gain((bad, good), every) == pytest.approx(want)
+    conditions = [(names[0], ">=", 1.0), (names[1], "<=", 3.0), (names[2], ">=", 2.0)]
+    pruned = decision_list._pruned(decision_list.Rule(conditions), df)
+    worth = []
+    for n in (1, 2, 3):
+        own = [r[-1] for r in rows if all(met(r, c) for c in conditions[:n])]
+        worth.append(((own.count(0) - own.count(1)) / max(1, len(own)), own.count(0), own.count(1)))
+    best = max(range(3), key=lambda n: worth[n][0])
+    assert pruned.conditions == conditions[: best + 1]
+    assert (pruned.right, pruned.wrong) == worth[best][1:]
+
+
+def test_capitals_are_counted(spark):
+    rows = [(i, t, "en", "a", 1) for i, t in enumerate(["ABC d É 日 Ǆ ǅ 1", "", None, "none"])]
+    got = {r["doc_id"]: r["n_capitals"] for r in decision_list.statistics(tables.odd(spark, rows)).collect()}
+    assert got == {0: 5, 1: 0, 2: 0, 3: 0}
+
+
 def test_rules_are_learnt(spark):
     random.seed(7)
     rows = []
@@ -520,3 +632,39 @@ def test_trigram_hash():
     hashed = chars.trigram_hash(codes, codes[::-1].copy(), codes)
     assert hashed.tolist() == [chars.trigram_hash(*map(int, x)) for x in zip(codes, codes[::-1], codes)]
     assert hashed.max() < chars.BUCKETS
+
+
+# -- bounded samples ---------------------------------------------------------------
+
+
+def test_samples_are_bounded(spark):
+    """A third of the rows under one id, a third with one text, NULLs among both."""
+    rows = [(7, f"text number {i} of the one id", "en", "a", 1) for i in range(3000)]
+    rows += [(10_000 + i, "the one text", "en", "a", 1) for i in range(2000)]
+    rows += [(None, "the one text", "en", "a", 1)] * 500 + [(None, None, "en", "a", 1)] * 500
+    rows += [(20_000 + i, f"own text {i}", "en", "a", 1) for i in range(3000)]
+    docs = tables.odd(spark, rows)
+    rows_of = frames.picked(docs, id="doc_id", text="text")
+    assert frames.about(rows_of, 300).count() <= 600
+    labelled = tables.labels(spark, [(r[0], 1, 0) for r in rows if r[0] is not None])
+    sample = frames.labelled_sample(labelled, "quality", F.lit(True), 300)
+    assert sample.count() <= 600
+    picked = frames.texts_of(docs, sample, "doc_id", "text")
+    assert picked.count() == sample.count()
+    every = frames.texts_of(docs, frames.labelled_sample(labelled, "quality", F.lit(True), 10**6), "doc_id", "text")
+    assert every.where("text like 'text number%'").collect() == [(1, "text number 0 of the one id", 7)]
+    assert frames.about(rows_of, 10**6).count() == 8001
+    assert frames.about(rows_of.select("text"), 10**6).count() == 6001
+    assert frames.about(rows_of.limit(0), 5).count() == 0
+
+
+def test_spans_of_long_number_runs_take_linear_time():
+    """Eight times the numbers, about eight times the time; the same spans as piece by piece."""
+    model = personal.fit_examples(personal.examples("call +1 202 555 0142 or 4111 1111 1111 1111 today, see a at b dot org"))
+    seconds = []
+    for n in (1000, 8000):
+        text = " ".join(str(i * 37 % 100) for i in range(n))
+        start = time.perf_counter()
+        personal.all_spans(text, model)
+        seconds.append(time.perf_counter() - start)
+    assert seconds[1] < 16 * seconds[0] + 0.5

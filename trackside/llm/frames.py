@@ -56,15 +56,15 @@ def held_out(doc_id: Column | str, of: int, rest: int) -> Column:
     return F.coalesce(remainder(doc_id, of) == rest, F.lit(False))
 
 
-def about(df: DataFrame, text: str, most: int) -> DataFrame:
-    """About `most` different texts of `df`, or all: column `text`, without NULL, of
-    those whose hash falls below the share of the rows that is wanted. The same
-    texts every time, without a sort, and each once however many rows hold it, so at
-    most a few more than `most` come."""
+def about(df: DataFrame, most: int) -> DataFrame:
+    """About `most` different rows of `df`, or all: those with a `text` whose hash falls
+    below the share of the rows that is wanted. The same rows every time, without a
+    sort, and each once however often it stands there, so at most a few more than
+    `most` come."""
     n = df.count()
-    rows = df.select(F.col(text).alias("text")).where("text is not null")
+    rows = df.where("text is not null")
     if n > most:
-        rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(2**31)) < int(most / n * 2**31))
+        rows = rows.where(F.pmod(F.xxhash64(*df.columns), F.lit(2**31)) < int(most / n * 2**31))
     return rows.distinct()
 
 
@@ -87,9 +87,9 @@ def labelled_sample(labels: DataFrame, label: str, train: Column, most: int) ->
 
 
 def texts_of(docs: DataFrame, sample: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Columns `label` and `text` of the documents in `sample` (id, label), which
+    """Columns `label`, `text` and `id` of the documents in `sample` (id, label), which
     has a bounded number of narrow rows and is broadcast. A row per id: of several
     texts the least counts, and NULL only if there is no other."""
     rows = picked(docs, id=doc_id, text=text)
     found = rows.join(F.broadcast(sample), "id")
-    return found.groupBy("id").agg(F.max("label").alias("label"), F.min("text").alias("text")).drop("id")
+    return found.groupBy("id").agg(F.max("label").alias("label"), F.min("text").alias("text")).select("label", "text", "id")

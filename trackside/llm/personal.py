@@ -435,7 +435,7 @@ def fit(
                 ["text", "spans"],
             )
 
-    found = frames.about(frames.picked(docs, text=text), "text", sample).mapInArrow(find, "text string, spans string").distinct()
+    found = frames.about(frames.picked(docs, text=text), sample).mapInArrow(find, "text string, spans string").distinct()
     picked = found.orderBy(F.xxhash64("text"), "text", "spans").limit(most).collect()
     parse = lambda s: [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in s.split(",") if x)]
     return fit_examples([(r["text"], parse(r["spans"])) for r in picked])

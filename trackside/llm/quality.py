@@ -230,19 +230,20 @@ def fit_rows(pos: np.ndarray, unl: np.ndarray, bins: int = BINS, steps: int = 40
 
 
 def _rows(texts: DataFrame) -> np.ndarray:
-    """The statistics of a bounded number of texts, on the driver, in order of a hash of
-    the text: the same order in every run, and not one of any statistic."""
+    """The statistics of a bounded number of texts (columns `id` and `text`), on the
+    driver, by id and then a hash of the text: the same order in every run."""
 
     def count(batches):
         for batch in batches:
-            rows = _features_of(batch.column(1).to_pylist())
+            rows = _features_of(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(rows[:, k]) for k in range(len(NAMES)))], ["place", *NAMES]
+                [*batch.columns[:2], *(pa.array(rows[:, k]) for k in range(len(NAMES)))], ["id", "place", *NAMES]
             )
 
-    schema = ", ".join(["place bigint", *(f"{name} double" for name in NAMES)])
-    placed = texts.select(F.xxhash64("text").alias("place"), "text")
-    table = placed.mapInArrow(count, schema).toArrow().sort_by("place")
+    placed = texts.select("id", F.xxhash64("text").alias("place"), "text")
+    kind = dict(placed.dtypes)["id"]
+    schema = ", ".join([f"id {kind}", "place bigint", *(f"{name} double" for name in NAMES)])
+    table = placed.mapInArrow(count, schema).toArrow().sort_by([("id", "ascending"), ("place", "ascending")])
     return np.stack([table.column(name).to_numpy() for name in NAMES], axis=1)
 
 
@@ -253,11 +254,11 @@ def fit(
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> Model | None:
-    """The model for `positives` (id; bounded) against about `most` different texts of
-    all `docs`, taken without their labels; no id and no text counts twice. None with fewer than ten of either, when every
+    """The model for `positives` (id; bounded) against about `most` different rows
+    (id and text) of all `docs`, taken without their labels. None with fewer than ten of either, when every
     text is as likely good as not."""
     pos = _rows(frames.texts_of(docs, positives.select("id", F.lit(1).alias("label")), doc_id, text))
-    unl = _rows(frames.about(frames.picked(docs, text=text), "text", most))
+    unl = _rows(frames.about(frames.picked(docs, id=doc_id, text=text), most))
     if len(pos) < 10 or len(unl) < 10:
         return None
     return fit_rows(pos, unl)

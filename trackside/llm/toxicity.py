@@ -429,6 +429,7 @@ def fit(
     """
     texts = (
         frames.texts_of(docs, sample, doc_id, text)
+        .select("label", "text")
         .where("label in (0, 1)")
         .withColumn("text", F.coalesce("text", F.lit("")))
     )
