@@ -13,6 +13,7 @@ import corpus_pipeline
 import tables
 from compare import connect, duck_rows, spark_rows
 from trackside.llm import frames, mixing, pieces, queries, sql
+from trackside.streaming import run
 
 FOLDER = os.environ.get("QUERY_DIR", "/root/testdata/sf0.01")
 ODD = [
@@ -41,7 +42,7 @@ def test_one_query_per_operator():
 
 @pytest.fixture(scope="module")
 def words():
-    return pieces.vocabulary(corpus_pipeline.tokenizer())
+    return pieces.vocabulary(pieces.tokenizer())
 
 
 def library(model):
@@ -122,15 +123,35 @@ def test_decoding_odd_ids(spark, words):
 
 
 def test_mix_odd(spark, tmp_path):
-    df = tables.odd(spark)
+    """Against SQL on rows of which none repeats; repeated rows draw each for itself."""
+    rows = [r for r in tables.ROWS if tables.ROWS.count(r) == 1]
+    df = tables.odd(spark, rows)
     df.coalesce(1).write.parquet(str(tmp_path / "t"))
     con = connect(str(tmp_path))
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/t/*.parquet'")
-    out = mixing.mixed(tables.odd(spark, extra=["rate", "PLACE", "copies"]))
+    out = mixing.mixed(tables.odd(spark, rows, ["rate", "PLACE", "copies"]))
     assert out.columns == [*tables.COLUMNS, "rate", "copies", "copy", "place"]
     out = out.select(*tables.COLUMNS, F.col("copy").cast("bigint").alias("copy"), "place")
     assert spark_rows(out) == duck_rows(con, sql.MIX_SOURCES)
     assert mixing.mixed(tables.odd(spark, [])).count() == 0
+    assert mixing.mixed(tables.odd(spark)).columns == [*tables.COLUMNS, "copy", "place"]
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_mix_rows_without_ids(spark, same):
+    """A source without ids, of equal or different texts, gets its share under any seed,
+    and its copies are spread over the partitions."""
+    rows = [(None, "a text" if same else f"a text {i:04}", "en", "none", 1) for i in range(3000)]
+    rows += [(i, f"text {i:05}", "en", "ids", 1) for i in range(1000)]
+    docs = tables.odd(spark, rows)
+    rates = {r["source"]: r["rate"] for r in mixing.repetition_rates(docs).collect()}
+    for seed in ("mix-1", "s2", "s3", "s4", "s5"):
+        out = mixing.mixed(docs, seed=seed).where("source = 'none'")
+        with run.setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+            parts = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        want = 3000 * rates["none"]
+        assert abs(sum(parts) - want) < 4 * want**0.5
+        assert max(parts) < sum(parts) / 3
 
 
 def test_mix_weights(spark):

@@ -11,6 +11,7 @@ infinity if not; one path then has a score, and it is what the merges make.
 
 from __future__ import annotations
 
+import os
 from array import array
 from dataclasses import dataclass, field
 from functools import cache
@@ -23,8 +24,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from trackside.llm import chars, frames
 
 SPACE = "▁"
-WORDS_KEPT = 400_000  # encoded words that a worker remembers
-PAIRS_KEPT = 500_000
+WORDS_KEPT = 700_000  # encoded words that a worker remembers
+PAIRS_KEPT = 600_000
+CHUNK = 1 << 20  # characters whose new words are encoded together
 UNIGRAM, BPE = 1, 2
 NOTHING = -(1 << 22)  # before the first piece
 
@@ -102,6 +104,13 @@ def vocabulary(path: str) -> Vocabulary:
     )
 
 
+def tokenizer() -> str:
+    """The model file: SENTENCEPIECE_MODEL, or that of the public tokenizers."""
+    import public_tokenizers
+
+    return os.environ.get("SENTENCEPIECE_MODEL") or public_tokenizers.path("piece_bpe_32k.model")
+
+
 class Encoder:
     """Encodes words; one to a Python worker, which keeps what it has encoded."""
 
@@ -110,28 +119,73 @@ class Encoder:
 
         self.own = words
         self.normalise = SentencePieceProcessor(model_proto=words.model).normalize
-        self.root: list = [{}, None]  # walks on by character, piece that ends here
         self.score: dict[str, float] = {}
         after: dict[str, set[str]] = {}
+        # an automaton of the pieces: steps by character, where to go on when there is
+        # none, and the pieces that end at a state, the longest first
+        self.steps: list[dict[str, int]] = [{}]
+        self.found: list[tuple] = [()]
         for i, piece in enumerate(words.pieces):
             if i in words.special or not piece:
                 continue
             self.score[piece] = words.scores[i]
             for a, b in zip(piece, piece[1:]):
                 after.setdefault(b, set()).add(a)
-            node = self.root
+            state = 0
             for c in piece:
-                node = node[0].setdefault(c, [{}, None])
-            node[1] = i
+                if c not in self.steps[state]:
+                    self.steps[state][c] = len(self.steps)
+                    self.steps.append({})
+                    self.found.append(())
+                state = self.steps[state][c]
+            self.found[state] = ((len(piece), i),)
+        self.back = [0] * len(self.steps)
+        level = [0]
+        while level:
+            deeper = []
+            for state in level:
+                for c, child in self.steps[state].items():
+                    back = self._go(self.back[state], c) if state else 0
+                    self.back[child] = back
+                    self.found[child] += self.found[back]
+                    deeper.append(child)
+            level = deeper
         self.classes = _classes(after)
         self.worst = min(self.score.values(), default=0.0) - 10.0
         self.pairs: dict[int, bool] = {}
-        self.forget()
-
-    def forget(self) -> None:
+        self.older: dict[int, bool] = {}
+        self.guesses: dict[int, tuple[int, int]] = {}
+        self.histories: dict[int, list | None] = {}
+        self.jumps: dict[int, int] = {}  # steps that lead back
         self.index: dict[str, int] = {}
         self.flat = array("i")
         self.ends = array("q", [0])
+        self.used = np.zeros(0, np.int64)  # how often each word came
+
+    def forget(self) -> None:
+        """Keep the words that have come more than once, if these are not most."""
+        sizes = np.diff(self.ends)
+        keep = self.used[: len(sizes)] > 1
+        if 2 * keep.sum() > len(sizes):
+            keep[:] = False
+        flat = np.frombuffer(self.flat, dtype=np.int32)[np.repeat(keep, sizes)]
+        place = np.cumsum(keep) - 1
+        kept = keep.tolist()
+        self.index = {w: int(place[i]) for w, i in self.index.items() if kept[i]}
+        self.flat = array("i", flat.tobytes())
+        self.ends = array("q", np.concatenate(([0], np.cumsum(sizes[keep]))).astype(np.int64).tobytes())
+        self.used = np.zeros(0, np.int64)
+
+    def _go(self, state: int, c: str) -> int:
+        """The state after `c`: the longest end of what was read that begins a piece."""
+        steps, back = self.steps, self.back
+        while True:
+            after = steps[state].get(c)
+            if after is not None:
+                return after
+            if not state:
+                return 0
+            state = back[state]
 
     def words(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """The marked words of normalised texts, one text after the other, and how
@@ -154,75 +208,137 @@ class Encoder:
 
     def _apart(self, u: int, v: int) -> bool:
         """Whether the merges make u and v, as they are, out of their joint text."""
-        want = [self._text(v)] if u == NOTHING else [self._text(u), self._text(v)]
-        if len(self.pairs) >= PAIRS_KEPT:
-            self.pairs.clear()
-        known = self.pairs[u << 21 | v] = merged("".join(want), self.score) == want
+        key = u << 21 | v
+        known = self.older.get(key)
+        if known is None:
+            known = self._stays_apart(u, v)
+        if len(self.pairs) >= PAIRS_KEPT // 2:
+            self.older, self.pairs = self.pairs, {}
+        self.pairs[key] = known
         return known
 
+    def _history(self, piece: int):
+        """How the merges make a piece out of its characters: the score of each merge, and
+        the last and first part after it. None if they don't make it."""
+        if piece in self.histories:
+            return self.histories[piece]
+        parts, out = list(self._text(piece)), []
+        while len(parts) > 1:
+            best, at = _best_merge(parts, self.score)
+            if at < 0:
+                out = None
+                break
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            out.append((best, parts[-1], parts[0]))
+        if len(self.histories) >= PAIRS_KEPT // 4:
+            self.histories.clear()
+        self.histories[piece] = out
+        return out
+
+    def _stays_apart(self, u: int, v: int) -> bool:
+        """Whether `merged` makes [u, v] out of their joint text: both histories run side
+        by side, the better merge first, and no merge across comes before."""
+        right = self._history(v)
+        left = [] if u == NOTHING else self._history(u)
+        if left is None or right is None:
+            return False
+        if u == NOTHING:
+            return True
+        score, edge, start = self.score.get, self._text(u)[-1], self._text(v)[0]
+        a = b = 0
+        while True:
+            across = score(edge + start)
+            if a < len(left) and (b == len(right) or left[a][0] >= right[b][0]):
+                # of equal merges the leftmost comes first: here the one inside u
+                if across is not None and across > left[a][0]:
+                    return False
+                edge, a = left[a][1], a + 1
+            elif b < len(right):
+                if across is not None and across >= right[b][0]:
+                    return False
+                start, b = right[b][2], b + 1
+            else:
+                return across is None
+
     def encode_sorted(self, words: list[str]):
         """The pieces of each of `words`, which are in order. A character without a
         piece is -1 minus its code point."""
-        step = self._merge_step if self.own.kind == BPE else self._score_step
+        walk = self._merge_walk if self.own.kind == BPE else self._score_walk
         before = ""
-        # by length of prefix: last piece, where it starts, score, open walks
-        last, start, total = [NOTHING], [0], [0.0]
-        walks: list = [[(0, self.root[0])]]
+        # by length of prefix: last piece, where it starts, score, state
+        last, start, total, states = [NOTHING], [0], [0.0], [0]
         for word in words:
             same = 0
             for a, b in zip(before, word):
                 if a != b:
                     break
                 same += 1
-            del last[same + 1 :], start[same + 1 :], total[same + 1 :], walks[same + 1 :]
-            for j in range(same, len(word)):
-                step(word[j], j, last, start, total, walks)
+            del last[same + 1 :], start[same + 1 :], total[same + 1 :], states[same + 1 :]
+            walk(word, same, last, start, total, states)
             before, out, j = word, [], len(word)
             while j:
                 out.append(last[j])
                 j = start[j]
             yield out[::-1]
 
-    def _merge_step(self, c, j, last, start, total, walks) -> None:
-        going, best, at, pairs = [], None, j, self.pairs
-        for i, node in walks[j]:
-            child = node.get(c)
-            if child is None:
-                continue
-            going.append((i, child[0]))
-            piece = child[1]
-            if best is None and piece is not None:
-                apart = pairs.get(last[i] << 21 | piece)
-                if apart or apart is None and self._apart(last[i], piece):
-                    best, at = piece, i
-        going.append((j + 1, self.root[0]))
-        last.append(-1 - ord(c) if best is None else best)
-        start.append(at)
-        total.append(0.0)
-        walks.append(going)
-
-    def _score_step(self, c, j, last, start, total, walks) -> None:
-        going, best, at, value = [], None, j, -np.inf
-        for i, node in walks[j]:
-            child = node.get(c)
-            if child is None:
-                continue
-            going.append((i, child[0]))
-            piece = child[1]
-            if piece is not None and total[i] + self.own.scores[piece] > value:
-                best, at, value = piece, i, total[i] + self.own.scores[piece]
-        if c not in self.score and total[j] + self.worst > value:
-            best, at, value = -1 - ord(c), j, total[j] + self.worst
-        going.append((j + 1, self.root[0]))
-        last.append(best)
-        start.append(at)
-        total.append(value)
-        walks.append(going)
+    def _merge_walk(self, word, same, last, start, total, states) -> None:
+        """Only one piece can be the last of a prefix, so they may be tried in any order:
+        first the one that came here before."""
+        steps, found, go, guesses, jumps = self.steps, self.found, self._go, self.guesses, self.jumps
+        state, before = states[same], last[same]
+        for j, c in enumerate(word[same:], same):
+            after = steps[state].get(c)
+            if after is None:
+                jump = state << 21 | ord(c)
+                after = jumps.get(jump)
+                if after is None:
+                    after = jumps[jump] = go(state, c)
+            state = after
+            pairs, key = self.pairs, (state << 22) | (before & 0x3FFFFF)
+            guess = guesses.get(key)
+            if guess is None or not pairs.get(last[j + 1 - guess[0]] << 21 | guess[1]):
+                guess = None
+                for entry in found[state]:
+                    u = last[j + 1 - entry[0]]
+                    apart = pairs.get(u << 21 | entry[1])
+                    if apart or apart is None and self._apart(u, entry[1]):
+                        guess = guesses[key] = entry
+                        break
+            if guess is None:
+                before, at = -1 - ord(c), j
+            else:
+                before, at = guess[1], j + 1 - guess[0]
+            last.append(before)
+            start.append(at)
+            states.append(state)
+        if len(guesses) > PAIRS_KEPT:
+            guesses.clear()
+        if len(jumps) > PAIRS_KEPT:
+            jumps.clear()
+
+    def _score_walk(self, word, same, last, start, total, states) -> None:
+        scores, state = self.own.scores, states[same]
+        for j, c in enumerate(word[same:], same):
+            state = self._go(state, c)
+            best, at, value = None, j, -np.inf
+            for size, piece in self.found[state]:
+                i = j + 1 - size
+                if total[i] + scores[piece] > value:
+                    best, at, value = piece, i, total[i] + scores[piece]
+            if c not in self.score and total[j] + self.worst > value:
+                best, at, value = -1 - ord(c), j, total[j] + self.worst
+            last.append(best)
+            start.append(at)
+            total.append(value)
+            states.append(state)
 
     def learn(self, words: set[str]) -> None:
         """Encode `words`, none of which is known yet."""
         new = sorted(words)
         for word, pieces in zip(new, self.encode_sorted(new)):
+            if pieces and min(pieces) >= 0:
+                self.flat.extend(pieces)
+                pieces = ()
             for piece in pieces:
                 if piece >= 0:
                     self.flat.append(piece)
@@ -239,7 +355,7 @@ class Encoder:
     def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the number of each text's ids."""
         ids, sizes = [np.zeros(0, dtype=np.int32)], []
-        for i, j in chars.chunks(texts):
+        for i, j in chars.chunks(texts, CHUNK):
             words, n_words = self.words([self.normalise(t) if t else "" for t in texts[i:j]])
             if len(self.index) > WORDS_KEPT:
                 self.forget()
@@ -248,6 +364,9 @@ class Encoder:
                 self.learn({w for w, k in zip(words, known) if k is None})
                 known = list(map(self.index.get, words))
             at = np.array(known, dtype=np.int64)
+            used = np.bincount(at, minlength=len(self.index))
+            used[: len(self.used)] += self.used
+            self.used = used
             ends, flat = np.array(self.ends, copy=True), np.frombuffer(self.flat, dtype=np.int32).copy()
             size = ends[at + 1] - ends[at]
             first = np.cumsum(size) - size
@@ -282,17 +401,22 @@ def merged(text: str, score: dict[str, float]) -> list[str]:
     the best score first, the leftmost of equals."""
     parts = list(text)
     while len(parts) > 1:
-        best, at = None, -1
-        for i in range(len(parts) - 1):
-            found = score.get(parts[i] + parts[i + 1])
-            if found is not None and (best is None or found > best):
-                best, at = found, i
-        if best is None:
+        _, at = _best_merge(parts, score)
+        if at < 0:
             break
         parts[at : at + 2] = [parts[at] + parts[at + 1]]
     return parts
 
 
+def _best_merge(parts: list[str], score: dict[str, float]) -> tuple[float | None, int]:
+    best, at = None, -1
+    for i in range(len(parts) - 1):
+        found = score.get(parts[i] + parts[i + 1])
+        if found is not None and (best is None or found > best):
+            best, at = found, i
+    return best, at
+
+
 @cache
 def _encoder(key: int, holder: _Held) -> Encoder:
     return Encoder(holder.own)

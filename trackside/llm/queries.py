@@ -7,7 +7,6 @@ import string
 from collections.abc import Callable
 
 import corpus_pipeline
-from corpus_pipeline import tokenizer
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trackside.llm import (
@@ -146,7 +145,7 @@ def personal_data(spark, folder):
 
 def sentencepiece(spark, folder, path: str | None = None):
     """Ids of each document, and whether they decode to the text again."""
-    words = pieces.vocabulary(path or tokenizer())
+    words = pieces.vocabulary(path or pieces.tokenizer())
     docs = frames.picked(_read(spark, folder, "documents"), doc_id="doc_id", text="text")
     ids = docs.withColumn("ids", pieces.encoded(F.col("text"), words))
     return ids.select(
