@@ -6,21 +6,12 @@ mixes the sources and encodes the texts.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 from trackside.llm import frames, mixing, personal, pieces, quality, simhash
 from trackside.sources import tables
 
 
-def tokenizer() -> str:
-    """The model file: SENTENCEPIECE_MODEL, or that of the public tokenizers."""
-    import public_tokenizers
-
-    return os.environ.get("SENTENCEPIECE_MODEL") or public_tokenizers.path("piece_bpe_32k.model")
-
-
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; learnt from `labels`."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -44,7 +35,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids beside each document."""
-    return pieces.with_ids(docs, pieces.vocabulary(tokenizer()))
+    return pieces.with_ids(docs, pieces.vocabulary(pieces.tokenizer()))
 
 
 STAGES = [
