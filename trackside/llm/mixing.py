@@ -108,12 +108,14 @@ def mixed(
     own = F.concat_ws(
         ":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce(F.md5("text"), F.lit("null"))
     )
-    repeated = (
+    # written, so that its size is known: where few rows repeat, the texts stay in place
+    repeated = tables.written(
         frames.picked(docs, doc_id=doc_id, text=text)
         .groupBy(own.alias("again"))
         .agg(F.count("*").alias("n"))
         .where("n > 1")
-        .select("again")
+        .select("again"),
+        "mix-repeated",
     )
     # where Spark lists a row is the same in every run of its task
     rows = frames.packed(docs, doc_id=doc_id, source=source, text=text).select(
