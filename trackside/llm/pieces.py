@@ -114,7 +114,9 @@ def tokenizer() -> str:
 class Encoder:
     """Encodes words; one to a Python worker, which keeps what it has encoded."""
 
-    def __init__(self, words: Vocabulary):
+    def __init__(self, words: Vocabulary, kept: int = WORDS_KEPT):
+        self.kept, self.pairs_kept = kept, PAIRS_KEPT * kept // WORDS_KEPT
+        self.chunk = CHUNK if kept >= WORDS_KEPT else CHUNK // 2
         from sentencepiece import SentencePieceProcessor
 
         self.own = words
@@ -212,7 +214,7 @@ class Encoder:
         known = self.older.get(key)
         if known is None:
             known = self._stays_apart(u, v)
-        if len(self.pairs) >= PAIRS_KEPT // 2:
+        if len(self.pairs) >= self.pairs_kept // 2:
             self.older, self.pairs = self.pairs, {}
         self.pairs[key] = known
         return known
@@ -230,7 +232,7 @@ class Encoder:
                 break
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
             out.append((best, parts[-1], parts[0]))
-        if len(self.histories) >= PAIRS_KEPT // 4:
+        if len(self.histories) >= self.pairs_kept // 4:
             self.histories.clear()
         self.histories[piece] = out
         return out
@@ -311,9 +313,9 @@ class Encoder:
             last.append(before)
             start.append(at)
             states.append(state)
-        if len(guesses) > PAIRS_KEPT:
+        if len(guesses) > self.pairs_kept:
             guesses.clear()
-        if len(jumps) > PAIRS_KEPT:
+        if len(jumps) > self.pairs_kept:
             jumps.clear()
 
     def _score_walk(self, word, same, last, start, total, states) -> None:
@@ -355,9 +357,9 @@ class Encoder:
     def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the number of each text's ids."""
         ids, sizes = [np.zeros(0, dtype=np.int32)], []
-        for i, j in chars.chunks(texts, CHUNK):
+        for i, j in chars.chunks(texts, self.chunk):
             words, n_words = self.words([self.normalise(t) if t else "" for t in texts[i:j]])
-            if len(self.index) > WORDS_KEPT:
+            if len(self.index) > self.kept:
                 self.forget()
             known = list(map(self.index.get, words))
             if None in known:
@@ -419,7 +421,7 @@ def _best_merge(parts: list[str], score: dict[str, float]) -> tuple[float | None
 
 @cache
 def _encoder(key: int, holder: _Held) -> Encoder:
-    return Encoder(holder.own)
+    return Encoder(holder.own, key)
 
 
 class _Held:
@@ -436,14 +438,14 @@ class _Held:
         return 0
 
 
-def encoded(text: Column, words: Vocabulary) -> Column:
+def encoded(text: Column, words: Vocabulary, kept: int = WORDS_KEPT) -> Column:
     """The ids of each text; none for an empty one, NULL for NULL. A character
     without a piece becomes its bytes, or the unknown piece if there are none."""
     held = _Held(words)
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        ids, sizes = _encoder(0, held).encode(texts.to_pylist())
+        ids, sizes = _encoder(kept, held).encode(texts.to_pylist())
         offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
         return pa.ListArray.from_arrays(
             pa.array(offsets), pa.array(ids), mask=texts.is_null()
@@ -481,7 +483,10 @@ def decoded(ids: Column, words: Vocabulary) -> Column:
     return decode(ids)
 
 
-def with_ids(docs: DataFrame, words: Vocabulary, text: str = "text") -> DataFrame:
-    """`docs` with `ids`, in place of a column of that name; every row stays."""
-    rows = frames.packed(docs, text=text).withColumn("ids", encoded(F.col("text"), words))
+def with_ids(
+    docs: DataFrame, words: Vocabulary, text: str = "text", kept: int = WORDS_KEPT // 4
+) -> DataFrame:
+    """`docs` with `ids`, in place of a column of that name; every row stays. Workers
+    remember `kept` words: less than `encoded` alone, as whole rows pass them here."""
+    rows = frames.packed(docs, text=text).withColumn("ids", encoded(F.col("text"), words, kept))
     return frames.unpacked(rows, docs.columns, ids=F.col("ids"))
