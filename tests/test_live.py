@@ -97,6 +97,26 @@ def test_nothing_sent_and_no_keys(spark, tmp_path):
     assert got.count() == 20 and ordered.source(spark, "car", base, stream=False).count() == 0
 
 
+def test_messages_without_a_key_fill_all_partitions(spark, tmp_path):
+    base = str(tmp_path)
+    ordered.send(stamped(spark, 2000).drop("key"), base, partitions=4, slices=2)
+    files = ordered.sent_log(spark, base).collect()
+    assert sorted((f.slice, f.partition) for f in files) == [(s, p) for s in range(2) for p in range(4)]
+    assert min(f.n for f in files) > 100
+
+
+def test_state_has_no_more_parts_than_tasks_run(spark, tmp_path):
+    """However many partitions the session's shuffles have; and their number is as before."""
+    base = str(tmp_path)
+    ordered.send(stamped(spark, 200), base, slices=2)
+    sent = ordered.source(spark, "lap", base)
+    with run.setting(spark, run.PARTITIONS, "50"):
+        query = run.run_through(sent.groupBy("key").count(), run.versions_writer(f"{base}/out"), "update", f"{base}/checkpoint")
+        assert spark.conf.get(run.PARTITIONS) == "50"
+    parts = {s.numShufflePartitions for p in query.recentProgress for s in p.stateOperators}
+    assert parts == {spark.sparkContext.defaultParallelism}
+
+
 def test_no_window_is_lost(spark, tmp_path):
     """200,000 laps, many writers, one slice to a batch, no delay."""
     base = str(tmp_path)

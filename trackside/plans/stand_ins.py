@@ -37,7 +37,7 @@ EVENTS = (
     "value double, props string"
 )
 WAIT = 24 * 3600
-# Messages of a replayed table, at most, in one file and so in one micro-batch.
+# Messages of a replayed table, about, in one slice and so in one micro-batch.
 SLICE_ROWS = 1_000_000
 SLICES = 6
 
@@ -548,15 +548,17 @@ def _replayed(
     that `writer` has put the result in, and the stream's frame."""
     spark = messages.sparkSession
     base = tables.scratch_folder(spark, topic)
-    first, last, n = messages.agg(F.min("sent_at"), F.max("sent_at"), F.count("*")).first()
+    first, last = messages.agg(F.min("sent_at"), F.max("sent_at")).first()
     stream = analysis(ordered.source(spark, topic, f"{base}/topics"))
     write = writer(f"{base}/out")
-    if n:
+    if first is not None:
         older = F.col("sent_at") <= F.lit(first + (last - first) / 2)
-        slices = max(SLICES // 2, -(-n // SLICE_ROWS))
-        for part in (older, ~older):
+        halves = {"older": older, "newer": ~older}
+        sizes = messages.agg(*(F.count_if(part).alias(name) for name, part in halves.items())).first()
+        for name, part in halves.items():
+            slices = max(SLICES // 2, -(-sizes[name] // SLICE_ROWS))
             ordered.send(messages.where(part), f"{base}/topics", partitions=4, slices=slices)
-            if close and part is not older:
+            if close and name == "newer":
                 ordered.end(spark, f"{base}/topics", {topic: 4})
             run.run_through(stream, write, mode, f"{base}/checkpoint")
     return f"{base}/out", stream

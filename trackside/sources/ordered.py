@@ -60,8 +60,8 @@ def send(
     Messages are cut into `slices` ranges of `sent_at` (about a million each by
     default); those of one time stay together. A column says instead which slice each
     belongs to: a whole number from 0 on that rises with time. Within a topic, messages of a
-    key go to one of its `partitions`, by a hash. Nothing of a send can be read before
-    all of it can.
+    key go to one of its `partitions`, by a hash, and those without one to all of them.
+    Nothing of a send can be read before all of it can.
     """
     spark = messages.sparkSession
     if "key" not in messages.columns:
@@ -84,7 +84,7 @@ def send(
         .withColumns(
             {
                 "slice": F.coalesce("slice", F.spark_partition_id()),
-                "partition": F.pmod(F.xxhash64(F.coalesce("key", F.lit(""))), of).cast("int"),
+                "partition": F.pmod(F.nvl2("key", F.xxhash64("key"), F.xxhash64("sent_at", "value")), of).cast("int"),
             }
         )
         .sortWithinPartitions("topic", "slice", "partition", "sent_at")
