@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Row, functions as F, types as T
 
 from trackside import schemas
 from trackside.functions.measures import avg_of, count_of, max_of, min_of
@@ -385,6 +385,38 @@ def test_live_asof_join(spark, tmp_path):
     assert by[900] == 1000 and by[901] is None
 
 
+def test_live_asof_join_calls_state_by_bucket():
+    """As few calls for many keys as for one; each key meets its own samples."""
+    calls = []
+
+    class Listed:
+        def __init__(self):
+            self.rows = []
+
+        def __getattr__(self, name):
+            calls.append(name)
+            return {
+                "exists": lambda: bool(self.rows), "get": lambda: iter(self.rows), "clear": lambda: self.rows.clear(),
+                "appendList": lambda rows: self.rows.extend(rows), "put": lambda rows: self.__dict__.update(rows=list(rows)),
+            }[name]
+
+    class Handle:
+        getListState = lambda self, name, schema: Listed()
+        registerTimer = lambda self, at: calls.append("timer")
+
+    class Mark:
+        getCurrentWatermarkInMs = lambda self: 60
+
+    state = live._Latest()
+    state.init(Handle())
+    rows = [(f"{k}", at, left) for k in range(500) for at, left in ((1_000 + k, False), (30_000, True), (90_000, True))]
+    rows = [Row(_left=left, _at=at, _seq=0, _who=who, _body=f"{who} {at}") for who, at, left in rows]
+    assert list(state.handleInputRows((3,), iter(rows), None)) == []
+    out = list(state.handleExpiredTimer((3,), Mark(), None))
+    assert sorted((r._body, r._match) for r in out) == sorted((f"{k} 30000", f"{k} {1_000 + k}") for k in range(500))
+    assert len(calls) < 15
+
+
 def test_live_asof_join_drops_late_rows(spark, tmp_path):
     """A sample that comes after the watermark has passed it isn't used; a NULL reading
     of the newest sample stays NULL."""
