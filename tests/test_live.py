@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import Row, functions as F, types as T
@@ -105,6 +107,20 @@ def test_messages_without_a_key_fill_all_partitions(spark, tmp_path):
     assert min(f.n for f in files) > 100
 
 
+def test_large_messages_are_read_a_few_at_a_time(tmp_path):
+    """However many there are in a file; offsets run on."""
+    path, n = f"{tmp_path}/sent.parquet", 600
+    at = pa.array([1_000_000 * i for i in range(n)], pa.timestamp("us", "UTC"))
+    value = [f"{i:06d}" * 10_000 for i in range(n)]
+    table = pa.table({"key": pa.nulls(n, pa.string()), "sent_at": at, "value": value})
+    pq.write_table(table, path, use_dictionary=False, compression="none")
+    got = list(ordered._messages(ordered.SentFile("lap", 0, 1, 5, path)))
+    assert max(b.nbytes for b in got) < 8 << 20
+    read = pa.Table.from_batches(got)
+    assert read.column("value").to_pylist() == value
+    assert read.column("offset").to_pylist() == list(range(5, 5 + n))
+
+
 def test_state_has_no_more_parts_than_tasks_run(spark, tmp_path):
     """However many partitions the session's shuffles have; and their number is as before."""
     base = str(tmp_path)

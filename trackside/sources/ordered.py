@@ -214,11 +214,19 @@ _KINDS = pa.schema(
 )
 
 
+BATCH_ROWS, BATCH_BYTES = 10_000, 4 << 20  # of messages at once
+
+
 def _messages(file: SentFile) -> Iterator[pa.RecordBatch]:
+    """A few messages at a time, and of the file what they need: messages may be large."""
     fs, path = _opened(file.path)
     at = file.first_offset
     with fs.open_input_file(path) as opened:
-        for batch in pq.ParquetFile(opened).iter_batches(columns=["key", "sent_at", "value"]):
+        parquet = pq.ParquetFile(opened, buffer_size=1 << 20, pre_buffer=False)
+        groups = [parquet.metadata.row_group(i) for i in range(parquet.num_row_groups)]
+        most = max((g.total_byte_size // max(g.num_rows, 1) for g in groups), default=0)
+        size = max(1, min(BATCH_ROWS, BATCH_BYTES // max(most, 1)))
+        for batch in parquet.iter_batches(size, columns=["key", "sent_at", "value"], use_threads=False):
             n = len(batch)
             sent = batch.column("sent_at")
             sent = pc.cast(sent, pa.timestamp("us", sent.type.tz), safe=False)
