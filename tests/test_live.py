@@ -15,11 +15,11 @@ from trackside.functions.timing import with_event_time
 from trackside.operators import joins, nesting
 from trackside.operators.rows import closing_gate, row_index
 from trackside.operators.summary import live_pane_summary, row_window_summary
-from trackside.plans import racing
+from trackside.plans import racing, stand_ins
 from trackside.sources import ordered
 from trackside.sources.bucketed import keeps_order, write_bucketed
 from trackside.streaming import live, metrics, run, store
-from trackside.streaming.commits import CommitLog, CurrentTable, MergedRuns, Versions
+from trackside.streaming.commits import BATCH, CommitLog, CurrentTable, MergedRuns, Versions
 
 START = 1_700_000_000
 
@@ -226,6 +226,27 @@ def test_files_and_rows_are_bounded_by_keys(spark, tmp_path):
     assert dict(map(tuple, got.collect())) == last
 
 
+def test_versions_are_merged_without_a_sort(spark, tmp_path, capsys):
+    versions = Versions(str(tmp_path), ["k"])
+    rows = [(1, 0, 1.0, "a"), (1, 1, None, "b"), (2, 0, 2.0, None), (2, 3, 3.0, "d"), (None, 2, 4.0, "e")]
+    df = spark.createDataFrame(rows, f"k int, {BATCH} bigint, x double, s string")
+    latest = versions._latest(df)
+    found = {r["k"]: (r["x"], r["s"], r[BATCH]) for r in latest.collect()}
+    # the last row of a key as a whole, NULLs too
+    assert found == {1: (None, "b", 1), 2: (3.0, "d", 3), None: (4.0, "e", 2)}
+    versions._latest(df.drop("s")).explain()
+    assert "SortAggregate" not in capsys.readouterr().out
+
+
+def test_a_replayed_slice_is_read_by_all_tasks(spark):
+    messages = stamped(spark, 2000, topic="many").drop("key")
+    path, _ = stand_ins._replayed(
+        messages, "many", lambda sent: sent.select("value"), "append", run.versions_writer, close=True
+    )
+    files = ordered.sent_log(spark, path.removesuffix("out") + "topics").groupBy("slice").count().collect()
+    assert {f["count"] for f in files} == {max(4, spark.sparkContext.defaultParallelism)}
+
+
 def test_rerun_forgets_later_batches_of_a_lost_run(spark, tmp_path):
     versions = Versions(str(tmp_path), ["k"])
     schema = T.StructType.fromDDL("k int, v int")

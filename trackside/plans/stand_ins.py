@@ -544,9 +544,11 @@ def _replayed(
     close: bool = False,
 ) -> tuple[str, DataFrame]:
     """Send messages in order, a slice to a micro-batch, and run `analysis` over them to
-    the end: over the older half first, then, restarted, over the rest. The folder
-    that `writer` has put the result in, and the stream's frame."""
+    the end: over the older half first, then, restarted, over the rest. A slice is in as
+    many files as tasks run at once. The folder that `writer` has put the result in, and
+    the stream's frame."""
     spark = messages.sparkSession
+    parts = max(4, spark.sparkContext.defaultParallelism)
     base = tables.scratch_folder(spark, topic)
     first, last = messages.agg(F.min("sent_at"), F.max("sent_at")).first()
     stream = analysis(ordered.source(spark, topic, f"{base}/topics"))
@@ -557,9 +559,9 @@ def _replayed(
         sizes = messages.agg(*(F.count_if(part).alias(name) for name, part in halves.items())).first()
         for name, part in halves.items():
             slices = max(SLICES // 2, -(-sizes[name] // SLICE_ROWS))
-            ordered.send(messages.where(part), f"{base}/topics", partitions=4, slices=slices)
+            ordered.send(messages.where(part), f"{base}/topics", partitions=parts, slices=slices)
             if close and name == "newer":
-                ordered.end(spark, f"{base}/topics", {topic: 4})
+                ordered.end(spark, f"{base}/topics", {topic: parts})
             run.run_through(stream, write, mode, f"{base}/checkpoint")
     return f"{base}/out", stream
 

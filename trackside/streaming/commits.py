@@ -209,8 +209,11 @@ class Versions:
 
     def _latest(self, versions: DataFrame) -> DataFrame:
         values = [c for c in versions.columns if c not in self.keys]
-        last = F.max_by(F.struct(*values), F.col(BATCH)).alias("_last")
-        return versions.groupBy(*self.keys).agg(last).select(*self.keys, "_last.*")
+        # each column by itself: rows with a struct in their state would have to be sorted
+        last = [F.max_by(c, BATCH).alias(c) for c in values]
+        newest = F.max(BATCH).alias(BATCH)
+        latest = versions.groupBy(*self.keys).agg(*(newest if c == BATCH else l for c, l in zip(values, last)))
+        return latest.select(*self.keys, *values)
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         self.store.write(batch.withColumn(BATCH, F.lit(batch_id).cast("bigint")), batch_id)
