@@ -66,6 +66,25 @@ def test_merges_like_the_library(spark, words):
     assert split(*own.encode(texts[:50])) == library(words.model).encode(texts[:50])
 
 
+def test_words_walk_side_by_side(words):
+    random.seed(8)
+    signs = "etaoinshrdlu" * 4 + "ÉéßñЖж日本😀0123456789.,"
+    texts = [" ".join("".join(random.choices(signs, k=random.choice([1, 3, 9, 70]))) for _ in range(60)) for _ in range(80)]
+    want = library(words.model).encode(texts)
+    own = pieces.Encoder(words)
+    steps, step = [], own._step
+    own._step = lambda node, c: steps.append(c) or step(node, c)
+    assert split(*own.encode(texts)) == want
+    first = len(steps)
+    own.index.clear(), own.forget()
+    # unknown words, but no prefix goes a way that was not gone before
+    assert split(*own.encode(texts)) == want
+    assert len(steps) == first < sum(map(len, texts))
+    small = pieces.Encoder(words)
+    small.nodes_kept, small.chunk = 40, 500  # the nodes are forgotten time and again
+    assert split(*small.encode(texts)) == want
+
+
 def as_unigram(model):
     """The same pieces with the scores read as log probabilities."""
     # the trainer's settings are field 2, the kind of model field 3 within them

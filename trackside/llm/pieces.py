@@ -15,7 +15,7 @@ import os
 from array import array
 from dataclasses import dataclass, field
 from functools import cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +26,13 @@ from trackside.llm import chars, frames
 SPACE = "▁"
 WORDS_KEPT = 700_000  # encoded words that a worker remembers
 PAIRS_KEPT = 600_000
+NODES_KEPT = 280_000  # kinds of prefixes
+COLUMNS = 96  # characters whose steps stand in a table
+SHORT, LOT = 64, 1 << 17  # words that are walked side by side, and their characters
 CHUNK = 1 << 20  # characters whose new words are encoded together
 UNIGRAM, BPE = 1, 2
 NOTHING = -(1 << 22)  # before the first piece
+_NO_GUESS = 0, 0, 0
 
 
 def _fields(data: bytes):
@@ -116,6 +120,7 @@ class Encoder:
 
     def __init__(self, words: Vocabulary, kept: int = WORDS_KEPT):
         self.kept, self.pairs_kept = kept, PAIRS_KEPT * kept // WORDS_KEPT
+        self.nodes_kept = NODES_KEPT * kept // WORDS_KEPT
         self.chunk = CHUNK if kept >= WORDS_KEPT else CHUNK // 2
         from sentencepiece import SentencePieceProcessor
 
@@ -141,14 +146,14 @@ class Encoder:
                     self.found.append(())
                 state = self.steps[state][c]
             self.found[state] = ((len(piece), i),)
-        self.back = [0] * len(self.steps)
+        self.back, self.depth = [0] * len(self.steps), [0] * len(self.steps)
         level = [0]
         while level:
             deeper = []
             for state in level:
                 for c, child in self.steps[state].items():
                     back = self._go(self.back[state], c) if state else 0
-                    self.back[child] = back
+                    self.back[child], self.depth[child] = back, self.depth[state] + 1
                     self.found[child] += self.found[back]
                     deeper.append(child)
             level = deeper
@@ -156,9 +161,18 @@ class Encoder:
         self.worst = min(self.score.values(), default=0.0) - 10.0
         self.pairs: dict[int, bool] = {}
         self.older: dict[int, bool] = {}
-        self.guesses: dict[int, tuple[int, int]] = {}
+        self.guesses: dict[int, tuple[int, int, int]] = {}
+        self.jumps: dict[int, tuple] = {}
         self.histories: dict[int, list | None] = {}
-        self.jumps: dict[int, int] = {}  # steps that lead back
+        # prefixes that go on alike, as they are met: steps by character, the last piece
+        # and its length, the state, and the last pieces where pieces may go on from
+        self.nodes: dict[tuple, int] = {}
+        self.column: dict[str, int] = {}  # given out as characters come
+        self.columns = np.full(chars.TOP, COLUMNS, np.int8)
+        self.table = np.full((1024, COLUMNS + 1), -1, np.int32)  # the last column stays so
+        self.far: dict[int, int] = {}  # steps by other characters
+        self.node_last, self.node_size, self.node_state = array("i", [NOTHING]), array("i", [0]), [0]
+        self.node_window: list[tuple[int, ...]] = [(NOTHING,)]
         self.index: dict[str, int] = {}
         self.flat = array("i")
         self.ends = array("q", [0])
@@ -265,58 +279,153 @@ class Encoder:
     def encode_sorted(self, words: list[str]):
         """The pieces of each of `words`, which are in order. A character without a
         piece is -1 minus its code point."""
-        walk = self._merge_walk if self.own.kind == BPE else self._score_walk
+        if self.own.kind == BPE:
+            yield from self._merges(words)
+            return
         before = ""
         # by length of prefix: last piece, where it starts, score, state
         last, start, total, states = [NOTHING], [0], [0.0], [0]
         for word in words:
-            same = 0
-            for a, b in zip(before, word):
-                if a != b:
-                    break
-                same += 1
+            same = _shared(before, word)
             del last[same + 1 :], start[same + 1 :], total[same + 1 :], states[same + 1 :]
-            walk(word, same, last, start, total, states)
+            self._score_walk(word, same, last, start, total, states)
             before, out, j = word, [], len(word)
             while j:
                 out.append(last[j])
                 j = start[j]
             yield out[::-1]
 
-    def _merge_walk(self, word, same, last, start, total, states) -> None:
-        """Only one piece can be the last of a prefix, so they may be tried in any order:
-        first the one that came here before."""
-        steps, found, go, guesses, jumps = self.steps, self.found, self._go, self.guesses, self.jumps
-        state, before = states[same], last[same]
-        for j, c in enumerate(word[same:], same):
-            after = steps[state].get(c)
+    def _merges(self, words: list[str]):
+        """`encode_sorted` of a BPE model: a node for each prefix of the word before."""
+        before, path = "", [0]
+        for word in words:
+            if len(self.node_last) > self.nodes_kept:
+                self._forget_nodes()
+                before, path = "", [0]
+            same = _shared(before, word)
+            del path[same + 1 :]
+            for c in word[same:]:
+                path.append(self._next(path[-1], c))
+            before, out, j = word, [], len(word)
+            while j:
+                out.append(self.node_last[path[j]])
+                j -= self.node_size[path[j]]
+            yield out[::-1]
+
+    def _side_by_side(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The pieces of all `words` in a row, as `encode_sorted` gives them, and how many
+        each has. Character after character, all words go from node to node at once."""
+        if len(self.node_last) > self.nodes_kept:
+            self._forget_nodes()
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(-lengths, kind="stable")
+        size = lengths[order]
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        columns = self.columns[np.minimum(codes, chars.TOP - 1)]
+        starts = (np.cumsum(lengths) - lengths)[order]
+        longest = int(size[0]) if len(size) else 0
+        going = np.searchsorted(-size, -np.arange(longest), "left")  # words longer than that
+        node, path = np.zeros(len(words), np.int64), []
+        for j, n in enumerate(going.tolist()):
+            node, at = node[:n], starts[:n] + j
+            after = self.table[node, columns[at]]
+            missing = np.flatnonzero(after < 0)
+            if len(missing):
+                keys, of = np.unique(node[missing] << 21 | codes[at[missing]].astype(np.int64), return_inverse=True)
+                found = [self._next(key >> 21, chr(key & 0x1FFFFF)) for key in keys.tolist()]
+                after[missing] = np.array(found, np.int32)[of]
+            path.append(after)
+            node = after.astype(np.int64)
+        nodes = np.concatenate([np.zeros(0, np.int32), *path])
+        first = np.cumsum(going) - going
+        last, length = np.array(self.node_last, np.int32), np.array(self.node_size, np.int64)
+        # back from the ends of the words, piece by piece
+        word, end, found = np.arange(len(words)), size, []
+        while len(word):
+            here = nodes[first[end - 1] + word]
+            found.append((order[word], last[here]))
+            end = end - length[here]
+            word, end = word[end > 0], end[end > 0]
+        of = np.concatenate([np.zeros(0, np.int64), *(w for w, _ in found)])
+        numbers = np.bincount(of, minlength=len(words))
+        nth = np.repeat(np.arange(len(found)), [len(w) for w, _ in found])
+        out = np.empty(len(of), np.int32)
+        out[np.cumsum(numbers)[of] - 1 - nth] = np.concatenate([np.zeros(0, np.int32), *(p for _, p in found)])
+        return out, numbers
+
+    def _forget_nodes(self) -> None:
+        for of in (self.node_last, self.node_size, self.node_state, self.node_window):
+            del of[1:]
+        self.table = np.full((1024, COLUMNS + 1), -1, np.int32)
+        for of in (self.nodes, self.far, self.guesses, self.jumps):
+            of.clear()
+
+    def _next(self, node: int, c: str) -> int:
+        column = self.column.get(c)
+        if column is None and len(self.column) < COLUMNS and ord(c) < chars.TOP - 1:
+            column = self.columns[ord(c)] = self.column[c] = len(self.column)
+        if column is None:
+            key = node << 21 | ord(c)
+            after = self.far.get(key)
             if after is None:
-                jump = state << 21 | ord(c)
-                after = jumps.get(jump)
-                if after is None:
-                    after = jumps[jump] = go(state, c)
-            state = after
-            pairs, key = self.pairs, (state << 22) | (before & 0x3FFFFF)
-            guess = guesses.get(key)
-            if guess is None or not pairs.get(last[j + 1 - guess[0]] << 21 | guess[1]):
-                guess = None
-                for entry in found[state]:
-                    u = last[j + 1 - entry[0]]
-                    apart = pairs.get(u << 21 | entry[1])
-                    if apart or apart is None and self._apart(u, entry[1]):
-                        guess = guesses[key] = entry
-                        break
-            if guess is None:
-                before, at = -1 - ord(c), j
+                after = self.far[key] = self._step(node, c)
+            return after
+        after = self.table.item(node, column)
+        if after < 0:
+            after = self._step(node, c)
+            self.table[node, column] = after
+        return after
+
+    def _step(self, node: int, c: str) -> int:
+        """The node after `node` and `c`. A piece that ends later starts where an end of the
+        prefix begins a piece; prefixes are one node if they agree in the state, which says
+        which these places are, and in the last pieces up to each: they go on alike."""
+        window, before = self.node_window[node], self.node_state[node]
+        jump = before << 21 | ord(c)
+        known = self.jumps.get(jump)
+        if known is None:
+            known = self.jumps[jump] = self._jump(before, c)
+        state, taken, ends = known
+        # only one piece can be the last of a prefix, so they may be tried in any order:
+        # first the one that came here before
+        pairs, here = self.pairs, jump << 22 | window[-1] & 0x3FFFFF
+        at, n, piece = self.guesses.get(here, _NO_GUESS)
+        if not n or not pairs.get(window[at] << 21 | piece):
+            for at, n, piece in ends:
+                apart = pairs.get(window[at] << 21 | piece)
+                if apart or apart is None and self._apart(window[at], piece):
+                    self.guesses[here] = at, n, piece
+                    break
             else:
-                before, at = guess[1], j + 1 - guess[0]
-            last.append(before)
-            start.append(at)
-            states.append(state)
-        if len(guesses) > self.pairs_kept:
-            guesses.clear()
-        if len(jumps) > self.pairs_kept:
-            jumps.clear()
+                n, piece = 1, -1 - ord(c)
+        window = (*[window[i] for i in taken], piece)
+        key = (state, window)
+        after = self.nodes.get(key)
+        if after is None:
+            after = self.nodes[key] = len(self.node_last)
+            if after == len(self.table):
+                self.table = np.pad(self.table, ((0, after // 2), (0, 0)), constant_values=-1)
+            self.node_last.append(piece)
+            self.node_size.append(n)
+            self.node_state.append(state)
+            self.node_window.append(window)
+        return after
+
+    def _starts(self, state: int) -> list[int]:
+        """How far back those ends of the text begin that begin a piece, the longest first."""
+        out = []
+        while state:
+            out.append(self.depth[state])
+            state = self.back[state]
+        return [*out, 0]
+
+    def _jump(self, before: int, c: str):
+        """The state after `before` and `c`; which places of the window stay in it; and the
+        pieces that may end there: where in the window, how long and which."""
+        state = self._go(before, c)
+        place = {d: i - len(self._starts(before)) for i, d in enumerate(self._starts(before))}
+        taken = tuple(place[d - 1] for d in self._starts(state)[:-1])
+        return state, taken, tuple((place[n - 1], n, piece) for n, piece in self.found[state])
 
     def _score_walk(self, word, same, last, start, total, states) -> None:
         scores, state = self.own.scores, states[same]
@@ -337,7 +446,16 @@ class Encoder:
     def learn(self, words: set[str]) -> None:
         """Encode `words`, none of which is known yet."""
         new = sorted(words)
-        for word, pieces in zip(new, self.encode_sorted(new)):
+        rest = self.encode_sorted(new)
+        if self.own.kind == BPE:
+            short = [w for w in new if 0 < len(w) <= SHORT]
+            new = [w for w in new if not 0 < len(w) <= SHORT]
+            rest = self.encode_sorted(new)
+            for i, j in chars.chunks(short, LOT):
+                odd = self._learn_short(short[i:j])
+                new += odd
+                rest = chain(rest, odd.values())
+        for word, pieces in zip(new, rest):
             if pieces and min(pieces) >= 0:
                 self.flat.extend(pieces)
                 pieces = ()
@@ -354,6 +472,26 @@ class Encoder:
             self.index[word] = len(self.ends) - 1
             self.ends.append(len(self.flat))
 
+    def _known(self, words: list[str]) -> np.ndarray:
+        """The numbers of words, -1 for one that is not known."""
+        return np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+
+    def _learn_short(self, words: list[str]) -> dict[str, list[int]]:
+        """Make words known; those with characters without a piece are given back."""
+        pieces, sizes = self._side_by_side(words)
+        ends = np.cumsum(sizes)
+        odd = np.unique(np.searchsorted(ends, np.flatnonzero(pieces < 0), "right"))
+        out = {words[i]: pieces[ends[i] - sizes[i] : ends[i]].tolist() for i in odd.tolist()}
+        if out:
+            good = np.ones(len(words), bool)
+            good[odd] = False
+            pieces, sizes = pieces[np.repeat(good, sizes)], sizes[good]
+            words = [w for w in words if w not in out]
+        self.index.update(zip(words, range(len(self.ends) - 1, len(self.ends) - 1 + len(words))))
+        self.ends.frombytes((len(self.flat) + np.cumsum(sizes)).astype(np.int64).tobytes())
+        self.flat.frombytes(pieces.tobytes())
+        return out
+
     def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the number of each text's ids."""
         ids, sizes = [np.zeros(0, dtype=np.int32)], []
@@ -361,11 +499,12 @@ class Encoder:
             words, n_words = self.words([self.normalise(t) if t else "" for t in texts[i:j]])
             if len(self.index) > self.kept:
                 self.forget()
-            known = list(map(self.index.get, words))
-            if None in known:
-                self.learn({w for w, k in zip(words, known) if k is None})
-                known = list(map(self.index.get, words))
-            at = np.array(known, dtype=np.int64)
+            at = self._known(words)
+            missing = np.flatnonzero(at < 0)
+            if len(missing):
+                new = [words[k] for k in missing.tolist()]
+                self.learn(set(new))
+                at[missing] = self._known(new)
             used = np.bincount(at, minlength=len(self.index))
             used[: len(self.used)] += self.used
             self.used = used
@@ -398,6 +537,16 @@ def _classes(after: dict[str, set[str]]) -> np.ndarray:
     return table
 
 
+def _shared(a: str, b: str) -> int:
+    """How many characters two words begin with alike."""
+    same = 0
+    for x, y in zip(a, b):
+        if x != y:
+            break
+        same += 1
+    return same
+
+
 def merged(text: str, score: dict[str, float]) -> list[str]:
     """The merges of a BPE model: of the neighbours that make a piece those with
     the best score first, the leftmost of equals."""
