@@ -24,9 +24,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from trackside.llm import chars, frames
 
 SPACE = "▁"
-WORDS_KEPT = 700_000  # encoded words that a worker remembers
+WORDS_KEPT = 550_000  # encoded words that a worker remembers
 PAIRS_KEPT = 600_000
-NODES_KEPT = 100_000  # kinds of prefixes
+NODES_KEPT = 170_000  # kinds of prefixes
 COLUMNS = 96  # characters whose steps stand in a table
 SHORT, LOT = 64, 1 << 17  # words that are walked side by side, and their characters
 CHUNK = 1 << 20  # characters whose new words are encoded together
