@@ -247,6 +247,22 @@ def test_a_replayed_slice_is_read_by_all_tasks(spark):
     assert {f["count"] for f in files} == {max(4, spark.sparkContext.defaultParallelism)}
 
 
+def test_replayed_messages_are_made_once_and_by_several_tasks(spark, tmp_path):
+    stamped(spark, 500).coalesce(1).write.parquet(f"{tmp_path}/sent.parquet")
+    with run.setting(spark, "spark.sql.adaptive.enabled", "false"):
+        dealt = stand_ins._dealt(spark, str(tmp_path), "sent")
+        assert dealt.select(F.spark_partition_id()).distinct().count() > 1
+
+    def noted(value):
+        with open(f"{tmp_path}/made", "a") as file:
+            file.write("x")
+        return value
+
+    messages = dealt.withColumn("value", F.udf(noted)("value"))
+    stand_ins._replayed(messages, "t", lambda sent: sent.select("value"), "append", run.versions_writer)
+    assert (tmp_path / "made").stat().st_size == messages.count()
+
+
 def test_rerun_forgets_later_batches_of_a_lost_run(spark, tmp_path):
     versions = Versions(str(tmp_path), ["k"])
     schema = T.StructType.fromDDL("k int, v int")

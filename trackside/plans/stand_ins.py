@@ -46,6 +46,13 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def _dealt(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """A table whose rows are dealt to many tasks, however few its files and row groups:
+    for work on each row that would otherwise lie with the tasks that read it."""
+    rows = _read(spark, folder, table)
+    return rows.repartition(*rows.columns)
+
+
 # -- parsing and rows --------------------------------------------------------
 
 
@@ -550,6 +557,7 @@ def _replayed(
     spark = messages.sparkSession
     parts = max(4, spark.sparkContext.defaultParallelism)
     base = tables.scratch_folder(spark, topic)
+    messages = tables.written(messages, f"{topic}-messages")
     first, last = messages.agg(F.min("sent_at"), F.max("sent_at")).first()
     stream = analysis(ordered.source(spark, topic, f"{base}/topics"))
     write = writer(f"{base}/out")
@@ -568,7 +576,7 @@ def _replayed(
 
 def live_car(spark, folder):
     path, stream = _replayed(
-        _car_messages(_read(spark, folder, "events")),
+        _car_messages(_dealt(spark, folder, "events")),
         "car",
         lambda sent: racing.live_car_summary(racing.car_records(sent)),
         "complete",
@@ -580,7 +588,7 @@ def live_car(spark, folder):
 def merged_car(spark, folder):
     """The car summary without state: each batch's partials, merged by key."""
     path, _ = _replayed(
-        _car_messages(_read(spark, folder, "events")),
+        _car_messages(_dealt(spark, folder, "events")),
         "car",
         racing.car_records,
         "append",
@@ -600,7 +608,7 @@ def _live_windows(messages: DataFrame, topic: str, analysis, keys) -> DataFrame:
 
 def live_stint(spark, folder):
     return _live_windows(
-        _lap_messages(_read(spark, folder, "events")),
+        _lap_messages(_dealt(spark, folder, "events")),
         "lap",
         lambda sent: racing.live_stint_windows(racing.lap_records(sent)),
         racing.STINT,
@@ -609,7 +617,7 @@ def live_stint(spark, folder):
 
 def live_weather(spark, folder):
     return _live_windows(
-        _weather_messages(_read(spark, folder, "events")),
+        _weather_messages(_dealt(spark, folder, "events")),
         "weather",
         lambda sent: racing.live_weather_windows(racing.weather_records(sent)),
         ["Race"],
@@ -619,7 +627,7 @@ def live_weather(spark, folder):
 def live_panes(spark, folder):
     """Sliding windows in append mode: rows enter panes, panes enter windows."""
     path, stream = _replayed(
-        _lap_messages(_read(spark, folder, "events")),
+        _lap_messages(_dealt(spark, folder, "events")),
         "lap",
         racing.live_stint_panes,
         "append",
@@ -631,7 +639,7 @@ def live_panes(spark, folder):
 
 def compacted(spark, folder):
     """The last reading of each user, of versions that come in many batches."""
-    events = _read(spark, folder, "events").select(
+    events = _dealt(spark, folder, "events").select(
         F.col("ts").cast("timestamp").alias("sent_at"), "user_id", "event_id", "ts", "value"
     )
     messages = topics.publish_topic(events, "events", EVENT_FIELDS, time_format=MICROS, time="sent_at")
@@ -656,7 +664,7 @@ EVENT_FIELDS = ("user_id", "event_id", "ts", "value")
 def in_order(spark, folder):
     """Messages as a stream in the order sent: what a batch held is no later than what
     came after it, and offsets run on without gaps."""
-    events = _read(spark, folder, "events")
+    events = _dealt(spark, folder, "events")
     timed = events.withColumn("sent_at", F.col("ts").cast("timestamp"))
     messages = topics.publish_topic(
         timed, "events", ["event_id", "user_id"], key="user_id", time="sent_at"
