@@ -85,6 +85,22 @@ def test_words_walk_side_by_side(words):
     assert split(*small.encode(texts)) == want
 
 
+def test_each_word_is_looked_up_once(words):
+    own, asked = pieces.Encoder(words), []
+    look_up = own._known
+    own._known = lambda some: asked.extend(some) or look_up(some)
+    texts = ["all of it, all of it ñ 日本 😀 ñ 日本"] * 50 + ODD
+    assert split(*own.encode(texts)) == library(words.model).encode(texts)
+    assert len(own.index) <= len(asked) <= 2 * len(own.index)  # before and after they are learnt
+    # the places give the texts again, whatever their characters
+    odd = ["", "▁a▁b▁a", "▁\ud800x▁\ud800x", "▁é▁日本▁😀😀", ""]
+    for some in (odd, odd[:2] + odd[3:], [""], []):
+        found, of, sizes = own.words(some)
+        at = iter(of.tolist())
+        assert ["".join(found[next(at)] for _ in range(n)) for n in sizes] == some
+        assert len(set(found)) == len(found)
+
+
 def as_unigram(model):
     """The same pieces with the scores read as log probabilities."""
     # the trainer's settings are field 2, the kind of model field 3 within them

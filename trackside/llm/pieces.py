@@ -16,6 +16,7 @@ from array import array
 from dataclasses import dataclass, field
 from functools import cache
 from itertools import chain, repeat
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -203,9 +204,9 @@ class Encoder:
                 return 0
             state = back[state]
 
-    def words(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        """The marked words of normalised texts, one text after the other, and how
-        many each has."""
+    def words(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The different marked words of normalised texts, which of them stands at each
+        place, one text after the other, and how many places each text has."""
         joined = "".join(texts)
         codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         kind = self.classes[np.minimum(codes, chars.TOP - 1)]
@@ -215,9 +216,20 @@ class Encoder:
         ends = np.cumsum([0, *map(len, texts)])
         cut[ends] = True
         at = np.flatnonzero(cut)
-        places = at.tolist()
-        words = [joined[a:b] for a, b in zip(places, places[1:])]
-        return words, np.diff(np.searchsorted(at, ends))
+        n_words = np.diff(np.searchsorted(at, ends))
+        if not joined.isascii():  # places in UTF-8
+            width = np.ones(len(codes), np.uint8)
+            for first in (0x80, 0x800, 0x10000):
+                width += codes >= first
+            at = np.append(0, np.cumsum(width, dtype=np.int64))[at]
+        raw = pa.py_buffer(joined.encode("utf-8", "surrogatepass"))
+        offsets = pa.py_buffer(at.astype(np.int64))
+        every = pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, offsets, raw]).dictionary_encode()
+        if (codes >> 11 == 0x1B).any():  # surrogates, which Arrow takes for no text
+            words = [w.as_py().decode("utf-8", "surrogatepass") for w in every.dictionary]
+        else:
+            words = every.dictionary.view(pa.large_string()).to_numpy(zero_copy_only=False).tolist()
+        return words, every.indices.to_numpy(), n_words
 
     def _text(self, piece: int) -> str:
         return self.own.pieces[piece] if piece >= 0 else chr(-1 - piece)
@@ -385,7 +397,7 @@ class Encoder:
         known = self.jumps.get(jump)
         if known is None:
             known = self.jumps[jump] = self._jump(before, c)
-        state, taken, ends = known
+        state, take, ends = known
         # only one piece can be the last of a prefix, so they may be tried in any order:
         # first the one that came here before
         pairs, here = self.pairs, jump << 22 | window[-1] & 0x3FFFFF
@@ -398,7 +410,7 @@ class Encoder:
                     break
             else:
                 n, piece = 1, -1 - ord(c)
-        window = (*[window[i] for i in taken], piece)
+        window = (*take(window), piece)
         key = (state, window)
         after = self.nodes.get(key)
         if after is None:
@@ -420,12 +432,15 @@ class Encoder:
         return [*out, 0]
 
     def _jump(self, before: int, c: str):
-        """The state after `before` and `c`; which places of the window stay in it; and the
-        pieces that may end there: where in the window, how long and which."""
+        """The state after `before` and `c`; a function that takes from the window the places
+        that stay in it; and the pieces that may end there: where in the window, how long
+        and which."""
         state = self._go(before, c)
         place = {d: i - len(self._starts(before)) for i, d in enumerate(self._starts(before))}
         taken = tuple(place[d - 1] for d in self._starts(state)[:-1])
-        return state, taken, tuple((place[n - 1], n, piece) for n, piece in self.found[state])
+        at = taken[0] + len(place) if taken else 0
+        take = itemgetter(*taken) if len(taken) > 1 else itemgetter(slice(at, at + len(taken)))
+        return state, take, tuple((place[n - 1], n, piece) for n, piece in self.found[state])
 
     def _score_walk(self, word, same, last, start, total, states) -> None:
         scores, state = self.own.scores, states[same]
@@ -496,7 +511,7 @@ class Encoder:
         """Ids of all texts in a row, and the number of each text's ids."""
         ids, sizes = [np.zeros(0, dtype=np.int32)], []
         for i, j in chars.chunks(texts, self.chunk):
-            words, n_words = self.words([self.normalise(t) if t else "" for t in texts[i:j]])
+            words, of, n_words = self.words([self.normalise(t) if t else "" for t in texts[i:j]])
             if len(self.index) > self.kept:
                 self.forget()
             at = self._known(words)
@@ -505,6 +520,7 @@ class Encoder:
                 new = [words[k] for k in missing.tolist()]
                 self.learn(set(new))
                 at[missing] = self._known(new)
+            at = at[of]
             used = np.bincount(at, minlength=len(self.index))
             used[: len(self.used)] += self.used
             self.used = used
