@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,6 +148,29 @@ def test_pieces_odd(spark, words, extra):
     assert pieces.with_ids(tables.odd(spark, []), words).count() == 0
 
 
+def test_query_encodes_each_text_once(spark, words):
+    got = queries.QUERIES["op8_sentencepiece"](spark, FOLDER)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("encode") == 1  # was two: of the ids, and again of what they decode to
+    ids = pieces.encoded(F.col("text"), words)
+    # in a step of its own, as Spark then doesn't run it twice
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(100).union(tables.odd(spark)).select("doc_id", "text", ids.alias("ids"))
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    same = F.col("text").eqNullSafe(pieces.decoded(F.col("ids"), words))
+    want = docs.select("doc_id", "ids", same.alias("same_again")).collect()
+    both = docs.select("doc_id", pieces.round_trip(F.col("text"), words).alias("f")).select("doc_id", "f.*").collect()
+    assert both == want and {r["same_again"] for r in both} == {True, False}
+
+
+def test_few_texts_are_held_at_once(words):
+    texts = pa.array([None, "", "a few words of one text. " * 400, "é" * 9000] * 300 + ["long " * 50_000])
+    runs = list(pieces._slices(texts, 1 << 18))
+    assert pa.concat_arrays(runs).equals(texts) and len(runs) > 20
+    assert all(r.nbytes < 1 << 19 or len(r) == 1 for r in runs[:-1])
+    assert list(pieces._slices(texts[:0], 9)) == []
+    assert [len(r) for r in pieces._slices(texts[:2], 9)] == [2]
+
+
 def test_decoding_odd_ids(spark, words):
     lists = [([],), (None,), ([0, 1, 2],), ([-5, 10**6],), ([words.byte_ids[0xE9]],)]
     df = spark.createDataFrame(lists, "ids array<int>")

@@ -13,20 +13,22 @@ from __future__ import annotations
 
 import os
 from array import array
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
 from itertools import chain, repeat
-from operator import itemgetter
+from operator import eq, itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from trackside.llm import chars, frames
 
 SPACE = "▁"
-WORDS_KEPT = 550_000  # encoded words that a worker remembers
-PAIRS_KEPT = 600_000
+WORDS_KEPT = 280_000  # encoded words that a worker remembers
+PAIRS_KEPT = 400_000
 NODES_KEPT = 170_000  # kinds of prefixes
 COLUMNS = 96  # characters whose steps stand in a table
 SHORT, LOT = 64, 1 << 17  # words that are walked side by side, and their characters
@@ -34,6 +36,7 @@ CHUNK = 1 << 20  # characters whose new words are encoded together
 UNIGRAM, BPE = 1, 2
 NOTHING = -(1 << 22)  # before the first piece
 _NO_GUESS = 0, 0, 0
+_NO_IDS = pa.array([], pa.list_(pa.int32()))
 
 
 def _fields(data: bytes):
@@ -170,7 +173,7 @@ class Encoder:
         self.nodes: dict[tuple, int] = {}
         self.column: dict[str, int] = {}  # given out as characters come
         self.columns = np.full(chars.TOP, COLUMNS, np.int8)
-        self.table = np.full((1024, COLUMNS + 1), -1, np.int32)  # the last column stays so
+        self.table = self._no_steps()
         self.far: dict[int, int] = {}  # steps by other characters
         self.node_last, self.node_size, self.node_state = array("i", [NOTHING]), array("i", [0]), [0]
         self.node_window: list[tuple[int, ...]] = [(NOTHING,)]
@@ -341,7 +344,7 @@ class Encoder:
         for j, n in enumerate(going.tolist()):
             node, at = node[:n], starts[:n] + j
             after = self.table[node, columns[at]]
-            missing = np.flatnonzero(after < 0)
+            missing = np.flatnonzero(after == 0)
             if len(missing):
                 keys, of = np.unique(node[missing] << 21 | codes[at[missing]].astype(np.int64), return_inverse=True)
                 found = [self._next(key >> 21, chr(key & 0x1FFFFF)) for key in keys.tolist()]
@@ -365,10 +368,15 @@ class Encoder:
         out[np.cumsum(numbers)[of] - 1 - nth] = np.concatenate([np.zeros(0, np.int32), *(p for _, p in found)])
         return out, numbers
 
+    def _no_steps(self) -> np.ndarray:
+        """A table of steps that holds none: nought, as no step leads back to the start. The
+        last column stays so. Memory is taken as nodes come, without copies of the table."""
+        return np.zeros((self.nodes_kept + 1024, COLUMNS + 1), np.int32)
+
     def _forget_nodes(self) -> None:
         for of in (self.node_last, self.node_size, self.node_state, self.node_window):
             del of[1:]
-        self.table = np.full((1024, COLUMNS + 1), -1, np.int32)
+        self.table = self._no_steps()
         for of in (self.nodes, self.far, self.guesses, self.jumps):
             of.clear()
 
@@ -383,7 +391,7 @@ class Encoder:
                 after = self.far[key] = self._step(node, c)
             return after
         after = self.table.item(node, column)
-        if after < 0:
+        if not after:
             after = self._step(node, c)
             self.table[node, column] = after
         return after
@@ -416,7 +424,7 @@ class Encoder:
         if after is None:
             after = self.nodes[key] = len(self.node_last)
             if after == len(self.table):
-                self.table = np.pad(self.table, ((0, after // 2), (0, 0)), constant_values=-1)
+                self.table = np.pad(self.table, ((0, after // 2), (0, 0)))
             self.node_last.append(piece)
             self.node_size.append(n)
             self.node_state.append(state)
@@ -603,6 +611,22 @@ class _Held:
         return 0
 
 
+def _slices(texts: pa.Array, most: int) -> Iterator[pa.Array]:
+    """Runs of texts of about `most` bytes; a longer text is a run of its own. Only one
+    run at a time becomes Python's strings, however many rows come at once."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    before = np.cumsum(sizes) - sizes
+    starts = np.flatnonzero(np.diff(before // most, prepend=-1)).tolist()
+    for i, j in zip(starts, [*starts[1:], len(texts)]):
+        yield texts.slice(i, j - i)
+
+
+def _listed(encoder: Encoder, texts: pa.Array) -> pa.ListArray:
+    ids, sizes = encoder.encode(texts.to_pylist())
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids), mask=texts.is_null())
+
+
 def encoded(text: Column, words: Vocabulary, kept: int = WORDS_KEPT) -> Column:
     """The ids of each text; none for an empty one, NULL for NULL. A character
     without a piece becomes its bytes, or the unknown piece if there are none."""
@@ -610,18 +634,29 @@ def encoded(text: Column, words: Vocabulary, kept: int = WORDS_KEPT) -> Column:
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        ids, sizes = _encoder(kept, held).encode(texts.to_pylist())
-        offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-        return pa.ListArray.from_arrays(
-            pa.array(offsets), pa.array(ids), mask=texts.is_null()
-        )
+        encoder = _encoder(kept, held)
+        lists = [_listed(encoder, some) for some in _slices(texts, encoder.chunk)]
+        return pa.concat_arrays([_NO_IDS, *lists])
 
     return encode(text)
 
 
-def decoded(ids: Column, words: Vocabulary) -> Column:
-    """The text of each list of ids. Special ids and ids beyond the vocabulary give
-    nothing, bytes that are no UTF-8 the replacement character; NULL gives NULL."""
+def _texts(lists: pa.ListArray, raw: list[bytes], prefix: bool) -> list[str | None]:
+    """What lists of ids say, by the bytes of each id."""
+    out = []
+    for one in lists:
+        if not one.is_valid:
+            out.append(None)
+            continue
+        own = one.values.to_numpy(zero_copy_only=False)
+        own = own[(own >= 0) & (own < len(raw))].astype(np.int64).tolist()
+        text = b"".join(map(raw.__getitem__, own)).decode("utf-8", "replace")
+        out.append(text[1:] if prefix and text[:1] == " " else text)
+    return out
+
+
+def _raw(words: Vocabulary) -> list[bytes]:
+    """The bytes that each id stands for."""
     raw = [p.replace(SPACE, " ").encode("utf-8", "surrogatepass") for p in words.pieces]
     for i in words.special:
         raw[i] = b""
@@ -630,26 +665,40 @@ def decoded(ids: Column, words: Vocabulary) -> Column:
             raw[i] = bytes([byte])
     if words.unknown >= 0:
         raw[words.unknown] = " ⁇ ".encode()
-    prefix = words.prefix
+    return raw
+
+
+def decoded(ids: Column, words: Vocabulary) -> Column:
+    """The text of each list of ids. Special ids and ids beyond the vocabulary give
+    nothing, bytes that are no UTF-8 the replacement character; NULL gives NULL."""
+    raw, prefix = _raw(words), words.prefix
 
     @F.arrow_udf("string")
     def decode(lists: pa.Array) -> pa.Array:
-        out = []
-        for one in lists:
-            if not one.is_valid:
-                out.append(None)
-                continue
-            own = one.values.to_numpy(zero_copy_only=False)
-            own = own[(own >= 0) & (own < len(raw))].astype(np.int64).tolist()
-            text = b"".join(map(raw.__getitem__, own)).decode("utf-8", "replace")
-            out.append(text[1:] if prefix and text[:1] == " " else text)
-        return pa.array(out, pa.string())
+        return pa.array(_texts(lists, raw, prefix), pa.string())
 
     return decode(ids)
 
 
+def round_trip(text: Column, words: Vocabulary, kept: int = WORDS_KEPT) -> Column:
+    """A struct of `ids`, as `encoded` gives them, and `same_again`: whether `decoded` makes
+    the text of them again (of NULL, NULL). One function does both, run by run: Spark
+    would run `encoded` once for each column that is made of it."""
+    held, raw, prefix = _Held(words), _raw(words), words.prefix
+
+    @F.arrow_udf("struct<ids:array<int>,same_again:boolean>")
+    def encode_and_decode(texts: pa.Array) -> pa.Array:
+        encoder, lists, same = _encoder(kept, held), [_NO_IDS], []
+        for some in _slices(texts, encoder.chunk):
+            lists.append(_listed(encoder, some))
+            same += map(eq, some.to_pylist(), _texts(lists[-1], raw, prefix))
+        return pa.StructArray.from_arrays([pa.concat_arrays(lists), pa.array(same, pa.bool_())], ["ids", "same_again"])
+
+    return encode_and_decode(text)
+
+
 def with_ids(
-    docs: DataFrame, words: Vocabulary, text: str = "text", kept: int = WORDS_KEPT // 4
+    docs: DataFrame, words: Vocabulary, text: str = "text", kept: int = WORDS_KEPT // 2
 ) -> DataFrame:
     """`docs` with `ids`, in place of a column of that name; every row stays. Workers
     remember `kept` words: less than `encoded` alone, as whole rows pass them here."""
