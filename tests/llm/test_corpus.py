@@ -13,7 +13,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 import tables
 from compare import connect, duck_rows, spark_rows
-from trackside.llm import frames, mixing, pieces, queries, sql
+from trackside.llm import chars, frames, mixing, pieces, queries, sql
 from trackside.streaming import run
 
 FOLDER = os.environ.get("QUERY_DIR", "/root/testdata/sf0.01")
@@ -164,11 +164,13 @@ def test_query_encodes_each_text_once(spark, words):
 
 def test_few_texts_are_held_at_once(words):
     texts = pa.array([None, "", "a few words of one text. " * 400, "é" * 9000] * 300 + ["long " * 50_000])
-    runs = list(pieces._slices(texts, 1 << 18))
+    runs = list(chars.slices(texts, 1 << 18))
     assert pa.concat_arrays(runs).equals(texts) and len(runs) > 20
-    assert all(r.nbytes < 1 << 19 or len(r) == 1 for r in runs[:-1])
-    assert list(pieces._slices(texts[:0], 9)) == []
-    assert [len(r) for r in pieces._slices(texts[:2], 9)] == [2]
+    assert all(r.nbytes < 1 << 20 or len(r) == 1 for r in runs)
+    each = texts.to_pylist()
+    assert [r.to_pylist() for r in runs] == [each[i:j] for i, j in chars.chunks(each, 1 << 18)]
+    assert list(chars.slices(texts[:0], 9)) == []
+    assert [len(r) for r in chars.slices(texts[:2], 9)] == [2]
 
 
 def test_decoding_odd_ids(spark, words):

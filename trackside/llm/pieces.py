@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import os
 from array import array
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
 from itertools import chain, repeat
@@ -21,7 +20,6 @@ from operator import eq, itemgetter
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from trackside.llm import chars, frames
@@ -611,16 +609,6 @@ class _Held:
         return 0
 
 
-def _slices(texts: pa.Array, most: int) -> Iterator[pa.Array]:
-    """Runs of texts of about `most` bytes; a longer text is a run of its own. Only one
-    run at a time becomes Python's strings, however many rows come at once."""
-    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-    before = np.cumsum(sizes) - sizes
-    starts = np.flatnonzero(np.diff(before // most, prepend=-1)).tolist()
-    for i, j in zip(starts, [*starts[1:], len(texts)]):
-        yield texts.slice(i, j - i)
-
-
 def _listed(encoder: Encoder, texts: pa.Array) -> pa.ListArray:
     ids, sizes = encoder.encode(texts.to_pylist())
     offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
@@ -635,7 +623,7 @@ def encoded(text: Column, words: Vocabulary, kept: int = WORDS_KEPT) -> Column:
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
         encoder = _encoder(kept, held)
-        lists = [_listed(encoder, some) for some in _slices(texts, encoder.chunk)]
+        lists = [_listed(encoder, some) for some in chars.slices(texts, encoder.chunk)]
         return pa.concat_arrays([_NO_IDS, *lists])
 
     return encode(text)
@@ -689,7 +677,7 @@ def round_trip(text: Column, words: Vocabulary, kept: int = WORDS_KEPT) -> Colum
     @F.arrow_udf("struct<ids:array<int>,same_again:boolean>")
     def encode_and_decode(texts: pa.Array) -> pa.Array:
         encoder, lists, same = _encoder(kept, held), [_NO_IDS], []
-        for some in _slices(texts, encoder.chunk):
+        for some in chars.slices(texts, encoder.chunk):
             lists.append(_listed(encoder, some))
             same += map(eq, some.to_pylist(), _texts(lists[-1], raw, prefix))
         return pa.StructArray.from_arrays([pa.concat_arrays(lists), pa.array(same, pa.bool_())], ["ids", "same_again"])
